@@ -145,6 +145,12 @@ def powers_of_two(upper: int) -> int:
     return max(1, (upper - 1).bit_length())
 
 
+def powers_of_two_of(value) -> Column:
+    """As ``powers_of_two`` for a whole-number column."""
+    value = _value(value).cast("bigint")
+    return F.greatest(F.lit(1), F.length(F.bin(value - 1))).cast("bigint")
+
+
 def date_spine(spark: SparkSession, part: str, start, end) -> DataFrame:
     """One row per period from ``start`` up to, but not including, ``end``."""
     begin, stop = (F.lit(v).cast("timestamp_ntz") for v in (start, end))

@@ -88,13 +88,13 @@ def rebuild(value: Column, have: T.DataType, want: T.DataType) -> Column:
         for field in want.fields:
             old = by_name.get(field.name.lower())
             if old is None:
-                part = F.lit(None).cast(field.dataType)
+                part = F.lit(None).cast(_bare(field.dataType))
             else:
                 part = rebuild(value.getField(old.name), old.dataType, field.dataType)
             parts.append(part.alias(field.name))
-        return F.when(value.isNotNull(), F.struct(*parts)).cast(want)
+        return F.when(value.isNotNull(), F.struct(*parts)).cast(_bare(want))
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
-        return F.transform(value, lambda item: rebuild(item, have.elementType, want.elementType)).cast(want)
+        return F.transform(value, lambda item: rebuild(item, have.elementType, want.elementType)).cast(_bare(want))
     return value.cast(want)
 
 
@@ -142,15 +142,15 @@ def evolved_schema(target: T.StructType, source: T.StructType, mode: str) -> T.S
             lost = _loses_fields(field.name, field.dataType, new)
             if lost:
                 raise SchemaChangeError(f"nested fields cannot be removed: {lost}")
-            field = T.StructField(field.name, new, True)
+            field = T.StructField(field.name, _bare(new), True)
         elif mode == "sync_all_columns":
             if field.name in diff.target_not_in_source:
                 continue
             if new is not None:
-                field = T.StructField(field.name, new, True)
+                field = T.StructField(field.name, _bare(new), True)
         fields.append(field)
     added = set(diff.source_not_in_target)
-    fields += [T.StructField(f.name, f.dataType, True) for f in source.fields if f.name in added]
+    fields += [T.StructField(f.name, _bare(f.dataType), True) for f in source.fields if f.name in added]
     return T.StructType(fields)
 
 

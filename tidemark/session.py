@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    # listing tasks in proportion to the cluster, instead of one per partition folder
+    listing = max(32, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listing))
     return spark
 
 

@@ -25,6 +25,7 @@ BUCKET = "__bucket"
 LAYOUT = "tidemark.layout"
 REFRESHED = "tidemark.refreshed_at"
 MAX_CLUSTER_COLUMNS = 4
+FAST_STATS = "spark.sql.hive.gatherFastStats"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -103,11 +104,12 @@ def create_table_as(
     writer = _arrange(df, partition, cluster_by).write.format("parquet")
     if partition is not None:
         writer = writer.partitionBy(BUCKET)
-    writer.saveAsTable(goal)
+    with setting(spark, FAST_STATS, "false"):
+        writer.saveAsTable(goal)
     spark.sql(f"ALTER TABLE {goal} SET TBLPROPERTIES ('{LAYOUT}' = '{_layout_text(partition, cluster_by)}')")
     if exists:
         spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"ALTER TABLE {goal} RENAME TO {name}")
+        rename_table(spark, goal, name)
 
 
 def create_view_as(df: DataFrame, name: str, *, full_refresh: bool = False) -> None:
@@ -151,10 +153,11 @@ def replace_partitions(df: DataFrame, name: str, emptied: Iterable[str] = ()) ->
     drop_partitions(spark, name, set(emptied) - set(written.get.get("ids") or []))
 
 
-def drop_partitions(spark: SparkSession, name: str, ids: Iterable[str]) -> None:
-    ids = sorted(ids)
-    for start in range(0, len(ids), 500):
-        specs = ", ".join(f"PARTITION ({BUCKET} = '{i}')" for i in ids[start : start + 500])
+def drop_partitions(spark: SparkSession, name: str, ids: Iterable[str | None]) -> None:
+    """Drop partitions by id; ``None`` is the partition of rows without one."""
+    values = sorted("null" if i is None else f"'{i}'" for i in ids)
+    for start in range(0, len(values), 500):
+        specs = ", ".join(f"PARTITION ({BUCKET} = {v})" for v in values[start : start + 500])
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
 
 
@@ -218,6 +221,34 @@ def rename_table(spark: SparkSession, name: str, new_name: str) -> None:
     if not is_table(spark, name):
         raise ConfigError(f"{name} is not a table; views cannot be renamed")
     spark.sql(f"ALTER TABLE {name} RENAME TO {new_name}")
+    _follow_partitions(spark, new_name)
+
+
+def _location(spark: SparkSession, statement: str) -> str:
+    for row in spark.sql(statement).collect():
+        if row["col_name"] == "Location":
+            return row["data_type"]
+    raise ConfigError(f"no location: {statement}")
+
+
+def _follow_partitions(spark: SparkSession, name: str) -> None:
+    """Let a renamed table find its partitions where they now are.
+
+    Spark's in-memory catalog moves the folder of a renamed table but keeps the old places
+    of its partitions. Such entries, whose folders are gone, are dropped and found anew;
+    a metastore that moved them itself is left alone.
+    """
+    if BUCKET not in spark.table(name).columns:
+        return
+    first = list_partitions(spark, name).where("partition_id is not null").first()
+    if first is None:
+        return
+    place = _location(spark, f"DESCRIBE EXTENDED {name} PARTITION ({BUCKET} = '{first[0]}')")
+    if place.startswith(_location(spark, f"DESCRIBE EXTENDED {name}").rstrip("/") + "/"):
+        return
+    drop_partitions(spark, name, [r[0] for r in list_partitions(spark, name).collect()])
+    with setting(spark, FAST_STATS, "false"):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def add_table_columns(spark: SparkSession, name: str, fields: Sequence[T.StructField]) -> None:
