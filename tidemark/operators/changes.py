@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import ConfigError
 from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
 from tidemark.operators.partition import PartitionSpec
-from tidemark.operators.sizing import broadcast_if_small, is_small, split_by_keys
+from tidemark.operators.sizing import broadcast_if_small, is_small, key_set, split_by_keys
 
 CHANGE_TYPE = "_change_type"
 CHANGE_TIME = "_change_timestamp"
@@ -222,35 +222,31 @@ def pool_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("tables"))
 
 
-BIN_SECONDS = 86_400
+def _by_day(df: DataFrame, start: str, end: str) -> DataFrame:
+    """One row per calendar day a window touches."""
+    first, last = (F.unix_date(F.col(c).cast("date")) for c in (start, end))
+    return df.withColumn("first_day", first).withColumn(
+        "day", F.explode(F.sequence(first, F.greatest(first, last)))
+    )
 
 
 def overlapping(log: DataFrame, requests: DataFrame) -> DataFrame:
     """Every pair of a request and a log row of the same table whose windows overlap.
 
-    A small request side is broadcast and the log is streamed past it. Beyond the bound
-    both sides are spread over the days they touch and joined on table and day, so one
-    busy table is split over many tasks; a pair counts only on its first common day.
+    Both sides are spread over the days their windows touch and joined on table and day,
+    so only rows of a common day meet and a busy table is split over many tasks; a pair
+    counts on its first common day. A small request side is broadcast.
     """
-    meets = (
+    asked = _by_day(requests, "start", "end")
+    asked = F.broadcast(asked) if is_small(requests) else asked
+    return asked.alias("r").join(
+        _by_day(log, "delta_start", "delta_end").alias("l"),
         (F.col("r.full_table_name") == F.col("l.full_table_name"))
+        & (F.col("r.day") == F.col("l.day"))
+        & (F.col("r.day") == F.greatest("r.first_day", "l.first_day"))
         & (F.col("l.delta_start") < F.col("r.end"))
-        & (F.col("l.delta_end") > F.col("r.start"))
-    )
-    if is_small(requests):
-        return F.broadcast(requests).alias("r").join(log.alias("l"), meets)
-
-    def day(c):
-        return F.floor(F.unix_timestamp(c) / BIN_SECONDS)
-
-    asked = requests.withColumn("first_day", day("start")).withColumn(
-        "day", F.explode(F.sequence("first_day", F.greatest("first_day", day("end"))))
-    )
-    logged = log.withColumn("first_day", day("delta_start")).withColumn(
-        "day", F.explode(F.sequence("first_day", F.greatest("first_day", day("delta_end"))))
+        & (F.col("l.delta_end") > F.col("r.start")),
     )
-    once = F.col("r.day") == F.greatest("r.first_day", "l.first_day")
-    return asked.alias("r").join(logged.alias("l"), meets & (F.col("r.day") == F.col("l.day")) & once)
 
 
 def affected_partitions(log: DataFrame, requests: DataFrame) -> DataFrame:
@@ -327,8 +323,9 @@ def dirty_recompute(
         return source.select([col(c) for c in target.columns])
     ident = partition.id_expr()
     if isinstance(partition_ids, DataFrame):
-        _, kept = split_by_keys(target, ident, partition_ids)
-        rows, _ = split_by_keys(source, ident, partition_ids, partition.span(source))
+        dirty = key_set(partition_ids)
+        _, kept = split_by_keys(target, ident, dirty)
+        rows, _ = split_by_keys(source, ident, dirty, partition.span(source))
     else:
         ids = list(partition_ids)
         if not ids:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import ConfigError
 from tidemark.operators.merge import _align, col, insert_rows
 from tidemark.operators.partition import PartitionSpec
-from tidemark.operators.sizing import split_by_keys
+from tidemark.operators.sizing import key_set, split_by_keys
 
 
 def partition_values(target: DataFrame, partition: PartitionSpec, values: Sequence[Any], truncate: bool) -> DataFrame:
@@ -48,10 +48,10 @@ def insert_overwrite(
     source = _align(source, target, dest)
     bucket = partition.bucket_expr()
     if partitions:
-        replaced = partition_values(target, partition, partitions, truncate=copy)
+        replaced = key_set(partition_values(target, partition, partitions, truncate=copy))
         rows = split_by_keys(source, bucket, replaced)[0] if copy else source
     else:
-        replaced = source.select(bucket.alias("bucket"))
+        replaced = key_set(source.select(bucket.alias("bucket")))
         rows = source
         if copy:
             rows = source.where(
@@ -87,7 +87,7 @@ def overwrite_buckets(
         own = partition.bucket_expr(col(source_param))
         source = source.where(partition.bucket_expr() == own).drop(source_param)
     source = _align(source, target, target.columns)
-    buckets = params.select(partition.bucket_expr(col(param_name)).alias("bucket")).distinct()
+    buckets = key_set(params.select(partition.bucket_expr(col(param_name)).alias("bucket")))
     _, kept = split_by_keys(target, partition.bucket_expr(), buckets)
     rows, _ = split_by_keys(source, partition.bucket_expr(), buckets, partition.span(source))
     return kept.unionByName(insert_rows(target, rows, target.columns))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import stage
 
 #: A key list longer than this is not read by the driver.
 MAX_LISTED = 10_000
@@ -40,38 +44,55 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if is_small(df) else df
 
 
+@dataclasses.dataclass(frozen=True)
+class KeySet:
+    """Distinct non-NULL keys, evaluated once: as a list while short, else as a stored table."""
+
+    kind: T.DataType
+    texts: list[str] | None
+    table: DataFrame | None = None
+
+
+def key_set(keys: DataFrame) -> KeySet:
+    """Evaluate the one-column ``keys``; beyond ``MAX_LISTED`` they go to the shared folder."""
+    name = keys.columns[0]
+    kind = keys.schema[name].dataType
+    wanted = keys.where(F.col(name).isNotNull()).distinct()
+    # through text, so zoneless times do not pick up the driver's time zone
+    rows = listed(wanted.select(F.col(name).cast("string").alias("key")))
+    if rows is not None:
+        return KeySet(kind, sorted(r["key"] for r in rows))
+    return KeySet(kind, None, stage(wanted.select(F.col(name).alias("__key")), "keys"))
+
+
 def split_by_keys(
     df: DataFrame,
     key: Column,
-    keys: DataFrame,
+    keys: KeySet | DataFrame,
     span: Callable[[str, str], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``df`` whose ``key`` is in the one-column ``keys``, and all other rows.
+    """Rows of ``df`` whose ``key`` is in ``keys``, and all other rows.
 
-    The distinct keys are read up to ``MAX_LISTED``. A short list becomes a literal set,
-    which can skip whole partitions, a longer one a broadcast join, and one beyond the
-    bound a shuffle join. NULL keys never match. ``span`` turns the smallest and largest
-    key into a filter on stored columns, so that the first side reads less.
+    A short list becomes a literal set, which can skip whole partitions, a longer one a
+    broadcast join, and one beyond the bound a shuffle join. NULL keys never match.
+    ``span`` turns the smallest and largest key into a filter on stored columns, so that
+    the first side reads less.
     """
-    name = keys.columns[0]
-    kind = keys.schema[name].dataType
-    wanted = keys.where(F.col(name).isNotNull()).distinct()
-    rows = listed(wanted.select(F.col(name).cast("string").alias("key")))
+    keys = key_set(keys) if isinstance(keys, DataFrame) else keys
+    texts = keys.texts
+    if texts is not None and not texts:
+        return df.limit(0), df
     near = df
-    if rows:
-        # through text, so zoneless times do not pick up the driver's time zone
-        texts = sorted(r["key"] for r in rows)
+    if texts is not None:
         if span is not None:
             near = df.where(span(texts[0], texts[-1]))
         if len(texts) <= MAX_INLINED:
-            values = [F.lit(t).cast(kind) for t in texts]
-            return near.where(key.isin(values)), df.where(~F.coalesce(key.isin(values), F.lit(False)))
-        packed = F.explode(F.split(F.lit("\x01".join(texts)), "\x01")).cast(kind)
-        match = F.broadcast(df.sparkSession.range(1).select(packed.alias("__key")))
-    elif rows is not None:
-        return df.limit(0), df
+            hit = key.isin([F.lit(t).cast(keys.kind) for t in texts])
+            return near.where(hit), df.where(~F.coalesce(hit, F.lit(False)))
+        packed = F.split(F.lit("\x01".join(texts)), "\x01").cast(T.ArrayType(keys.kind))
+        match = F.broadcast(df.sparkSession.range(1).select(F.explode(packed).alias("__key")))
     else:
-        match = wanted.select(F.col(name).alias("__key"))
+        match = keys.table
     inside = near.withColumn("__key", key).join(match, "__key", "left_semi").drop("__key")
     outside = df.withColumn("__key", key).join(match, "__key", "left_anti").drop("__key")
     return inside, outside

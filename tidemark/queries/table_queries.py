@@ -24,7 +24,7 @@ from tidemark.session import scratch_path, shared_dir
 from tidemark.sources import tables
 from tidemark.sources.loads import load, read_shards, schema_only
 
-HOUR_STAMP = PartitionSpec("ts", "datetime", "hour")
+ORDER_YEAR = PartitionSpec("o_orderdate", "datetime", "year")
 
 
 def table(t, name: str) -> str:
@@ -45,10 +45,10 @@ def table_ctas_partitioned(t):
     return tables.read_table(t.spark, name)
 
 
-@query("partitions_listed", "SELECT DISTINCT strftime(ts, '%Y-%m-%d %H:00:00') AS partition_id FROM events")
+@query("partitions_listed", "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS partition_id FROM events")
 def partitions_listed(t):
     name = table(t, "listed")
-    tables.create_table_as(t.events, name, HOUR_STAMP)
+    tables.create_table_as(t.events, name, DAY)
     return tables.list_partitions(t.spark, name)
 
 
@@ -239,17 +239,18 @@ def incremental_merge_runs(t):
 
 
 @query(
-    "incremental_hourly_merge",
+    "incremental_yearly_merge",
     """
-SELECT event_id, ts, user_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-25' AND event_type = 'click' THEN 0 ELSE value END AS value, props
-FROM events
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '1999-10-01' AND o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority
+FROM orders
 """,
 )
-def incremental_hourly_merge(t):
-    full = table(t, "hourly_merge")
-    tables.create_table_as(t.events, full, HOUR_STAMP)
-    clicks = t.events.where("ts >= TIMESTAMP_NTZ '2024-01-25 00:00:00' AND event_type = 'click'")
-    merge_table(t.spark, full, clicks.withColumn("value", F.lit(0.0)), "event_id")
+def incremental_yearly_merge(t):
+    full = table(t, "yearly_merge")
+    tables.create_table_as(t.orders, full, ORDER_YEAR)
+    late = t.orders.where("o_orderdate >= TIMESTAMP_NTZ '1999-10-01 00:00:00' AND o_orderstatus = 'O'")
+    merge_table(t.spark, full, late.withColumn("o_orderstatus", F.lit("F")), "o_orderkey")
     return tables.read_table(t.spark, full)
 
 
