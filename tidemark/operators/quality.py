@@ -80,10 +80,15 @@ def row_differences(a: DataFrame, b: DataFrame, columns: Sequence[str] | None =
 
 def relation_diff(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: difference of the row counts and number of distinct rows on one side only."""
-    mismatched = row_differences(a, b, columns).agg(F.count(F.lit(1)).alias("num_mismatched"))
-    counts = a.agg(F.count(F.lit(1)).alias("n_a")).join(b.agg(F.count(F.lit(1)).alias("n_b")))
-    return counts.join(mismatched).select(
-        (F.col("n_a") - F.col("n_b")).alias("row_count_difference"), "num_mismatched"
+    n = F.count(F.lit(1))
+    none = F.lit(0).cast("bigint")
+    parts = a.agg(n.alias("difference")).withColumn("mismatched", none)
+    parts = parts.unionByName(b.agg((-n).alias("difference")).withColumn("mismatched", none))
+    parts = parts.unionByName(
+        row_differences(a, b, columns).agg(n.alias("mismatched")).withColumn("difference", none)
+    )
+    return parts.agg(
+        F.sum("difference").alias("row_count_difference"), F.sum("mismatched").alias("num_mismatched")
     )
 
 

@@ -25,19 +25,19 @@ class SchemaDiff:
         return bool(self.source_not_in_target or self.target_not_in_source or self.new_types)
 
 
-def _bare(data_type: T.DataType) -> T.DataType:
+def bare_type(data_type: T.DataType) -> T.DataType:
     """The type without nullability, so that only names, order and types count."""
     if isinstance(data_type, T.StructType):
-        return T.StructType([T.StructField(f.name, _bare(f.dataType), True) for f in data_type.fields])
+        return T.StructType([T.StructField(f.name, bare_type(f.dataType), True) for f in data_type.fields])
     if isinstance(data_type, T.ArrayType):
-        return T.ArrayType(_bare(data_type.elementType), True)
+        return T.ArrayType(bare_type(data_type.elementType), True)
     if isinstance(data_type, T.MapType):
-        return T.MapType(_bare(data_type.keyType), _bare(data_type.valueType), True)
+        return T.MapType(bare_type(data_type.keyType), bare_type(data_type.valueType), True)
     return data_type
 
 
 def same_type(left: T.DataType, right: T.DataType) -> bool:
-    return _bare(left) == _bare(right)
+    return bare_type(left) == bare_type(right)
 
 
 def schema_diff(source: T.StructType, target: T.StructType) -> SchemaDiff:
@@ -88,13 +88,13 @@ def rebuild(value: Column, have: T.DataType, want: T.DataType) -> Column:
         for field in want.fields:
             old = by_name.get(field.name.lower())
             if old is None:
-                part = F.lit(None).cast(_bare(field.dataType))
+                part = F.lit(None).cast(bare_type(field.dataType))
             else:
                 part = rebuild(value.getField(old.name), old.dataType, field.dataType)
             parts.append(part.alias(field.name))
-        return F.when(value.isNotNull(), F.struct(*parts)).cast(_bare(want))
+        return F.when(value.isNotNull(), F.struct(*parts)).cast(bare_type(want))
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
-        return F.transform(value, lambda item: rebuild(item, have.elementType, want.elementType)).cast(_bare(want))
+        return F.transform(value, lambda item: rebuild(item, have.elementType, want.elementType)).cast(bare_type(want))
     return value.cast(want)
 
 
@@ -142,15 +142,15 @@ def evolved_schema(target: T.StructType, source: T.StructType, mode: str) -> T.S
             lost = _loses_fields(field.name, field.dataType, new)
             if lost:
                 raise SchemaChangeError(f"nested fields cannot be removed: {lost}")
-            field = T.StructField(field.name, _bare(new), True)
+            field = T.StructField(field.name, bare_type(new), True)
         elif mode == "sync_all_columns":
             if field.name in diff.target_not_in_source:
                 continue
             if new is not None:
-                field = T.StructField(field.name, _bare(new), True)
+                field = T.StructField(field.name, bare_type(new), True)
         fields.append(field)
     added = set(diff.source_not_in_target)
-    fields += [T.StructField(f.name, _bare(f.dataType), True) for f in source.fields if f.name in added]
+    fields += [T.StructField(f.name, bare_type(f.dataType), True) for f in source.fields if f.name in added]
     return T.StructType(fields)
 
 

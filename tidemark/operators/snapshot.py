@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import ConfigError
 from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
-from tidemark.operators.schema import conform
+from tidemark.operators.schema import bare_type, conform
 
 HARD_DELETES = ("ignore", "invalidate", "new_record")
 
@@ -129,39 +129,49 @@ def snapshot(
     ).isNull()
     joined = open_rows.alias("o").join(single.alias("s"), on, "left").where(unique)
 
-    end = F.when(seen & F.coalesce(changed, F.lit(False)), col("__version", "s"))
+    renewed = seen & F.coalesce(changed, F.lit(False))
     gone = ~seen
     if has_marker:
         gone = gone & (F.coalesce(col(names.is_deleted, "o"), F.lit("False")) != "True")
+    moment = F.lit(now).cast(kind)
+    end = F.when(renewed, col("__version", "s"))
     if hard_deletes != "ignore":
-        end = F.when(gone, F.lit(now).cast(kind)).otherwise(end)
-    kept_open = joined.select(
-        *[col(c, "o") for c in grown.columns if c != names.valid_to],
-        end.cast(kind).alias(names.valid_to),
-    ).select(grown.columns)
-
-    # versions to open: keys without an open row, and open rows that changed
-    unchanged = (
-        joined.where(seen & ~F.coalesce(changed, F.lit(False)))
-        .select([col(k, "o").alias(f"__k{i}") for i, k in enumerate(keys)])
-        .distinct()
+        end = F.when(gone, moment).otherwise(end)
+
+    # one pass over the open rows: each gives itself, then its new version or its marker
+    row_type = bare_type(grown.schema)
+
+    def as_row(values: dict[str, Column]) -> Column:
+        parts = [
+            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in row_type.fields
+        ]
+        return F.struct(*parts).cast(row_type)
+
+    def version_row(data: dict[str, Column], key: Column, start: Column, deleted: str) -> Column:
+        meta = {names.row_id: key, names.updated_at: start, names.valid_from: start}
+        if has_marker:
+            meta[names.is_deleted] = F.lit(deleted)
+        return as_row({**data, **meta})
+
+    version_key = hash_arguments(*[col(k, "s") for k in keys], col("__version", "s"))
+    renewal = version_row(
+        {c: col(c, "s") for c in source.columns}, version_key, col("__version", "s"), "False"
     )
+    rows = [
+        as_row({**{c: col(c, "o") for c in grown.columns}, names.valid_to: end}),
+        F.when(renewed, renewal),
+    ]
+    if mark:
+        marker_key = hash_arguments(col(names.row_id, "o"), moment)
+        marker = version_row({c: col(c, "o") for c in data_columns}, marker_key, moment, "True")
+        rows.append(F.when(gone, marker))
+    known = joined.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
+
+    open_keys = open_rows.select([col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
     same_key = all_of([col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)])
-    opening = incoming.join(unchanged, same_key, "left_anti")
     opened = _first_versions(
-        opening, source.columns, keys, col("__version"), names, has_marker, kind
+        incoming.join(open_keys, same_key, "left_anti"),
+        source.columns, keys, col("__version"), names, has_marker, kind,
     )
-    result = closed.unionByName(kept_open).unionByName(opened, allowMissingColumns=True)
-
-    if mark:
-        moment = F.lit(now).cast(kind)
-        markers = joined.where(gone).select(
-            *[col(c, "o") for c in data_columns],
-            hash_arguments(col(names.row_id, "o"), moment).alias(names.row_id),
-            moment.alias(names.updated_at),
-            moment.alias(names.valid_from),
-            F.lit(None).cast(kind).alias(names.valid_to),
-            F.lit("True").alias(names.is_deleted),
-        )
-        result = result.unionByName(markers)
+    result = closed.unionByName(known).unionByName(opened, allowMissingColumns=True)
     return result.select(grown.columns)

@@ -17,7 +17,7 @@ from tidemark.operators.overwrite import insert_overwrite, partition_values
 from tidemark.operators.partition import PartitionSpec
 from tidemark.operators.schema import conform, evolved_schema, schema_diff
 from tidemark.operators.sizing import listed
-from tidemark.session import stage
+from tidemark.session import staged
 from tidemark.sources import tables
 from tidemark.sources.loads import event_time_filter
 
@@ -89,23 +89,38 @@ def merge_table(
     *,
     partition_scope: str = "source_dates",
     dest_columns: Sequence[str] | None = None,
+    is_staged: bool = False,
     **options,
 ) -> None:
     """Merge into a stored table.
 
     Without a key the rows are appended. In a time-partitioned table under
     ``source_dates`` only the partitions of the source's days are read and rewritten;
-    otherwise the table is written anew beside the old one and swapped in.
+    otherwise the table is written anew beside the old one and swapped in. The source is
+    stored first, as the merge reads it several times; ``is_staged`` says it already is.
     """
     partition, cluster_by = tables.table_layout(spark, name)
     target = tables.read_table(spark, name)
+    dest = list(dest_columns or target.columns)
     if not key_list(unique_key):
-        dest = list(dest_columns or target.columns)
         tables.append_rows(insert_rows(target, _align(source, target, dest), dest), name)
         return
+    if not is_staged:
+        with staged(source, "merge") as rows:
+            merge_table(
+                spark,
+                name,
+                rows,
+                unique_key,
+                partition_scope=partition_scope,
+                dest_columns=dest_columns,
+                is_staged=True,
+                **options,
+            )
+        return
     options = {**options, "dest_columns": dest_columns}
     if partition is not None and partition.is_time and partition_scope == "source_dates":
-        ids = _bucket_ids(_align(source, target, list(dest_columns or target.columns)), partition)
+        ids = _bucket_ids(_align(source, target, dest), partition)
         if ids is not None:
             _merge_partitions(spark, name, source, unique_key, partition, ids, options)
             return
@@ -117,14 +132,14 @@ def merge_table(
 
 def _merge_partitions(spark, name, source, unique_key, partition, ids, options) -> None:
     known = [i for i in ids if i is not None]
-    stored = F.col(tables.BUCKET)
+    column = F.col(tables.BUCKET)
     if partition.granularity == "hour":
         days = sorted({i[:10] for i in known})
-        inside = F.substring(stored, 1, 10).isin(days) if days else F.lit(False)
+        inside = F.substring(column, 1, 10).isin(days) if days else F.lit(False)
         existing = tables.list_partitions(spark, name).where("partition_id is not null")
         rewritten = [r[0] for r in existing.collect() if r[0][:10] in set(days)]
     else:
-        inside = stored.isin(known) if known else F.lit(False)
+        inside = column.isin(known) if known else F.lit(False)
         rewritten = known
     scope = spark.table(name).where(inside).drop(tables.BUCKET)
     result = merge(scope, source, unique_key, partition=partition, **options)
@@ -132,10 +147,10 @@ def _merge_partitions(spark, name, source, unique_key, partition, ids, options)
         tables.replace_partitions(result, name, rewritten)
         return
     # rows without a partition are appended, never replaced; the result is fixed first
-    fixed = stage(result, "merge")
     no_bucket = partition.id_expr().isNull()
-    tables.replace_partitions(fixed.where(~no_bucket), name, rewritten)
-    tables.append_rows(fixed.where(no_bucket), name)
+    with staged(result, "merged") as fixed:
+        tables.replace_partitions(fixed.where(~no_bucket), name, rewritten)
+        tables.append_rows(fixed.where(no_bucket), name)
 
 
 def overwrite_table(
@@ -146,6 +161,7 @@ def overwrite_table(
     partitions: Sequence[Any] | None = None,
     copy: bool | None = None,
     dest_columns: Sequence[str] | None = None,
+    is_staged: bool = False,
 ) -> None:
     """Replace partitions of a stored table by the source's rows; others are not read.
 
@@ -158,10 +174,18 @@ def overwrite_table(
     target = tables.read_table(spark, name)
     copy = partition.copy_partitions if copy is None else copy
     dest = list(dest_columns or target.columns)
-    rows = stage(insert_rows(target, _align(source, target, dest), dest), "overwrite")
+    rows = insert_rows(target, _align(source, target, dest), dest)
+    if is_staged:
+        _overwrite(spark, name, rows, partition, partitions, copy)
+    else:
+        with staged(rows, "overwrite") as fixed:
+            _overwrite(spark, name, fixed, partition, partitions, copy)
+
+
+def _overwrite(spark, name, rows, partition, partitions, copy) -> None:
     ident = partition.id_expr()
     if partitions:
-        values = partition_values(target, partition, partitions, truncate=copy)
+        values = partition_values(rows, partition, partitions, truncate=copy)
         wanted = [r[0] for r in values.select(partition.id_expr(F.col("bucket"))).distinct().collect()]
         inside = F.coalesce(ident.isin(wanted), F.lit(False))
         tables.replace_partitions(rows.where(inside), name, wanted)
@@ -178,7 +202,14 @@ def overwrite_table(
         tables.append_rows(orphans, name)
 
 
-def overwrite_table_buckets(spark: SparkSession, name: str, source: DataFrame, params: DataFrame, param: str, source_param: str | None = None) -> None:
+def overwrite_table_buckets(
+    spark: SparkSession,
+    name: str,
+    source: DataFrame,
+    params: DataFrame,
+    param: str,
+    source_param: str | None = None,
+) -> None:
     """Replace the partitions named by a parameter column in a stored table, all in one write."""
     partition, _ = tables.table_layout(spark, name)
     if partition is None or not partition.is_time:
@@ -193,8 +224,7 @@ def overwrite_table_buckets(spark: SparkSession, name: str, source: DataFrame, p
     wanted = [r["id"] for r in ids]
     target = tables.read_table(spark, name)
     rows = insert_rows(target, _align(source, target, target.columns), target.columns)
-    rows = rows.where(partition.id_expr().isin(wanted))
-    tables.replace_partitions(stage(rows, "overwrite"), name, wanted)
+    tables.replace_partitions(rows.where(partition.id_expr().isin(wanted)), name, wanted)
 
 
 # ---- schema changes of stored tables
@@ -244,13 +274,14 @@ def build_incremental(
     if not exists or full_refresh:
         tables.create_table_as(model(spark, None), name, config.partition, config.cluster_by)
         return "created"
-    source = stage(model(spark, tables.read_table(spark, name)), "build")
-    dest = None
-    if config.on_schema_change != "ignore":
-        sync_table_schema(spark, name, source, config.on_schema_change)
-        have = {c.lower() for c in source.columns}
-        dest = [c for c in tables.read_table(spark, name).columns if c.lower() in have]
-    _apply(spark, name, source, config, dest)
+    # stored before the schema changes, as the model may read the table as it was
+    with staged(model(spark, tables.read_table(spark, name)), "build") as source:
+        dest = None
+        if config.on_schema_change != "ignore":
+            sync_table_schema(spark, name, source, config.on_schema_change)
+            have = {c.lower() for c in source.columns}
+            dest = [c for c in tables.read_table(spark, name).columns if c.lower() in have]
+        _apply(spark, name, source, config, dest)
     return "updated"
 
 
@@ -263,10 +294,13 @@ def _apply(spark, name, source, config: BuildConfig, dest) -> None:
             config.unique_key,
             partition_scope=config.partition_scope,
             dest_columns=dest,
+            is_staged=True,
             **config.merge_options(),
         )
     else:
-        overwrite_table(spark, name, source, partitions=config.partitions, dest_columns=dest)
+        overwrite_table(
+            spark, name, source, partitions=config.partitions, dest_columns=dest, is_staged=True
+        )
 
 
 def build_parameterised(
@@ -311,6 +345,9 @@ def build_parameterised(
         tables.create_table_as(shape.limit(0), name, config.partition, config.cluster_by)
     elif config.on_schema_change != "ignore":
         sync_table_schema(spark, name, shape, config.on_schema_change)
+        # planned anew, as the model may read the table
+        source = model(spark, params)
+        shape = source.drop(source_param) if source_param else source
     # unlike a plain build, the insert list is always that of the target; columns a
     # source lacks after an append are filled with NULL
     target_schema = tables.read_table(spark, name).schema
@@ -325,7 +362,7 @@ def build_parameterised(
         merge_table(
             spark,
             name,
-            stage(rows, "build"),
+            rows,
             config.unique_key,
             partition_scope=config.partition_scope,
             **config.merge_options(),
@@ -418,4 +455,4 @@ def recompute_dirty(spark: SparkSession, name: str, source: DataFrame, partition
     target = tables.read_table(spark, name)
     rows = source.where(partition.id_expr().isin(list(partition_ids)))
     rows = insert_rows(target, _align(rows, target, target.columns), target.columns)
-    tables.replace_partitions(stage(rows, "dirty"), name, partition_ids)
+    tables.replace_partitions(rows, name, partition_ids)

@@ -78,3 +78,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, label: str = "stage"):
+    """``df`` stored for the length of a ``with`` block.
+
+    The files go when the block ends well; after a failure they stay for a second try.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

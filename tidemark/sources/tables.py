@@ -38,7 +38,12 @@ def is_view(spark: SparkSession, name: str) -> bool:
 
 
 def read_table(spark: SparkSession, name: str, partition_ids: Sequence[str] | None = None) -> DataFrame:
-    """A table's rows without its physical partition column."""
+    """A table's rows without its physical partition column.
+
+    The table is refreshed first, as another session (each streaming sink runs in its own)
+    may have replaced its files.
+    """
+    spark.catalog.refreshTable(name)
     df = spark.table(name)
     if BUCKET not in df.columns:
         return df

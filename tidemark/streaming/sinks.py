@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import changes, ledger
 from tidemark.operators.merge import col, key_list, quoted
 from tidemark.plans.incremental import merge_table, overwrite_table
-from tidemark.session import stage
+from tidemark.session import staged
 from tidemark.sources import tables
 
 
@@ -36,7 +37,7 @@ def merge_sink(name: str, unique_key: str | Sequence[str], *, order_by: str | No
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         rows = latest_per_key(batch, key_list(unique_key), order_by) if order_by else batch
-        merge_table(spark, name, stage(rows, "stream"), unique_key, **options)
+        merge_table(spark, name, rows, unique_key, **options)
 
     return write
 
@@ -53,36 +54,40 @@ def overwrite_sink(name: str) -> Callable:
 def pooling_sink(log_table: str, checkpoint_table: str, registry_table: str, now: Callable) -> Callable:
     """Pool each micro-batch of a change feed into the ledger tables.
 
-    A table's watermark moves to the newest change seen in the batch. The batch id makes a
-    repeated batch recognisable: one already in the log is skipped.
+    Watermarks move past the newest change seen so far, and late rows widen the logged window
+    back to them. The batch id makes a repeated batch recognisable: one already in the log is
+    skipped.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = f"stream-{batch_id}"
-        log = spark.table(log_table)
+        log = tables.read_table(spark, log_table)
         if not log.where(F.col("invocation_id") == run).isEmpty():
             return
-        feed = stage(batch, "changes")
-        end = feed.agg(F.max(changes.CHANGE_TIME).cast("timestamp_ntz").alias("t")).first()["t"]
-        if end is None:
-            return
-        stop = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 MICROSECOND")
-        marks = ledger.latest_checkpoints(spark.table(checkpoint_table))
-        registry = spark.table(registry_table)
-        results = stage(changes.pool(registry, marks, feed, stop, feed_is_delta=True), "pooled")
-        moment = now()
-        # log, then registry, then checkpoints: a watermark never runs ahead of its log
-        ledger.log_rows(results, moment, run).write.mode("append").insertInto(log_table)
-        tables.create_table_as(
-            stage(ledger.record_pooling(spark.table(registry_table), results, moment), "registry"),
-            registry_table,
-        )
-        ledger.checkpoint_rows(results, moment, moment, run).write.mode("append").insertInto(checkpoint_table)
+        with staged(batch, "changes") as feed:
+            end = feed.agg(F.max(changes.CHANGE_TIME).cast("timestamp_ntz").alias("t")).first()["t"]
+            if end is None:
+                return
+            marks = ledger.latest_checkpoints(tables.read_table(spark, checkpoint_table))
+            # past every watermark, so that a batch of late rows alone is pooled too
+            newest = marks.agg(F.max("delta_end_time").alias("t")).first()["t"]
+            stop = max(end, newest or end) + datetime.timedelta(microseconds=1)
+            registry = tables.read_table(spark, registry_table)
+            pooled = changes.pool(registry, marks, feed, stop, feed_is_delta=True)
+            with staged(pooled, "pooled") as results:
+                _record(log_table, checkpoint_table, registry_table, registry, results, now(), run)
 
     return write
 
 
+def _record(log_table, checkpoint_table, registry_table, registry, results, moment, run) -> None:
+    """Log, then registry, then checkpoints: a watermark never runs ahead of its log."""
+    ledger.log_rows(results, moment, run).write.mode("append").insertInto(log_table)
+    tables.create_table_as(ledger.record_pooling(registry, results, moment), registry_table)
+    ledger.checkpoint_rows(results, moment, moment, run).write.mode("append").insertInto(checkpoint_table)
+
+
 def create_ledger(spark: SparkSession, log_table: str, checkpoint_table: str, registry_table: str) -> None:
     """Empty ledger tables."""
     for name, schema in (
