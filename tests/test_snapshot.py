@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import ConfigError
 from tidemark.operators.snapshot import SnapshotColumns, snapshot
+from tidemark.plans.snapshots import snapshot_table
+from tidemark.sources import tables
 
 T0 = datetime.datetime(2024, 1, 1)
 DAY = datetime.timedelta(days=1)
@@ -103,6 +105,35 @@ def test_check_compares_nulls_as_values(spark):
     assert ids(some) == ([1, 2, 3, 4, 5], [])
 
 
+def test_stored_snapshot(spark, table):
+    def step(source, n):
+        return snapshot_table(
+            spark, table, source, "id", now=T0 + n * DAY, strategy="timestamp", updated_at="updated_at",
+            hard_deletes="new_record" if n > 2 else "invalidate",
+        )
+
+    assert step(fact(spark, range(1, 6)), 0) == "created"
+    assert step(fact(spark, range(1, 5), [2]), 1) == "updated"
+    step(fact(spark, range(1, 5), [2]), 1)  # a repeated run changes nothing more
+    stored = tables.read_table(spark, table)
+    assert ids(stored) == ([1, 2, 3, 4], [2, 5]) and stored.count() == 6
+    extra = F.struct(F.col("id").alias("n"))
+    step(fact(spark, range(1, 6), [2]).withColumn("extra", extra), 2)
+    stored = tables.read_table(spark, table)
+    assert ids(stored) == ([1, 2, 3, 4, 5], [2, 5])
+    assert {(r["id"], r["extra"] is None) for r in stored.where("valid_to IS NULL").collect()} == {
+        (1, True), (2, True), (3, True), (4, True), (5, False)
+    }
+    wider = F.struct(F.col("id").alias("n"), F.lit("x").alias("more"))
+    step(fact(spark, [1, 2, 6], [2]).withColumn("extra", wider), 3)
+    stored = tables.read_table(spark, table)
+    assert stored.schema["extra"].dataType.simpleString() == "struct<n:int,more:string>"
+    assert ids(stored) == ([1, 2, 3, 4, 5, 6], [2, 3, 4, 5])
+    assert stored.where("is_deleted = 'True'").count() == 3
+    step(fact(spark, []).withColumn("extra", wider), 4)
+    assert tables.read_table(spark, table).where("valid_to IS NULL AND is_deleted = 'False'").count() == 0
+
+
 def test_repeated_source_key(spark):
     first = run(None, fact(spark, [1, 2]))
     with pytest.raises(Exception, match="more than once"):

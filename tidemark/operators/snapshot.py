@@ -7,10 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
 from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
-from tidemark.operators.schema import bare_type, conform
+from tidemark.operators.schema import bare_type, conform, evolved_schema
 
 HARD_DELETES = ("ignore", "invalidate", "new_record")
 
@@ -91,18 +92,18 @@ def snapshot(
     if current is None:
         return _first_versions(source, source.columns, keys, version, names, mark, kind)
 
-    # columns new in the source come first as NULL, so they open no versions by themselves
+    # columns and nested fields new in the source are NULL in old versions
     meta = [names.row_id, names.updated_at, names.valid_from, names.valid_to]
     kept_meta = meta + ([names.is_deleted] if names.is_deleted in current.columns else [])
     old_columns = [c for c in current.columns if c not in kept_meta]
-    added = [f for f in source.schema.fields if f.name not in old_columns]
     grown = current.select(*[col(c) for c in old_columns], *[col(c) for c in kept_meta])
     if mark and names.is_deleted not in current.columns:
         grown = grown.withColumn(names.is_deleted, F.lit("False"))
-    schema = [f for f in grown.schema.fields if f.name in old_columns]
-    schema += added + [f for f in grown.schema.fields if f.name not in old_columns]
-    grown = conform(grown, type(current.schema)(schema))
-    data_columns = [f.name for f in schema if f.name not in meta and f.name != names.is_deleted]
+    before = T.StructType([f for f in grown.schema.fields if f.name in old_columns])
+    data = evolved_schema(before, source.schema, "append_new_columns").fields
+    schema = data + [f for f in grown.schema.fields if f.name not in old_columns]
+    grown = conform(grown, T.StructType(schema))
+    data_columns = [f.name for f in data]
 
     closed = grown.where(col(names.valid_to).isNotNull())
     open_rows = grown.where(col(names.valid_to).isNull())

@@ -359,15 +359,15 @@ def udf_temp(t):
     return t.supplier.select("s_suppkey", F.expr("standing_of(s_acctbal)").alias("standing"))
 
 
-def _root(x: pd.Series) -> pd.Series:
-    import numpy as np
-
-    return pd.Series(np.sqrt(x.to_numpy()))
-
-
 @query("udf_python", "SELECT o_orderkey, sqrt(o_totalprice) AS root FROM orders")
 def udf_python(t):
-    return t.orders.select("o_orderkey", udf.python_function(_root, "double")("o_totalprice").alias("root"))
+    # defined here, so it travels by value and workers need no copy of this package
+    def root(x: pd.Series) -> pd.Series:
+        import numpy as np
+
+        return pd.Series(np.sqrt(x.to_numpy()))
+
+    return t.orders.select("o_orderkey", udf.python_function(root, "double")("o_totalprice").alias("root"))
 
 
 @query(

@@ -7,7 +7,11 @@ import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators.snapshot import snapshot
+from tidemark.plans.snapshots import snapshot_table
 from tidemark.queries.registry import query
+from tidemark.queries.table_queries import table
+from tidemark.session import stage
+from tidemark.sources import tables
 
 FIRST = datetime.datetime(2024, 1, 1)
 SECOND = datetime.datetime(2024, 1, 2)
@@ -90,6 +94,15 @@ def snapshot_invalidate(t):
     return two_runs(t, hard_deletes="invalidate").select(OUT)
 
 
+@query("snapshot_table_runs", versions("TIMESTAMP '2024-01-02'"))
+def snapshot_table_runs(t):
+    name = table(t, "snapshot_runs")
+    options = {"strategy": "timestamp", "updated_at": "updated_at", "hard_deletes": "invalidate"}
+    for state, moment in ((first_state(t), FIRST), (second_state(t), SECOND), (second_state(t), THIRD)):
+        snapshot_table(t.spark, name, state, "c_custkey", now=moment, **options)
+    return tables.read_table(t.spark, name).select(OUT)
+
+
 @query(
     "snapshot_check",
     SQL
@@ -140,7 +153,7 @@ FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 5000
 )
 def snapshot_revive(t):
     options = {"strategy": "timestamp", "updated_at": "updated_at", "hard_deletes": "invalidate"}
-    second = two_runs(t, hard_deletes="invalidate")
+    second = stage(two_runs(t, hard_deletes="invalidate"), "snapshot")
     again = second_state(t).unionByName(
         first_state(t).where("c_mktsegment = 'BUILDING' AND c_acctbal > 5000")
     )
@@ -165,7 +178,7 @@ FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 5000
 )
 def snapshot_revive_marked(t):
     options = {"strategy": "timestamp", "updated_at": "updated_at", "hard_deletes": "new_record"}
-    second = two_runs(t, hard_deletes="new_record")
+    second = stage(two_runs(t, hard_deletes="new_record"), "snapshot")
     back = first_state(t).where("c_mktsegment = 'BUILDING' AND c_acctbal > 5000")
     again = second_state(t).unionByName(back.withColumn("updated_at", stamp(THIRD)))
     return snapshot(second, again, "c_custkey", now=THIRD, **options).select(*OUT, "is_deleted")

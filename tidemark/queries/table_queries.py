@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import ledger
 from tidemark.operators.changes import changed_partitions, snapshot_diff
 from tidemark.operators.fanout import fan_out
 from tidemark.operators.partition import PartitionSpec
@@ -18,24 +20,23 @@ from tidemark.plans.incremental import (
     overwrite_table,
     recompute_dirty,
 )
-from tidemark.queries.overwrite_queries import COLUMNS, DAY, LISTED, LISTED_DAYS, RELOADED, reloaded
+from tidemark.queries.overwrite_queries import COLUMNS, DAY, LISTED, LISTED_DAYS, RELOADED, SHIFT, reloaded
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources import tables
 from tidemark.sources.loads import load, read_shards, schema_only
+from tidemark.streaming import sinks
 
 ORDER_YEAR = PartitionSpec("o_orderdate", "datetime", "year")
 
 
 def table(t, name: str) -> str:
-    """A fresh table name in this application's own database below the shared folder."""
+    """An unused table name in this application's own database below the shared folder."""
     spark = t.spark
     app = spark.sparkContext.applicationId.replace("-", "_")
     database = f"tidemark_{app}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_dir(spark)}/{database}'")
-    full = f"{database}.{name}"
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    return full
+    return f"{database}.{name}_{uuid.uuid4().hex[:8]}"
 
 
 @query("table_ctas_partitioned", f"SELECT {COLUMNS} FROM events")
@@ -349,3 +350,75 @@ def store_failures(t):
     failing = t.orders.where("o_totalprice > 195000").select("o_orderkey", "o_totalprice")
     tables.store_failures(failing, name)
     return tables.read_table(t.spark, name)
+
+
+# streams over the stored files, run until all of them are read
+
+
+def run_stream(t, table_name, prepare, sink):
+    df = getattr(t, table_name)
+    stream = t.spark.readStream.schema(df.schema).parquet(f"{t.folder}/{table_name}*.parquet")
+    query = sinks.start(prepare(stream), sink, scratch_path(t.spark, "stream"))
+    query.awaitTermination()
+
+
+@query(
+    "stream_upsert",
+    "SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'view' THEN value * 2 ELSE value END AS value, props FROM events",
+)
+def stream_upsert(t):
+    name = table(t, "stream_upsert")
+    tables.create_table_as(t.events.where(FIRST_DAYS), name, DAY)
+    doubled = F.when(F.col("event_type") == "view", F.col("value") * 2).otherwise(F.col("value"))
+    sink = sinks.merge_sink(name, "event_id", order_by="ts")
+    run_stream(t, "events", lambda stream: stream.withColumn("value", doubled), sink)
+    return tables.read_table(t.spark, name)
+
+
+@query(
+    "stream_overwrite",
+    f"SELECT {COLUMNS} FROM events WHERE ts < TIMESTAMP '2024-01-18' UNION ALL {RELOADED} WHERE ts >= TIMESTAMP '2024-01-18'",
+)
+def stream_overwrite(t):
+    name = table(t, "stream_overwrite")
+    tables.create_table_as(t.events.where(FIRST_DAYS), name, DAY)
+
+    def late(stream):
+        shifted = {"event_id": F.col("event_id") + SHIFT, "value": F.col("value") + 1}
+        return stream.where(LAST_DAYS).withColumns(shifted)
+
+    run_stream(t, "events", late, sinks.overwrite_sink(name))
+    return tables.read_table(t.spark, name)
+
+
+@query(
+    "stream_pooling",
+    """
+SELECT 'raw.' || event_type AS full_table_name, 'ok' AS status, count(*) AS rows_changed,
+       string_agg(DISTINCT strftime(ts, '%Y-%m-%d'), ',' ORDER BY strftime(ts, '%Y-%m-%d')) AS partition_ids
+FROM events GROUP BY event_type
+""",
+)
+def stream_pooling(t):
+    log, marks, known = (table(t, f"stream_{n}") for n in ("log", "marks", "registry"))
+    sinks.create_ledger(t.spark, log, marks, known)
+    start = datetime.datetime(2023, 1, 1)
+    names = t.events.select(F.concat(F.lit("raw."), "event_type").alias("full_table_name")).distinct()
+    listed = names.selectExpr("*", "'time' AS partition_type", "'day' AS partition_granularity", "'ts' AS partition_field")
+    tables.create_table_as(ledger.register(tables.read_table(t.spark, known), listed, start), known)
+    moment = F.lit(start).cast("timestamp_ntz")
+    first = names.select("*", moment.alias("node_finished_at"), moment.alias("delta_end_time"), F.lit(True).alias("success"))
+    tables.append_rows(ledger.append_checkpoints(t.spark.createDataFrame([], ledger.CHECKPOINT_SCHEMA), first), marks)
+
+    def feed(stream):
+        return stream.select(
+            F.concat(F.lit("raw."), "event_type").alias("full_table_name"),
+            F.lit("INSERT").alias("_change_type"),
+            F.col("ts").alias("_change_timestamp"),
+            DAY.id_expr().alias("partition_id"),
+        )
+
+    run_stream(t, "events", feed, sinks.pooling_sink(log, marks, known, now=lambda: start))
+    return tables.read_table(t.spark, log).select(
+        "full_table_name", "status", "rows_changed", F.array_join("partition_ids", ",").alias("partition_ids")
+    )

@@ -83,7 +83,9 @@ def _arrange(df: DataFrame, partition: PartitionSpec | None, cluster_by: Sequenc
         raise ConfigError(f"at most {MAX_CLUSTER_COLUMNS} cluster columns are allowed")
     order = list(cluster_by)
     if partition is not None:
-        df = df.withColumn(BUCKET, partition.id_expr()).hint("rebalance", BUCKET)
+        df = df.withColumn(BUCKET, partition.id_expr())
+    if BUCKET in df.columns:
+        df = df.hint("rebalance", BUCKET)
         order = [BUCKET, *order]
     elif cluster_by:
         df = df.hint("rebalance")
@@ -100,14 +102,16 @@ def create_table_as(
 
     The rows are written under a new name which then takes the old table's place: the
     query may read the table it replaces, and a failed job leaves the old table as it is.
+    Rows may also bring their own partition id, in a column named ``__bucket``.
     """
     spark = df.sparkSession
     if is_view(spark, name):
         spark.sql(f"DROP VIEW {name}")
     exists = is_table(spark, name)
     goal = f"{name}__{uuid.uuid4().hex[:12]}" if exists else name
-    writer = _arrange(df, partition, cluster_by).write.format("parquet")
-    if partition is not None:
+    rows = _arrange(df, partition, cluster_by)
+    writer = rows.write.format("parquet")
+    if BUCKET in rows.columns:
         writer = writer.partitionBy(BUCKET)
     with setting(spark, FAST_STATS, "false"):
         writer.saveAsTable(goal)
@@ -127,14 +131,14 @@ def create_view_as(df: DataFrame, name: str, *, full_refresh: bool = False) -> N
     df.createOrReplaceTempView(name.split(".")[-1])
 
 
-def _physical(spark: SparkSession, name: str, df: DataFrame) -> tuple[DataFrame, PartitionSpec | None]:
+def _physical(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     partition, cluster_by = table_layout(spark, name)
     df = _arrange(df, partition, cluster_by)
-    return df.select([col(c) for c in spark.table(name).columns]), partition
+    return df.select([col(c) for c in spark.table(name).columns])
 
 
 def append_rows(df: DataFrame, name: str) -> None:
-    rows, _ = _physical(df.sparkSession, name, df)
+    rows = _physical(df.sparkSession, name, df)
     rows.write.mode("append").insertInto(name)
 
 
@@ -146,8 +150,8 @@ def replace_partitions(df: DataFrame, name: str, emptied: Iterable[str] = ()) ->
     accepted, as they would replace all earlier ones.
     """
     spark = df.sparkSession
-    rows, partition = _physical(spark, name, df)
-    if partition is None:
+    rows = _physical(spark, name, df)
+    if BUCKET not in rows.columns:
         raise ConfigError(f"{name} is not partitioned")
     written = Observation()
     present = F.assert_true(F.col(BUCKET).isNotNull(), "a row has no partition").isNull()
