@@ -11,6 +11,7 @@ from tidemark.errors import ConfigError
 from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
 from tidemark.operators.partition import PartitionSpec
 from tidemark.operators.sizing import broadcast_if_small, is_small, key_set, split_by_keys
+from tidemark.session import stage
 
 CHANGE_TYPE = "_change_type"
 CHANGE_TIME = "_change_timestamp"
@@ -176,7 +177,8 @@ def pool(
         .when(F.col("read_error").isNotNull(), "error")
         .otherwise("ok")
     )
-    tables = tables.withColumn("status", status)
+    # one row per table; stored, as it picks the changes to read and carries the result
+    tables = stage(tables.withColumn("status", status), "pool")
 
     # only tables that need their changes read reach the change feed
     windows = broadcast_if_small(

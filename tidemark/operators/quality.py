@@ -52,43 +52,37 @@ def singular(failures: DataFrame, error_if: str = "> 0") -> DataFrame:
     )
 
 
-def row_differences(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Distinct rows found on one side only, with the side's name.
+def _sides(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct rows of both tables with how often each side has them, from one pass over each.
 
     Both sides are tagged, stacked and grouped once, instead of being subtracted from
     each other twice; repeated rows meet in the map-side aggregate.
     """
-    columns = list(columns or a.columns)
     check_comparable(a.schema, columns)
-    stacked = (
-        a.select([col(c) for c in columns])
-        .withColumns({"__in_a": F.lit(True), "__in_b": F.lit(False)})
-        .unionByName(
-            b.select([col(c) for c in columns]).withColumns(
-                {"__in_a": F.lit(False), "__in_b": F.lit(True)}
-            )
-        )
-    )
-    sides = stacked.groupBy(*[col(c) for c in columns]).agg(
-        F.bool_or("__in_a").alias("__in_a"), F.bool_or("__in_b").alias("__in_b")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    names = [col(c) for c in columns]
+    left = a.select(*names, one.alias("__in_a"), none.alias("__in_b"))
+    right = b.select(*names, none.alias("__in_a"), one.alias("__in_b"))
+    return left.unionByName(right).groupBy(*names).agg(
+        F.sum("__in_a").alias("__in_a"), F.sum("__in_b").alias("__in_b")
     )
-    return sides.where(F.col("__in_a") != F.col("__in_b")).select(
-        *[col(c) for c in columns],
-        F.when(F.col("__in_a"), "a").otherwise("b").alias("only_in"),
+
+
+def row_differences(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Distinct rows found on one side only, with the side's name."""
+    columns = list(columns or a.columns)
+    only_a, only_b = F.col("__in_b") == 0, F.col("__in_a") == 0
+    return _sides(a, b, columns).where(only_a | only_b).select(
+        *[col(c) for c in columns], F.when(only_a, "a").otherwise("b").alias("only_in")
     )
 
 
 def relation_diff(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: difference of the row counts and number of distinct rows on one side only."""
-    n = F.count(F.lit(1))
-    none = F.lit(0).cast("bigint")
-    parts = a.agg(n.alias("difference")).withColumn("mismatched", none)
-    parts = parts.unionByName(b.agg((-n).alias("difference")).withColumn("mismatched", none))
-    parts = parts.unionByName(
-        row_differences(a, b, columns).agg(n.alias("mismatched")).withColumn("difference", none)
-    )
-    return parts.agg(
-        F.sum("difference").alias("row_count_difference"), F.sum("mismatched").alias("num_mismatched")
+    one_sided = (F.col("__in_a") == 0) | (F.col("__in_b") == 0)
+    return _sides(a, b, list(columns or a.columns)).agg(
+        F.coalesce(F.sum(F.col("__in_a") - F.col("__in_b")), F.lit(0)).alias("row_count_difference"),
+        F.count_if(one_sided).alias("num_mismatched"),
     )
 
 

@@ -248,12 +248,17 @@ def fn_cast(t):
 
 @query(
     "fn_generate_series",
-    "SELECT l_quantity, g.n AS generated_number FROM (SELECT DISTINCT l_quantity FROM lineitem) JOIN (SELECT unnest(range(1, 51)) AS n) g ON g.n <= l_quantity",
+    """
+SELECT g.n AS generated_number, count(l_quantity) AS lines
+FROM (SELECT unnest(range(1, 61)) AS n) g LEFT JOIN lineitem ON l_quantity = g.n GROUP BY g.n
+""",
 )
 def fn_generate_series(t):
-    numbers = scalar.generate_series(t.spark, 50)
-    sizes = t.lineitem.select("l_quantity").distinct()
-    return sizes.join(F.broadcast(numbers), F.col("generated_number") <= F.col("l_quantity"))
+    numbers = scalar.generate_series(t.spark, 60)
+    sizes = t.lineitem.groupBy(F.col("l_quantity").cast("bigint").alias("generated_number")).agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+    return numbers.join(sizes, "generated_number", "left").fillna(0, ["lines"])
 
 
 @query(

@@ -8,6 +8,7 @@ from tidemark.operators.merge import merge
 from tidemark.operators.overwrite import delete_where
 from tidemark.operators.partition import PartitionSpec
 from tidemark.queries.registry import query
+from tidemark.session import stage
 
 STORED = "o_orderdate < TIMESTAMP_NTZ '1999-01-01 00:00:00'"
 LOADED = "o_orderdate >= TIMESTAMP_NTZ '1997-01-01 00:00:00'"
@@ -192,11 +193,12 @@ FROM t FULL OUTER JOIN s ON t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l
 """,
 )
 def merge_composite_key(t):
-    base = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
         F.sum("l_quantity").alias("quantity"),
         F.max("l_extendedprice").alias("price"),
         F.max("l_shipdate").alias("shipped"),
     )
+    base = stage(lines, "lines")  # computed once, though the merge reads it several times
     target = base.where("shipped < TIMESTAMP_NTZ '1999-01-01 00:00:00'")
     source = base.where("shipped >= TIMESTAMP_NTZ '1997-01-01 00:00:00'").withColumn(
         "quantity", F.col("quantity") + 100

@@ -7,6 +7,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Settings the operators rely on. Time columns are compared as UTC instants;
 #: AQE splits skewed joins and rebalanced writes and coalesces small partitions.
@@ -68,6 +70,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _store(df: DataFrame, path: str) -> DataFrame:
+    # a bare NULL has no type a file could hold
+    bare = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if isinstance(f.dataType, T.NullType)}
+    df = df.withColumns(bare) if bare else df
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -75,9 +85,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     for the update, the key match and the insert), or that must not change
     between them. The files outlive the executors that wrote them.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _store(df, scratch_path(df.sparkSession, label))
 
 
 @contextlib.contextmanager
@@ -88,7 +96,6 @@ def staged(df: DataFrame, label: str = "stage"):
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    yield spark.read.schema(df.schema).parquet(path)
+    yield _store(df, path)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
