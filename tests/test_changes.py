@@ -46,7 +46,7 @@ def test_initial_row_counts_only_inside_the_window(spark):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_overlap_join_is_the_same_for_every_size(spark, rows, monkeypatch, small):
-    monkeypatch.setattr(changes_module, "is_small", lambda df: small)
+    monkeypatch.setattr(changes_module, "broadcast_if_small", lambda df: F.broadcast(df) if small else df.hint("merge"))
     log = [("a", "ok", at(h % 24, 1 + h // 24), at((h + 30) % 24, 1 + (h + 30) // 24), [str(h)]) for h in range(0, 100, 7)]
     asked = [(i, "a", at(i % 24, 1 + i // 24), at((i + 20) % 24, 1 + (i + 20) // 24)) for i in range(0, 100, 9)]
     asked += [(1000, "a", at(5), at(3)), (1001, "b", at(1), at(2))]

@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.errors import ConfigError, SchemaChangeError
+from tidemark.errors import ConfigError, ContractError, SchemaChangeError
 from tidemark.operators.fanout import fan_out, params_from
 from tidemark.operators.overwrite import insert_overwrite
 from tidemark.operators.merge import merge
@@ -105,6 +105,27 @@ def test_overwrite_with_copy(spark, table):
         overwrite_table(spark, table, frame(spark, (1, None)))
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_ingestion_time_partitions(spark, table, kind):
+    spec = PartitionSpec("ts", kind, "day", ingestion_time=True)
+    first = frame(spark, *[(i, at(1)) for i in range(1, 5)])
+    second = frame(spark, (10, at(1)), (20, at(1)), (30, at(2)), (40, at(2)))
+    got = twice(spark, table, BuildConfig("insert_overwrite", partition=spec), first, second)
+    assert [r[0] for r in got] == [10, 20, 30, 40]
+    assert tables.read_table(spark, table).columns == ["id", "_PARTITIONTIME"]
+
+
+def test_contract_of_a_build(spark, table):
+    config = BuildConfig("merge", unique_key="id", contract="ts timestamp_ntz, id bigint", not_null=("id",))
+    build_incremental(spark, table, lambda s, t: frame(s, (1, at(1))), config)
+    assert tables.read_table(spark, table).columns == ["ts", "id"]
+    with pytest.raises(Exception, match="id is NULL"):
+        build_incremental(spark, table, lambda s, t: frame(s, (None, at(1))), config)
+    with pytest.raises(ContractError):
+        build_incremental(spark, table, lambda s, t: frame(s, (1, at(1))).withColumn("more", F.lit(1)), config)
+    assert len(stored(spark, table)) == 1
+
+
 def test_full_refresh_and_views(spark, table):
     config = BuildConfig("merge", unique_key="id")
     build_incremental(spark, table, lambda s, t: frame(s, (1, at(1))), config)

@@ -172,7 +172,7 @@ def concat(*values) -> Column:
 
 
 def length(value) -> Column:
-    return F.char_length(_value(value))
+    return F.char_length(_value(value)).cast("bigint")
 
 
 def replace(value, old: str, new: str) -> Column:
@@ -186,7 +186,7 @@ def hash_text(value) -> Column:
 
 def position(part: str, value) -> Column:
     """1-based place of ``part`` in ``value``, 0 if absent."""
-    return F.instr(_value(value), F.lit(part))
+    return F.instr(_value(value), F.lit(part)).cast("bigint")
 
 
 def right(value, n: int) -> Column:

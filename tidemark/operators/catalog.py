@@ -54,7 +54,7 @@ def column_index(columns: DataFrame) -> DataFrame:
     The window covers the columns of one table's schema, never its rows.
     """
     order = Window.partitionBy("table_schema", "shard_name").orderBy("ordinal_position", "column_name")
-    return columns.withColumn("column_index", F.row_number().over(order))
+    return columns.withColumn("column_index", F.row_number().over(order).cast("bigint"))
 
 
 def layout_stats(columns: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def catalog_report(tables: DataFrame, columns: DataFrame) -> DataFrame:
         "table_type",
         "table_comment",
         F.coalesce("column_name", F.lit(UNKNOWN)).alias("column_name"),
-        F.coalesce("column_index", F.lit(1)).alias("column_index"),
+        F.coalesce("column_index", F.lit(1).cast("bigint")).alias("column_index"),
         F.coalesce("column_type", F.lit(UNKNOWN)).alias("column_type"),
         F.coalesce("column_comment", F.lit("")).alias("column_comment"),
         "is_date_shard",

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import ConfigError
 from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
-from tidemark.operators.partition import PartitionSpec
-from tidemark.operators.sizing import broadcast_if_small, is_small, key_set, split_by_keys
+from tidemark.operators.partition import PartitionSpec, literal
+from tidemark.operators.sizing import broadcast_if_small, key_set, split_by_keys
 from tidemark.session import stage
 
 CHANGE_TYPE = "_change_type"
@@ -65,9 +65,9 @@ def snapshot_diff(
 def between(df: DataFrame, start=None, end=None, time_column: str = CHANGE_TIME) -> DataFrame:
     """Rows of the half-open window ``[start, end)``; either side may be open."""
     if start is not None:
-        df = df.where(col(time_column) >= start)
+        df = df.where(col(time_column) >= literal(start))
     if end is not None:
-        df = df.where(col(time_column) < end)
+        df = df.where(col(time_column) < literal(end))
     return df
 
 
@@ -100,7 +100,7 @@ def changes_agg(changes: DataFrame, start=None, end=None) -> DataFrame:
     with most of the changes sends one row per partition and task into the shuffle.
     """
     if start is not None and end is not None:
-        changes = changes.where(F.lit(start) < F.lit(end))
+        changes = changes.where(literal(start) < literal(end))
     per_partition = (
         between(changes, start, end)
         .groupBy("full_table_name", "partition_id")
@@ -150,7 +150,7 @@ def pool(
     With ``feed_is_delta`` every row of ``changes`` is new, as in a stream: late rows count
     too, and the window is widened back to the earliest of them.
     """
-    end = F.lit(end).cast("timestamp_ntz") if not isinstance(end, Column) else end
+    end = literal(end).cast("timestamp_ntz")
     # a table listed twice is pooled once
     listing = registry.dropDuplicates(["full_table_name"])
     text = F.lit(None).cast("string")
@@ -239,8 +239,7 @@ def overlapping(log: DataFrame, requests: DataFrame) -> DataFrame:
     so only rows of a common day meet and a busy table is split over many tasks; a pair
     counts on its first common day. A small request side is broadcast.
     """
-    asked = _by_day(requests, "start", "end")
-    asked = F.broadcast(asked) if is_small(requests) else asked
+    asked = broadcast_if_small(_by_day(requests, "start", "end"))
     return asked.alias("r").join(
         _by_day(log, "delta_start", "delta_end").alias("l"),
         (F.col("r.full_table_name") == F.col("l.full_table_name"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tidemark.errors import ConfigError
 from tidemark.operators.changes import ADVANCING
 from tidemark.operators.merge import col
+from tidemark.operators.partition import literal
 
 NTZ = T.TimestampNTZType()
 
@@ -94,7 +95,7 @@ def append_checkpoints(ledger: DataFrame, rows: DataFrame) -> DataFrame:
 def log_rows(results: DataFrame, pooled_at, invocation_id: str) -> DataFrame:
     """Pool results as change-log rows; skipped and missing tables leave none."""
     rows = results.where("logged").withColumns(
-        {"pooled_at": F.lit(pooled_at), "invocation_id": F.lit(invocation_id)}
+        {"pooled_at": literal(pooled_at), "invocation_id": F.lit(invocation_id)}
     )
     return _shape(rows, LOG_SCHEMA)
 
@@ -104,9 +105,9 @@ def checkpoint_rows(results: DataFrame, pooled_at, finished_at, invocation_id: s
     rows = results.where(F.col("logged") & F.col("status").isin(ADVANCING)).select(
         F.lit(invocation_id).alias("invocation_id"),
         "full_table_name",
-        F.lit(pooled_at).alias("run_started_at"),
-        F.lit(pooled_at).alias("node_started_at"),
-        F.lit(finished_at).alias("node_finished_at"),
+        literal(pooled_at).alias("run_started_at"),
+        literal(pooled_at).alias("node_started_at"),
+        literal(finished_at).alias("node_finished_at"),
         F.col("delta_start").alias("delta_start_time"),
         F.col("delta_end").alias("delta_end_time"),
         F.lit(False).alias("full_refresh"),
@@ -138,7 +139,7 @@ def record_pooling(registry: DataFrame, results: DataFrame, pooled_at) -> DataFr
     Layout columns take the new value, the last status and time keep the old one where
     the new one is NULL, and a table not seen before is added enabled.
     """
-    now = F.lit(pooled_at).cast(NTZ)
+    now = literal(pooled_at).cast(NTZ)
     rows = _shape(
         results.where("logged")
         .withColumnRenamed("status", "last_status")
@@ -173,7 +174,7 @@ def register(registry: DataFrame, tables: DataFrame, now) -> DataFrame:
     ``tables``: ``full_table_name`` and optionally any layout column or ``schedule_group``.
     NULL never replaces a known value.
     """
-    moment = F.lit(now).cast(NTZ)
+    moment = literal(now).cast(NTZ)
     rows = _shape(tables, REGISTRY_SCHEMA).withColumn("__new", F.lit(True))
 
     def on_match(name, old):
@@ -200,7 +201,7 @@ def register(registry: DataFrame, tables: DataFrame, now) -> DataFrame:
 
 def unregister(registry: DataFrame, tables: DataFrame, now) -> DataFrame:
     """Registry with tables switched off; their rows stay."""
-    moment = F.lit(now).cast(NTZ)
+    moment = literal(now).cast(NTZ)
     off = tables.select("full_table_name", F.lit(True).alias("__off")).distinct()
     rows = registry.join(off, "full_table_name", "left")
     gone = F.col("__off").isNotNull()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime
 from collections.abc import Callable, Mapping
 from typing import Any
 
@@ -22,6 +23,17 @@ SPARK_TYPES = {
 INGESTION_TIME = "_PARTITIONTIME"
 
 
+def literal(value: Any) -> Column:
+    """A Python value as a literal.
+
+    A time without a zone stays one: as a plain literal it would be read in the time zone of
+    the driver's machine, and comparing it would cast the stored column.
+    """
+    if isinstance(value, datetime.datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 @dataclasses.dataclass(frozen=True)
 class IntRange:
     start: int
@@ -141,7 +153,7 @@ class PartitionSpec:
 
     def literal(self, value: Any) -> Column:
         """A Python value as a literal of the partition type."""
-        return F.lit(value).cast(self.spark_type)
+        return literal(value).cast(self.spark_type)
 
     def with_ingestion_time(self, df):
         """Replace the partition column by the hidden ingestion time column."""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError, ContractError
 from tidemark.operators.merge import check_comparable, col
+from tidemark.operators.partition import literal
 from tidemark.operators.schema import rebuild, same_type
 
 
@@ -171,7 +172,7 @@ def enforce_contract(
 
 
 def _freshness_row(agg: DataFrame, as_of, warn_after: float | None, error_after: float | None) -> DataFrame:
-    as_of = F.lit(as_of)
+    as_of = literal(as_of)
     stamp = F.col("max_loaded_at")
     age = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(stamp.cast("timestamp"))
     age = (age / F.lit(1_000_000)).cast("double")

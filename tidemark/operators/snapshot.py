@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
 from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
+from tidemark.operators.partition import literal
 from tidemark.operators.schema import bare_type, conform, evolved_schema
 
 HARD_DELETES = ("ignore", "invalidate", "new_record")
@@ -88,7 +89,7 @@ def snapshot(
         version = col(updated_at)
     else:
         kind = current.schema[names.valid_from].dataType if current is not None else "timestamp_ntz"
-        version = F.lit(now).cast(kind)
+        version = literal(now).cast(kind)
     if current is None:
         return _first_versions(source, source.columns, keys, version, names, mark, kind)
 
@@ -134,7 +135,7 @@ def snapshot(
     gone = ~seen
     if has_marker:
         gone = gone & (F.coalesce(col(names.is_deleted, "o"), F.lit("False")) != "True")
-    moment = F.lit(now).cast(kind)
+    moment = literal(now).cast(kind)
     end = F.when(renewed, col("__version", "s"))
     if hard_deletes != "ignore":
         end = F.when(gone, moment).otherwise(end)

@@ -9,12 +9,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
 from tidemark.operators.fanout import overwrite_params
 from tidemark.operators.merge import _align, col, insert_rows, key_list, merge
 from tidemark.operators.overwrite import insert_overwrite, partition_values
 from tidemark.operators.partition import PartitionSpec
+from tidemark.operators.quality import enforce_contract
 from tidemark.operators.schema import conform, evolved_schema, schema_diff
 from tidemark.operators.sizing import listed
 from tidemark.session import staged
@@ -46,6 +48,8 @@ class BuildConfig:
     event_time: str | None = None
     batch_size: str | None = None
     begin: datetime.datetime | None = None
+    contract: T.StructType | str | None = None
+    not_null: tuple[str, ...] = ()
 
     def check(self) -> None:
         if self.strategy not in STRATEGIES:
@@ -73,6 +77,15 @@ class BuildConfig:
         }
 
 
+    def shape(self, rows: DataFrame) -> DataFrame:
+        """A model's rows as they are stored: under contract, with the hidden ingestion time."""
+        if self.contract is not None:
+            rows = enforce_contract(rows, self.contract, self.not_null)
+        if self.partition is not None and self.partition.ingestion_time:
+            rows = self.partition.with_ingestion_time(rows)
+        return rows
+
+
 # ---- writing merge and overwrite results: only touched partitions are rewritten
 
 
@@ -272,10 +285,10 @@ def build_incremental(
     if config.strategy == "microbatch":
         return _build_microbatch(spark, name, model, config, exists and not full_refresh, now)
     if not exists or full_refresh:
-        tables.create_table_as(model(spark, None), name, config.partition, config.cluster_by)
+        tables.create_table_as(config.shape(model(spark, None)), name, config.partition, config.cluster_by)
         return "created"
     # stored before the schema changes, as the model may read the table as it was
-    with staged(model(spark, tables.read_table(spark, name)), "build") as source:
+    with staged(config.shape(model(spark, tables.read_table(spark, name))), "build") as source:
         dest = None
         if config.on_schema_change != "ignore":
             sync_table_schema(spark, name, source, config.on_schema_change)
@@ -436,7 +449,7 @@ def _build_microbatch(spark, name, model, config: BuildConfig, exists: bool, now
     end = now or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
     start, stop = _whole_batches(config.begin, end, config.batch_size)
     target = tables.read_table(spark, name) if exists else None
-    rows = event_time_filter(model(spark, target), config.event_time, start, stop)
+    rows = config.shape(event_time_filter(model(spark, target), config.event_time, start, stop))
     if not exists:
         tables.create_table_as(rows, name, config.partition, config.cluster_by)
         return "created"

@@ -12,7 +12,7 @@ from tidemark.queries.registry import query
 @query(
     "fanout_param_join",
     """
-SELECT p.priority, p.floor, o.o_orderstatus, count(*) AS n, sum(o.o_totalprice::DECIMAL(18,2))::DOUBLE AS total
+SELECT p.priority, p.floor::DOUBLE AS floor, o.o_orderstatus, count(*) AS n, sum(o.o_totalprice::DECIMAL(18,2))::DOUBLE AS total
 FROM orders o
 JOIN (VALUES ('1-URGENT', 1000.0), ('1-URGENT', 100000.0), ('5-LOW', 50000.0)) p(priority, floor)
   ON o.o_orderpriority = p.priority AND o.o_totalprice >= p.floor

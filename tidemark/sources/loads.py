@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.errors import ConfigError
 from tidemark.operators.catalog import SHARD_PATTERN
 from tidemark.operators.merge import col
+from tidemark.operators.partition import literal
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -99,9 +100,9 @@ def event_time_filter(df: DataFrame, field: str, start=None, end=None) -> DataFr
     """
     kind = df.schema[field].dataType
     if start is not None:
-        df = df.where(col(field) >= F.lit(start).cast(kind))
+        df = df.where(col(field) >= literal(start).cast(kind))
     if end is not None:
-        df = df.where(col(field) < F.lit(end).cast(kind))
+        df = df.where(col(field) < literal(end).cast(kind))
     return df
 
 
