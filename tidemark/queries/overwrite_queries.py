@@ -117,16 +117,21 @@ def overwrite_copy_dynamic(t):
     return insert_overwrite(t.events, reloaded(t, LISTED), DAY, copy=True)
 
 
+def peak_days(t):
+    """The day of the largest value of each event type."""
+    peaks = t.events.groupBy("event_type").agg(F.max_by("ts", "value").alias("ts"))
+    return peaks.select(F.col("ts").cast("date").alias("dt")).distinct()
+
+
 @query(
     "overwrite_param_buckets",
     f"""
-SELECT {COLUMNS} FROM events WHERE CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE value > 330)
-UNION ALL {RELOADED} WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM events WHERE value > 330)
+SELECT {COLUMNS} FROM events WHERE CAST(ts AS DATE) NOT IN (SELECT CAST(arg_max(ts, value) AS DATE) FROM events GROUP BY event_type)
+UNION ALL {RELOADED} WHERE CAST(ts AS DATE) IN (SELECT CAST(arg_max(ts, value) AS DATE) FROM events GROUP BY event_type)
 """,
 )
 def overwrite_param_buckets(t):
-    days = t.events.where("value > 330").select(F.col("ts").cast("date").alias("dt")).distinct()
-    return overwrite_buckets(t.events, reloaded(t, "true"), DAY, days, "dt")
+    return overwrite_buckets(t.events, reloaded(t, "true"), DAY, peak_days(t), "dt")
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import aggregate
 from tidemark.operators import catalog, quality
+from tidemark.operators.partition import literal
 from tidemark.queries.registry import query
 from tidemark.sources.loads import preview
 
@@ -120,7 +121,7 @@ FROM s
 def freshness_column(t):
     fresh = quality.freshness(
         {"events": t.events, "orders": t.orders, "lineitem": t.lineitem},
-        F.lit(datetime.datetime(2024, 1, 31, 12)).cast("timestamp_ntz"),
+        literal(datetime.datetime(2024, 1, 31, 12)),
         loaded_at={"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"},
         warn_after=36_000,
         error_after=86_400,

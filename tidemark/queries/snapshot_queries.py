@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.partition import literal
 from tidemark.operators.snapshot import snapshot
 from tidemark.plans.snapshots import snapshot_table
 from tidemark.queries.registry import query
@@ -21,7 +22,7 @@ OUT = ["c_custkey", "c_acctbal", "c_mktsegment", "row_id", "valid_from", "valid_
 
 
 def stamp(moment):
-    return F.lit(moment).cast("timestamp_ntz")
+    return literal(moment)
 
 
 def base(t):

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.operators import ledger
 from tidemark.operators.changes import changed_partitions, snapshot_diff
 from tidemark.operators.fanout import fan_out
-from tidemark.operators.partition import PartitionSpec
+from tidemark.operators.partition import PartitionSpec, literal
 from tidemark.plans.incremental import (
     BuildConfig,
     build_incremental,
@@ -20,7 +20,7 @@ from tidemark.plans.incremental import (
     overwrite_table,
     recompute_dirty,
 )
-from tidemark.queries.overwrite_queries import COLUMNS, DAY, LISTED, LISTED_DAYS, RELOADED, SHIFT, reloaded
+from tidemark.queries.overwrite_queries import COLUMNS, DAY, LISTED, LISTED_DAYS, RELOADED, SHIFT, peak_days, reloaded
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources import tables
@@ -307,12 +307,12 @@ def incremental_microbatch(t):
 @query(
     "incremental_ext_build",
     f"""
-WITH picked AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE value > 330)
+WITH picked AS (SELECT DISTINCT CAST(arg_max(ts, value) AS DATE) AS d FROM events GROUP BY event_type)
 {RELOADED} WHERE CAST(ts AS DATE) IN (SELECT d FROM picked)
 """,
 )
 def incremental_ext_build(t):
-    days = t.events.where("value > 330").select(F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    days = peak_days(t).select(F.col("dt").cast("string").alias("dt"))
 
     def model(spark, params):
         day = F.to_date("params.dt")
@@ -406,7 +406,7 @@ def stream_pooling(t):
     names = t.events.select(F.concat(F.lit("raw."), "event_type").alias("full_table_name")).distinct()
     listed = names.selectExpr("*", "'time' AS partition_type", "'day' AS partition_granularity", "'ts' AS partition_field")
     tables.create_table_as(ledger.register(tables.read_table(t.spark, known), listed, start), known)
-    moment = F.lit(start).cast("timestamp_ntz")
+    moment = literal(start)
     first = names.select("*", moment.alias("node_finished_at"), moment.alias("delta_end_time"), F.lit(True).alias("success"))
     tables.append_rows(ledger.append_checkpoints(t.spark.createDataFrame([], ledger.CHECKPOINT_SCHEMA), first), marks)
 
