@@ -63,10 +63,14 @@ def measures(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
     )
     covered = F.array_distinct(F.flatten(F.transform(again, lambda w: F.array(w["i"], w["i"] + 1, w["i"] + 2))))
     n_repeat = F.coalesce(F.size(covered), F.lit(0))
-    return placed.select(
+    measured = placed.select(
         "row", "host", "text_hi", "text_lo", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.when(F.col("sorted").isNull(), F.lit(0)).otherwise(n_repeat).cast("bigint").alias("n_repeat_words"),
-    ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+        F.monotonically_increasing_id().alias("number"),
+    )
+    # a filter on the verdict must not be pushed below the row number: its conditions would then hold the
+    # whole expressions above, one inside the other, and compute them anew for each word
+    return measured.where("number >= 0").drop("number").withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def depleted_texts(
