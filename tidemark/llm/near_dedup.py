@@ -3,10 +3,11 @@
 1. Each text becomes the set of its distinct word shingles (64-bit hashes), a digest of that set, a
    signature of 16-bit minima and one hash for each band of ``rows`` minima.
 2. Documents with the same digest are one class, stood for by its smallest id; only these go on.
-3. Classes that share a band are candidates. A bucket is never expanded into all pairs at once: first
-   each member is compared with the bucket's pivot, the member that meets most others over all bands.
-   Links so found are merged into components; then only pairs of a bucket whose components still
-   differ are compared, so a large group of copies costs one comparison a member.
+3. Classes that share a band are candidates. A bucket is never expanded into all pairs: first each class
+   is compared with one pivot, the member of its buckets that meets most others over all bands, and
+   the links so found are merged into components. Only buckets whose members are still apart are looked
+   at again. If one of their components is large, the members outside it are compared with it and with
+   each other in blocks, inside tasks that hand on links and no pairs; else the few pairs are listed.
 4. Candidates are compared a batch of minima at a time. After each batch the posterior probability
    (uniform prior) that the similarity reaches the threshold is bounded; pairs below the chosen miss
    probability are pruned, survivors are verified on their full sets.
@@ -27,7 +28,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import lists, map_rows, own_names
@@ -39,6 +40,8 @@ ROWS, BANDS = 6, 32
 STEP = 32
 #: Accepted probability that a pair at or above the threshold is pruned at a step.
 MISS = 1e-6
+#: Components of more classes than this are compared in blocks, of about so many classes.
+LARGE, BLOCK = 50, 512
 
 
 class _WordHashes(dict):
@@ -185,6 +188,100 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, threshold: Fraction)
     return map_rows(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b"), work, f"a {kind}, b {kind}")
 
 
+def _near(x: str, y: str, threshold: Fraction) -> Column:
+    """Sets whose sizes differ too much cannot reach the threshold."""
+    return F.least(x, y) * threshold.denominator >= F.greatest(x, y) * threshold.numerator
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each set of ``left`` with each of ``right``."""
+    found = np.zeros((len(left), len(right)), np.float32)
+    sets = [*left, *right]
+    values, number = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    # only what both sides hold counts; numbered anew
+    both = np.zeros((2, len(values)), bool)
+    both[(row >= len(left)).astype(int), number] = True
+    shared = both.all(axis=0)
+    place = np.cumsum(shared) - 1
+    use = shared[number]
+    row, column = row[use], place[number[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int(shared.sum()), width):  # bounded memory for long texts
+        part = slice(*np.searchsorted(column, [start, start + width]))
+        marks = np.zeros((len(sets), width), np.float32)
+        marks[row[part], column[part] - start] = 1
+        found += marks[: len(left)] @ marks[len(left) :].T
+    return found
+
+
+def _block_links(outside, groups, docs, sigs, size: int, threshold: Fraction, count: int, miss: float) -> DataFrame:
+    """Links (a, b) of the members in ``outside`` (doc, large) with their large component and each other.
+
+    Both sides are dealt into blocks of about ``BLOCK`` documents by a hash, and every pair of blocks is
+    one group of bounded size. Pairs go through the same steps as elsewhere, in place. A group hands on
+    only links that join what its earlier ones have not, at most one for each of its documents.
+    """
+    kind = docs.schema["doc"].dataType
+    least = fewest_matches(float(threshold), count, miss)
+    asked = outside.groupBy("large").agg(F.count(F.lit(1)).alias("asks"))
+    member = groups.join(asked, groups["component"] == asked["large"]).select(F.col("node").alias("doc"), "large")
+    every = member.withColumn("inside", F.lit(True)).unionByName(outside.withColumn("inside", F.lit(False)))
+    sizes = every.groupBy("large").agg(F.count(F.lit(1)).alias("members")).join(asked, "large").select(
+        "large",
+        F.ceil(F.col("members") / BLOCK).cast("int").alias("columns"),
+        F.ceil(F.col("asks") / BLOCK).cast("int").alias("lines"),
+    )
+    # repeated rows of one document count once
+    needed = every.select("doc").distinct()
+    texts = docs.join(needed, "doc", "left_semi").distinct().join(sigs.join(needed, "doc", "left_semi").distinct(), "doc")
+    deal = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = outside.join(sizes, "large").select("doc", "large", deal("lines").alias("line"), all_of("columns").alias("column"))
+    right = every.join(sizes, "large").select("doc", "large", "inside", deal("columns").alias("column"), all_of("lines").alias("line"))
+    up, down = threshold.numerator, threshold.denominator
+
+    def work(asking: pa.Table, others: pa.Table) -> pa.Table:
+        out: tuple[list, list] = ([], [])
+        if len(asking) and len(others):
+            a, b = asking["doc"].to_pylist(), others["doc"].to_pylist()
+            x, y = (np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(-1, count) for t in (asking, others))
+            alive = np.array(a, dtype=object)[:, None] != np.array(b, dtype=object)[None, :]
+            matches = np.zeros(alive.shape, np.int16)
+            for start in range(0, count, STEP):
+                end = min(start + STEP, count)
+                for k in range(start, end):
+                    matches += x[:, k, None] == y[None, :, k]
+                alive &= matches >= least[end - 1]
+            if alive.any():
+                rows, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+                asked_texts, other_texts = asking["text"].to_pylist(), others["text"].to_pylist()
+                sets = [shingles(asked_texts[r], size) for r in rows], [shingles(other_texts[c], size) for c in columns]
+                common = intersections(*sets)
+                both = np.add.outer(*[np.array([len(s) for s in side]) for side in sets]) - common
+                linked = (down * common >= up * both) & alive[np.ix_(rows, columns)]
+                # what is joined already has one label; the large component is joined from the start
+                label = np.where(np.asarray(others["inside"])[columns], 0, 1 + np.arange(len(columns)))
+                for r in np.flatnonzero(linked.any(axis=1)):
+                    hits = np.flatnonzero(linked[r])
+                    joined, first = np.unique(label[hits], return_index=True)
+                    for hit in hits[first]:
+                        out[0].append(a[rows[r]])
+                        out[1].append(b[columns[hit]])
+                    label[np.isin(label, joined)] = joined[0]
+        types = asking.schema.field("doc").type
+        return pa.table([pa.array(c, type=types) for c in out], names=["a", "b"])
+
+    keys = ["large", "line", "column"]
+    asking = left.join(texts, "doc").groupBy(*keys)
+    others = right.join(texts, "doc")
+    others = others.toDF(*others.columns).groupBy(*keys)  # columns of their own
+    return asking.cogroup(others).applyInArrow(
+        work, f"a {kind.simpleString()}, b {kind.simpleString()}"
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -205,48 +302,45 @@ def near_duplicates(
     chosen = known.join(
         classes, (known["digest"] == classes["digest"]) & (known["doc"] == classes["rep"]), "left_semi"
     ).dropDuplicates(["doc", "digest"])
-    buckets = chosen.select("doc", "n", F.posexplode("bands").alias("band", "bucket"))
-    sizes = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = buckets.join(sizes, ["band", "bucket"])
+    buckets = chosen.select("doc", "n", F.explode("bands").alias("bucket"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = buckets.join(sizes, "bucket")
     # the more other classes a class meets, the better it stands for its buckets
     weight = shared.groupBy("doc").agg(F.sum("members").alias("weight"))
-    members = stage(shared.join(weight, "doc").select("band", "bucket", "doc", "n", "weight"), "buckets")
-    pivots = members.groupBy("band", "bucket").agg(
-        F.max(F.struct("weight", F.negative("doc").alias("doc"), "n")).alias("p")
-    ).select("band", "bucket", F.negative("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"))
-    # sets whose sizes differ too much cannot reach the threshold
-    near = lambda x, y: F.least(x, y) * exact.denominator >= F.greatest(x, y) * exact.numerator
+    members = stage(shared.join(weight, "doc").select("bucket", "doc", "n", "weight"), "buckets")
+    pivots = members.groupBy("bucket").agg(F.max(F.struct("weight", F.negative("doc").alias("doc"), "n")).alias("p"))
+    sigs = known.select("doc", "sig")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        alive = stage(_survivors(pairs, known.select("doc", "sig"), threshold, rows * bands, miss), "pairs")
+        alive = stage(_survivors(pairs, sigs, threshold, rows * bands, miss), "pairs")
         return stage(_verified(alive, plain, size, exact), "verified")
 
-    star = members.join(pivots, ["band", "bucket"]).where("doc != pivot").where(near(F.col("n"), F.col("pivot_n")))
-    links = links_of(star.select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
+    star = members.join(pivots, "bucket").where((F.negative("doc") != F.col("p.doc")) & _near("n", "p.n", exact))
+    best = star.groupBy("doc").agg(F.max(F.struct("p.weight", "p.doc")).alias("p"))
+    links = links_of(best.select(F.col("doc").alias("a"), F.negative("p.doc").alias("b")))
     groups = components(links)
-    # members of one bucket that are still apart
+
+    # buckets whose members are still apart
+    large = groups.groupBy("component").agg(F.count(F.lit(1)).alias("nodes")).where(F.col("nodes") > LARGE)
     placed = members.join(groups, members["doc"] == groups["node"], "left").select(
-        "band", "bucket", "doc", "n", F.coalesce("component", "doc").alias("component")
+        "bucket", "doc", "n", F.coalesce("component", "doc").alias("component")
     )
-    apart = placed.groupBy("band", "bucket").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    ).where("least != most").select("band", "bucket")
-    rest = stage(placed.join(apart, ["band", "bucket"]).join(pivots.drop("pivot_n"), ["band", "bucket"]), "apart")
-    # members outside the bucket's largest component against all others; its own pairs need no look
-    largest = rest.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("size")).groupBy(
-        "band", "bucket"
-    ).agg(F.max(F.struct("size", "component")).getField("component").alias("largest"))
-    rest = rest.join(largest, ["band", "bucket"])
-    side = lambda x: [F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("component").alias(f"c_{x}")]
-    left = rest.where("component != largest").select("band", "bucket", *side("a"))
-    right = rest.select("band", "bucket", *side("b"), "largest", "pivot")
-    more = (
-        left.join(right, ["band", "bucket"])
-        .where("c_a != c_b AND (a < b OR c_b = largest) AND a != pivot AND b != pivot")  # the pivot's are known
-        .where(near(F.col("n_a"), F.col("n_b")))
+    apart = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    rest = stage(placed.join(apart, "bucket", "left_semi").join(large, "component", "left"), "apart")
+    with_large = stage(rest.where("nodes IS NOT NULL").select("bucket", "component", "nodes").distinct(), "large")
+    # a member and a large component of another member of the bucket, from the smaller to the larger
+    outside = (
+        rest.alias("x").join(with_large.alias("c"), "bucket")
+        .where("coalesce(x.nodes, 1) < c.nodes OR (x.nodes = c.nodes AND x.component < c.component)")
+        .select(F.col("x.doc").alias("doc"), F.col("c.component").alias("large")).distinct()
     )
-    groups = components(links.unionByName(links_of(more.select("a", "b"))))
+    blocked = stage(_block_links(stage(outside, "outside"), groups, plain, sigs, size, exact, rows * bands, miss), "blocks")
+    few = rest.join(with_large, "bucket", "left_anti")
+    left = few.select("bucket", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+    right = few.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    pairs = left.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _near("n_a", "n_b", exact))
+    groups = components(links.unionByName(links_of(pairs.select("a", "b"))).unionByName(blocked))
     # back from classes to documents
     named = classes.join(groups, classes["rep"] == groups["node"], "left").select(
         F.col("digest").alias("class"), F.coalesce("component", "rep").alias("of_class")
