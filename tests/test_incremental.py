@@ -219,7 +219,10 @@ def test_parameterised_overwrite(spark, table):
     rows = frame(spark, *[(d, at(d, 12)) for d in range(1, 6)])
 
     def model(spark, params):
-        return fan_out(rows, params.select("dt"), lambda: F.col("query.ts").cast("date") <= F.to_date("params.dt"))
+        return fan_out(rows, params.select("dt"), lambda: (
+            (F.trunc("query.ts", "month") == F.trunc(F.to_date("params.dt"), "month"))
+            & (F.col("query.ts").cast("date") <= F.to_date("params.dt"))
+        ))
 
     params = params_from(spark, values=[{"dt": "2024-01-02"}, {"dt": "2024-01-02 10:00:00"}, {"dt": "2024-01-04"}])
     config = BuildConfig("insert_overwrite", partition=DAY)
@@ -275,3 +278,20 @@ def test_recompute_of_dirty_partitions(spark, table):
     assert stored(spark, table) == [(1, at(1)), (13, at(3))]
     recompute_dirty(spark, table, source, None)
     assert stored(spark, table) == [(11, at(1)), (13, at(3))]
+
+
+def test_microbatch_runs_only_new_batches(spark, table):
+    config = BuildConfig("microbatch", partition=DAY, event_time="ts", batch_size="day", begin=at(1), lookback=1)
+    rows = [(d, at(d, 12)) for d in range(1, 6)]
+    model = lambda s, t: frame(s, *rows)
+    assert build_incremental(spark, table, model, config, now=at(4)) == "created"
+    old = {f for f in spark.table(table).inputFiles() if "2024-01-01" in f or "2024-01-02/" in f}
+    assert old
+    rows += [(12, at(2, 13)), (13, at(3, 13)), (11, at(1, 13))]  # late data
+    assert build_incremental(spark, table, model, config, now=at(5)) == "updated"
+    spark.catalog.refreshTable(table)
+    assert {f for f in spark.table(table).inputFiles() if "2024-01-01" in f} <= old
+    # the newest stored day is the 3rd, and the lookback takes in the 2nd
+    assert sorted(r[0] for r in stored(spark, table)) == [1, 2, 3, 4, 12, 13]
+    build_incremental(spark, table, model, config, now=at(6), batches=(at(1), at(2)))
+    assert sorted(r[0] for r in stored(spark, table)) == [1, 2, 3, 4, 11, 12, 13]

@@ -214,3 +214,22 @@ def test_a_hot_key_goes_through(spark):
         done = merge(target, source, "k")
         assert done.where("k = 0").select("v").distinct().collect()[0][0] == -1
         assert done.where("k = -1").count() == 3_000
+
+
+def test_two_sided_predicate_over_repeated_keys(spark, rows):
+    target = spark.createDataFrame([(1, 10), (2, 10), (3, 10)], "id int, v int")
+    source = [(1, 5), (1, 20), (2, 5), (2, 6), (4, 1), (4, 2)]
+    for order in (source, source[::-1]):
+        df = spark.createDataFrame(order, "id int, v int")
+        got = rows(merge(target, df, "id", predicates=["source.v > dest.v"]))
+        assert got == sorted([(1, 20), (1, 5), (2, 10), (2, 5), (2, 6), (3, 10), (4, 1), (4, 2)], key=lambda r: [(True, str(v)) for v in r])
+    both = spark.createDataFrame([(1, 20), (1, 30)], "id int, v int")
+    with pytest.raises(Exception, match="more than one source row"):
+        merge(target, both, "id", predicates=["source.v > dest.v"]).collect()
+
+
+def test_plan_shuffles_no_wide_aggregate(spark):
+    target = spark.range(100).selectExpr("id", "id AS v", "id AS w")
+    source = spark.range(50).selectExpr("id", "id + 1 AS v", "id AS w")
+    plan = merge(target, source, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

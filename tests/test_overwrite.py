@@ -6,6 +6,7 @@ import pytest
 from tidemark.errors import ConfigError
 from tidemark.operators.overwrite import delete_where, insert_overwrite, overwrite_buckets
 from tidemark.operators.partition import IntRange, PartitionSpec
+from tidemark.sources import tables
 
 D1, D2, D3 = (datetime.datetime(2020, 1, d) for d in (1, 2, 3))
 DAY = PartitionSpec("date_time", "datetime", "day")
@@ -114,3 +115,44 @@ def test_random_overwrites_follow_the_model(spark, seed):
     )
     order = lambda r: (r[0], str(r[1]))
     assert sorted(map(tuple, got.collect()), key=order) == sorted(expected, key=order)
+
+
+def test_null_parameters_are_refused(spark, table):
+    from tidemark.operators.fanout import check_listed_overwrite, overwrite_params
+    from tidemark.plans.incremental import overwrite_table_buckets
+
+    day = PartitionSpec("ts", "datetime", "day")
+    rows = spark.createDataFrame([(1, datetime.datetime(2024, 1, 1)), (2, None)], "id int, ts timestamp_ntz")
+    tables.create_table_as(rows, table, day)
+    params = spark.createDataFrame([(datetime.datetime(2024, 1, 1),), (None,)], "dt timestamp_ntz")
+    with pytest.raises(Exception, match="NULL"):
+        overwrite_params(params, day).collect()
+    with pytest.raises(Exception, match="NULL"):
+        overwrite_table_buckets(spark, table, rows, params, "dt")
+    with pytest.raises(ConfigError):
+        tables.replace_partitions(rows.limit(0), table, [None])
+    with pytest.raises(ConfigError):
+        check_listed_overwrite([{"dt": None}])
+    assert sorted(r[0] for r in tables.read_table(spark, table).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("bound", [2, 10_000])
+def test_any_number_of_partitions(spark, table, monkeypatch, bound):
+    """The same table whether the keys are a list or stored."""
+    from tidemark.operators import sizing
+    from tidemark.plans.incremental import merge_table, overwrite_table_buckets
+
+    monkeypatch.setattr(sizing, "listed", lambda df, limit=bound, f=sizing.listed: f(df, limit))
+    hour = PartitionSpec("ts", "datetime", "hour")
+    stamp = "timestampadd(HOUR, id, TIMESTAMP_NTZ'2024-01-01 00:30:00') AS ts"
+    tables.create_table_as(spark.range(12).selectExpr("id", stamp, "0 AS v"), table, hour)
+    before = set(spark.table(table).inputFiles())
+    params = spark.range(8).selectExpr(stamp.replace("AS ts", "AS dt"))
+    source = spark.range(0, 12, 2).selectExpr("id", stamp, "1 AS v")
+    overwrite_table_buckets(spark, table, source, params, "dt")
+    got = sorted((r["id"], r["v"]) for r in tables.read_table(spark, table).collect())
+    assert got == [(0, 1), (2, 1), (4, 1), (6, 1), (8, 0), (9, 0), (10, 0), (11, 0)]
+    assert len(before & set(spark.table(table).inputFiles())) == 4
+    merge_table(spark, table, spark.range(6, 20, 4).selectExpr("id", stamp, "2 AS v"), "id")
+    got = sorted((r["id"], r["v"]) for r in tables.read_table(spark, table).collect())
+    assert got == [(0, 1), (2, 1), (4, 1), (6, 2), (8, 0), (9, 0), (10, 2), (11, 0), (14, 2), (18, 2)]

@@ -161,3 +161,18 @@ def test_invalid_options(spark, options):
         run(None, fact(spark, [1]), **options)
     with pytest.raises(ConfigError):
         snapshot(None, fact(spark, [1]), [], strategy="timestamp", updated_at="updated_at")
+
+
+def test_runs_at_the_same_time_keep_all_history(spark, table):
+    from tidemark.plans.snapshots import snapshot_table
+    from tidemark.sources import tables
+
+    now = [datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2)]
+    make = lambda *rows: spark.createDataFrame(list(rows), "id int, v string")
+    run = lambda df, at: snapshot_table(spark, table, df, "id", strategy="check", check_cols=["v"], now=at)
+    run(make((1, "a"), (2, "a")), now[0])
+    run(make((1, "b"), (2, "a")), now[1])
+    run(make((1, "b"), (2, "c")), now[1])
+    run(make((1, "b"), (2, "c")), now[1])  # nothing new
+    got = sorted((r["id"], r["v"], r["valid_to"] is None) for r in tables.read_table(spark, table).collect())
+    assert got == [(1, "a", False), (1, "b", True), (2, "a", False), (2, "c", True)]

@@ -193,3 +193,27 @@ def test_reads(spark, rows):
     assert rows(after_max_partition(df, target, "ts"), "id") == [(1,), (2,)]
     assert rows(after_max_partition(df, target, "ts", inclusive=False), "id") == [(2,)]
     assert after_max_partition(df, df.limit(0), "ts").count() == 0
+
+
+def test_nested_names_are_quoted(spark, table):
+    from tidemark.functions.scalar import type_text
+
+    kind = "struct<`field-with-dash`: int, `a b`: array<struct<`x``y`: map<string, bigint>>>>"
+    df = spark.createDataFrame([], f"id int, s {kind}")
+    assert spark.createDataFrame([], f"s {type_text(df.schema['s'].dataType)}").schema["s"] == df.schema["s"]
+    tables.create_table_as(spark.createDataFrame([(1,)], "id int"), table)
+    tables.add_table_columns(spark, table, [df.schema["s"]])
+    assert tables.read_table(spark, table).collect()[0]["s"] is None
+
+
+def test_stored_results_are_removed(spark):
+    import os
+
+    from tidemark.session import shared_dir, stage, staging
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with staging(spark):
+        assert stage(spark.range(3)).count() == 3
+        assert len(set(os.listdir(folder)) - before) == 1
+    assert set(os.listdir(folder)) <= before

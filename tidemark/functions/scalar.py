@@ -34,6 +34,18 @@ def equals(a, b, null_safe: bool = True) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 
 
+def type_text(kind: T.DataType) -> str:
+    """A type in SQL, with the names of nested fields quoted at every level."""
+    if isinstance(kind, T.StructType):
+        fields = ("`" + f.name.replace("`", "``") + "`: " + type_text(f.dataType) for f in kind.fields)
+        return f"struct<{', '.join(fields)}>"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{type_text(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{type_text(kind.keyType)}, {type_text(kind.valueType)}>"
+    return kind.simpleString()
+
+
 # arrays
 
 def array_construct(items: Sequence, element_type: str | T.DataType | None = None) -> Column:
@@ -42,7 +54,7 @@ def array_construct(items: Sequence, element_type: str | T.DataType | None = Non
     made = F.array(*[_value(i) for i in items])
     if element_type is None:
         return made
-    kind = element_type if isinstance(element_type, str) else element_type.simpleString()
+    kind = element_type if isinstance(element_type, str) else type_text(element_type)
     return made.cast(f"array<{kind}>")
 
 
@@ -79,13 +91,18 @@ def dateadd(part: str, n, value) -> Column:
     return F.timestamp_add(part.upper(), _value(n).cast("int"), _value(value).cast("timestamp_ntz"))
 
 
+def _floor_div(value: Column, size: int) -> Column:
+    """Whole division towards the past, exact for every 64-bit value."""
+    return F.call_function("div", value - F.pmod(value, F.lit(size).cast("bigint")), F.lit(size).cast("bigint"))
+
+
 def datediff(first, second, part: str) -> Column:
     """Number of period boundaries between two times, negative if ``second`` is earlier."""
     first, second = (_value(v).cast("timestamp_ntz") for v in (first, second))
     part = part.lower()
     if part in MICROS:
         def index(v):
-            return F.floor(F.unix_micros(v.cast("timestamp")) / F.lit(MICROS[part]))
+            return _floor_div(F.unix_micros(v.cast("timestamp")), MICROS[part])
 
         if part == "microsecond":
             def index(v):  # noqa: F811 - no division, so no rounding
@@ -97,7 +114,7 @@ def datediff(first, second, part: str) -> Column:
         origin = F.date_add(F.lit(SUNDAY).cast("date"), 1 if part == "isoweek" else 0)
 
         def index(v):
-            return F.floor(F.date_diff(v.cast("date"), origin) / F.lit(7))
+            return _floor_div(F.date_diff(v.cast("date"), origin).cast("bigint"), 7)
     elif part == "month":
         def index(v):
             return (F.year(v) * 12 + F.month(v)).cast("bigint")

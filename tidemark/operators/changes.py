@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.errors import ConfigError
-from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
+from tidemark.operators.merge import HITS, check_comparable, col, differs, key_list
 from tidemark.operators.partition import PartitionSpec, literal
 from tidemark.operators.sizing import broadcast_if_small, key_set, split_by_keys
 from tidemark.session import stage
@@ -40,10 +41,15 @@ def snapshot_diff(
     values = [c for c in columns if c not in names]
     compare = list(compare or values)
     check_comparable(after.schema, compare)
-    old = one_row_per_key(before.select(*[col(c) for c in columns]), names, drop_null_keys=False)
-    new = one_row_per_key(after.select(*[col(c) for c in columns]), names, drop_null_keys=False)
-    on = all_of([col(k, "old").eqNullSafe(col(k, "new")) for k in names])
-    both = old.alias("old").join(new.alias("new"), on, "full_outer")
+
+    def keyed(df: DataFrame) -> DataFrame:
+        # structs of equal fields are equal, NULLs included; the count and the join share one shuffle by it
+        rows = df.select(F.struct(*[col(k) for k in names]).alias("__key"), *[col(c) for c in columns])
+        return rows.withColumn(HITS, F.count(F.lit(1)).over(Window.partitionBy("__key")))
+
+    both = keyed(before).alias("old").join(
+        keyed(after).alias("new"), F.col("old.__key") == F.col("new.__key"), "full_outer"
+    )
     n_old, n_new = F.col(f"old.{HITS}"), F.col(f"new.{HITS}")
     kind = (
         F.when(n_old.isNull(), "INSERT")
@@ -151,8 +157,8 @@ def pool(
     too, and the window is widened back to the earliest of them.
     """
     end = literal(end).cast("timestamp_ntz")
-    # a table listed twice is pooled once
-    listing = registry.dropDuplicates(["full_table_name"])
+    # a table listed twice is pooled once, as it is listed first
+    listing = first_rows(registry, "full_table_name")
     text = F.lit(None).cast("string")
     flags = {"found": F.lit(True), "meta_error": text, "read_error": text}
     listing = listing.withColumns({k: v for k, v in flags.items() if k not in registry.columns})
@@ -184,6 +190,10 @@ def pool(
     windows = broadcast_if_small(
         tables.where(F.col("status") == "ok").select("full_table_name", "watermark")
     )
+    if not feed_is_delta:
+        # the scan reads no change before the earliest watermark; one row per table is asked
+        oldest = windows.agg(F.min("watermark")).first()[0]
+        changes = between(changes, oldest).where(col(CHANGE_TIME) < end)
     counted = changes.join(windows, "full_table_name")
     if not feed_is_delta:
         counted = counted.where((col(CHANGE_TIME) >= F.col("watermark")) & (col(CHANGE_TIME) < end))
@@ -219,6 +229,13 @@ def pool(
     )
 
 
+def first_rows(df: DataFrame, key: str) -> DataFrame:
+    """The first row of each value of ``key``, by place; found in the map-side aggregate."""
+    placed = df.withColumn("__place", F.monotonically_increasing_id())
+    row = F.min_by(F.struct(*[col(c) for c in df.columns]), "__place").alias("row")
+    return placed.groupBy(col(key)).agg(row).select("row.*")
+
+
 def pool_summary(results: DataFrame) -> DataFrame:
     """Number of pooled tables by status."""
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("tables"))
@@ -304,10 +321,8 @@ def dirty_rows(source: DataFrame, partition: PartitionSpec, partition_ids: Seque
         return source
     if isinstance(partition_ids, DataFrame):
         return split_by_keys(source, partition.id_expr(), partition_ids, partition.span(source))[0]
-    ids = list(partition_ids)
-    if not ids:
-        return source.limit(0)
-    return source.where(partition.id_expr().isin(ids))
+    ids = source.sparkSession.createDataFrame([(i,) for i in partition_ids], "id string")
+    return split_by_keys(source, partition.id_expr(), ids, partition.span(source))[0]
 
 
 def dirty_recompute(
@@ -323,16 +338,11 @@ def dirty_recompute(
     if partition_ids is None:
         return source.select([col(c) for c in target.columns])
     ident = partition.id_expr()
-    if isinstance(partition_ids, DataFrame):
-        dirty = key_set(partition_ids)
-        _, kept = split_by_keys(target, ident, dirty)
-        rows, _ = split_by_keys(source, ident, dirty, partition.span(source))
-    else:
-        ids = list(partition_ids)
-        if not ids:
-            return target
-        dirty = F.coalesce(ident.isin(ids), F.lit(False))
-        kept, rows = target.where(~dirty), source.where(dirty)
+    if not isinstance(partition_ids, DataFrame):
+        partition_ids = source.sparkSession.createDataFrame([(i,) for i in partition_ids], "id string")
+    dirty = key_set(partition_ids)
+    _, kept = split_by_keys(target, ident, dirty)
+    rows, _ = split_by_keys(source, ident, dirty, partition.span(source))
     return kept.unionByName(rows.select([col(c) for c in target.columns]))
 
 

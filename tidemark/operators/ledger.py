@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
-from tidemark.operators.changes import ADVANCING
+from tidemark.operators.changes import ADVANCING, first_rows
 from tidemark.operators.merge import col
 from tidemark.operators.partition import literal
 
@@ -118,7 +118,7 @@ def checkpoint_rows(results: DataFrame, pooled_at, finished_at, invocation_id: s
 
 def _upsert(registry: DataFrame, rows: DataFrame, on_match, on_insert) -> DataFrame:
     """Registry after rows keyed by table name; both rules map a column name to a value."""
-    fresh = rows.dropDuplicates(["full_table_name"])
+    fresh = first_rows(rows, "full_table_name")
     both = registry.alias("old").join(fresh.alias("new"), "full_table_name", "full_outer")
     in_old = F.col("old.registered_at").isNotNull() | F.col("old.enabled").isNotNull()
     in_new = F.col("new.__new")

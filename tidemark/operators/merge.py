@@ -11,12 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidemark.errors import ConfigError
 from tidemark.operators.partition import PartitionSpec
 from tidemark.operators.sizing import split_by_keys
 
 HITS = "__hits"
+REPEATS = "__repeats"
 
 
 def key_list(unique_key: str | Sequence[str] | None) -> list[str]:
@@ -139,22 +141,16 @@ def insert_rows(target: DataFrame, rows: DataFrame, dest_columns: Sequence[str])
     )
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], drop_null_keys: bool) -> DataFrame:
-    """Collapse ``df`` to one row per key, with the number of rows in ``__hits``.
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, as ``__r0``, ``__r1``, ...; only the keys are shuffled, after a partial count."""
+    grouped = df.groupBy(*[col(k).alias(f"__r{i}") for i, k in enumerate(keys)])
+    return grouped.agg(F.count(F.lit(1)).alias(REPEATS)).where(F.col(REPEATS) > 1)
 
-    Equal keys meet in the map-side aggregate, so a key that repeats a billion
-    times sends one row per task to the shuffle.
-    """
-    if drop_null_keys:
-        df = df.where(all_of([col(k).isNotNull() for k in keys]))
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[col(c) for c in rest]) if rest else F.lit(None)
-    grouped = df.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias(HITS), F.first(packed).alias("__row")
-    )
-    return grouped.select(
-        *[col(k) for k in keys], HITS, *[F.col(f"__row.{quoted(c)}").alias(c) for c in rest]
-    )
+
+def refuse_repeats(joined: DataFrame, on: Column, repeated: DataFrame, matched: Column, message: str) -> DataFrame:
+    """``joined`` as it is; a matched row whose key is in ``repeated`` raises an error when the plan runs."""
+    unique = F.assert_true(~matched | F.col(REPEATS).isNull(), message).isNull()
+    return joined.join(repeated, on, "left").where(unique)
 
 
 def merge(
@@ -186,10 +182,12 @@ def merge(
 
     A target row matched by several source rows raises an error when the plan runs.
 
-    Plan: the source is reduced to one row per key before the join, the target is the
-    streamed (left) side of a left outer join, and inserts are an anti join against the
-    matched keys only. Hot target keys can be split by AQE, a small source is broadcast,
-    and no target column beyond the key is read for the insert branch.
+    Plan: the target is the streamed (left) side of one left outer join with the source,
+    repeated source keys are found by a count of the keys alone, and inserts are an anti
+    join against the matched keys only. Hot target keys can be split by AQE, a small source
+    is broadcast, and no target column beyond the key is read for the insert branch. With a
+    predicate over both sides the matches are counted by target row instead, and a source
+    row that matches none is inserted.
     """
     keys = key_list(unique_key)
     dest = list(dest_columns or target.columns)
@@ -228,24 +226,30 @@ def merge(
         else:
             mixed.append(predicate)
 
-    single = one_row_per_key(usable, keys, drop_null_keys=not null_safe)
-    equal = [
-        col(k, "dest").eqNullSafe(col(k, "source")) if null_safe else col(k, "dest") == col(k, "source")
-        for k in keys
-    ]
-    on = all_of(equal + [F.expr(p) for p in mixed])
+    def same(left: Column, right: Column) -> Column:
+        return left.eqNullSafe(right) if null_safe else left == right
 
-    joined = scope.alias("dest").join(single.alias("source"), on, "left")
+    on = all_of([same(col(k, "dest"), col(k, "source")) for k in keys] + [F.expr(p) for p in mixed])
+    marked = usable.withColumn(HITS, F.lit(1))
     matched = F.col(f"source.{HITS}").isNotNull()
-    unique = F.assert_true(
-        ~matched | (F.col(f"source.{HITS}") == 1),
-        "merge: a target row is matched by more than one source row",
-    ).isNull()
+    message = "merge: a target row is matched by more than one source row"
+    if mixed:
+        # which source row matches is known only after the predicate: matches are counted by target row
+        scope_rows = scope.withColumn("__row", F.monotonically_increasing_id())
+        joined = scope_rows.alias("dest").join(marked.alias("source"), on, "left")
+        matches = F.count(F.lit(1)).over(Window.partitionBy(F.col("dest.__row")))
+        joined = joined.withColumn("__matches", matches)
+        joined = joined.where(F.assert_true(~matched | (F.col("__matches") == 1), message).isNull())
+    else:
+        joined = scope.alias("dest").join(marked.alias("source"), on, "left")
+        twice = repeated_keys(usable if null_safe else usable.where(all_of([col(k).isNotNull() for k in keys])), keys)
+        known = all_of([same(col(k, "dest"), F.col(f"__r{i}")) for i, k in enumerate(keys)])
+        joined = refuse_repeats(joined, known, twice, matched, message)
     apply = matched
     if compare is not None:
         apply = matched & differs([col(c, "source") for c in compare], [col(c, "dest") for c in compare])
     changed = {c.lower() for c in updates}
-    updated = joined.where(unique).select(
+    updated = joined.select(
         [
             F.when(apply, col(c, "source")).otherwise(col(c, "dest")).alias(c)
             if c.lower() in changed
@@ -254,19 +258,18 @@ def merge(
         ]
     )
 
-    found = (
-        scope.alias("dest")
-        .join(single.alias("source"), on, "left_semi")
-        .select([col(k, "dest").alias(f"__k{i}") for i, k in enumerate(keys)])
-        .distinct()
-    )
-    unmatched_on = all_of(
-        [
-            col(k).eqNullSafe(F.col(f"__k{i}")) if null_safe else col(k) == F.col(f"__k{i}")
-            for i, k in enumerate(keys)
-        ]
-    )
-    new_rows = usable.join(found, unmatched_on, "left_anti")
+    if mixed:
+        # a source row is new if no target row of its key passes the predicate with it
+        new_rows = usable.alias("source").join(scope.alias("dest"), on, "left_anti")
+    else:
+        found = (
+            scope.alias("dest")
+            .join(usable.alias("source"), on, "left_semi")
+            .select([col(k, "dest").alias(f"__k{i}") for i, k in enumerate(keys)])
+            .distinct()
+        )
+        unmatched_on = all_of([same(col(k), F.col(f"__k{i}")) for i, k in enumerate(keys)])
+        new_rows = usable.join(found, unmatched_on, "left_anti")
     if unusable is not None:
         new_rows = new_rows.unionByName(unusable)
 

@@ -31,12 +31,15 @@ def is_small(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Whether ``df`` stays within both bounds, counted over at most ``max_rows + 1`` rows."""
+    """Whether ``df`` stays within both bounds.
+
+    Rows are counted first, and bytes only if there are few; both as partial aggregates, so each
+    task hands on one number and no row.
+    """
+    if df.agg(F.count(F.lit(1))).first()[0] > max_rows:
+        return False
     size = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0))
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")
-    ).first()
-    return seen["n"] <= max_rows and seen["b"] <= max_bytes
+    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
@@ -65,6 +68,14 @@ def key_set(keys: DataFrame) -> KeySet:
     return KeySet(kind, None, stage(wanted.select(F.col(name).alias("__key")), "keys"))
 
 
+def _ends(keys: KeySet) -> tuple[str, str]:
+    """Smallest and largest key as text."""
+    if keys.texts is not None:
+        return keys.texts[0], keys.texts[-1]
+    key = F.col("__key").cast("string")
+    return tuple(keys.table.agg(F.min(key), F.max(key)).first())
+
+
 def split_by_keys(
     df: DataFrame,
     key: Column,
@@ -83,9 +94,9 @@ def split_by_keys(
     if texts is not None and not texts:
         return df.limit(0), df
     near = df
+    if span is not None:
+        near = df.where(span(*_ends(keys)))
     if texts is not None:
-        if span is not None:
-            near = df.where(span(texts[0], texts[-1]))
         if len(texts) <= MAX_INLINED:
             hit = key.isin([F.lit(t).cast(keys.kind) for t in texts])
             return near.where(hit), df.where(~F.coalesce(hit, F.lit(False)))

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
-from tidemark.operators.merge import HITS, all_of, check_comparable, col, differs, key_list, one_row_per_key
+from tidemark.operators.merge import (
+    HITS,
+    all_of,
+    check_comparable,
+    col,
+    differs,
+    key_list,
+    refuse_repeats,
+    repeated_keys,
+)
 from tidemark.operators.partition import literal
 from tidemark.operators.schema import bare_type, conform, evolved_schema
 
@@ -110,9 +119,9 @@ def snapshot(
     open_rows = grown.where(col(names.valid_to).isNull())
     has_marker = names.is_deleted in grown.columns
 
-    # the new state, one row per key, with its version time
+    # the new state with its version time
     incoming = source.withColumn("__version", version)
-    single = one_row_per_key(incoming, keys, drop_null_keys=True)
+    usable = incoming.where(all_of([col(k).isNotNull() for k in keys])).withColumn(HITS, F.lit(1))
     on = all_of([col(k, "o") == col(k, "s") for k in keys])
     if strategy == "timestamp":
         changed = col(names.valid_from, "o") < col("__version", "s")
@@ -126,10 +135,13 @@ def snapshot(
     if has_marker:
         changed = changed | (col(names.is_deleted, "o") == "True")
     seen = F.col(f"s.{HITS}").isNotNull()
-    unique = F.assert_true(
-        ~seen | (F.col(f"s.{HITS}") == 1), "snapshot: a key occurs more than once in the source"
-    ).isNull()
-    joined = open_rows.alias("o").join(single.alias("s"), on, "left").where(unique)
+    joined = refuse_repeats(
+        open_rows.alias("o").join(usable.alias("s"), on, "left"),
+        all_of([col(k, "o") == F.col(f"__r{i}") for i, k in enumerate(keys)]),
+        repeated_keys(usable, keys),
+        seen,
+        "snapshot: a key occurs more than once in the source",
+    )
 
     renewed = seen & F.coalesce(changed, F.lit(False))
     gone = ~seen

@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 from tidemark.errors import ConfigError
 from tidemark.operators.fanout import overwrite_params
 from tidemark.operators.merge import _align, col, insert_rows, key_list, merge
-from tidemark.operators.overwrite import insert_overwrite, partition_values
+from tidemark.operators.overwrite import delete_where, insert_overwrite, partition_values
 from tidemark.operators.partition import PartitionSpec
 from tidemark.operators.quality import enforce_contract
 from tidemark.operators.schema import conform, evolved_schema, schema_diff
-from tidemark.operators.sizing import listed
-from tidemark.session import staged
+from tidemark.operators.sizing import key_set, split_by_keys
+from tidemark.session import staged, staging
 from tidemark.sources import tables
 from tidemark.sources.loads import event_time_filter
 
@@ -48,6 +48,7 @@ class BuildConfig:
     event_time: str | None = None
     batch_size: str | None = None
     begin: datetime.datetime | None = None
+    lookback: int = 1
     contract: T.StructType | str | None = None
     not_null: tuple[str, ...] = ()
 
@@ -64,6 +65,8 @@ class BuildConfig:
             check_microbatch(self.partition, self.batch_size)
             if not self.event_time or self.begin is None:
                 raise ConfigError("microbatch needs event_time and begin")
+            if self.lookback < 0:
+                raise ConfigError("lookback must not be negative")
 
     def merge_options(self) -> dict:
         return {
@@ -89,11 +92,6 @@ class BuildConfig:
 # ---- writing merge and overwrite results: only touched partitions are rewritten
 
 
-def _bucket_ids(source: DataFrame, partition: PartitionSpec) -> list[str | None] | None:
-    rows = listed(source.select(partition.id_expr().alias("id")).distinct())
-    return None if rows is None else [r["id"] for r in rows]
-
-
 def merge_table(
     spark: SparkSession,
     name: str,
@@ -133,30 +131,47 @@ def merge_table(
         return
     options = {**options, "dest_columns": dest_columns}
     if partition is not None and partition.is_time and partition_scope == "source_dates":
-        ids = _bucket_ids(_align(source, target, dest), partition)
-        if ids is not None:
-            _merge_partitions(spark, name, source, unique_key, partition, ids, options)
-            return
+        ids = _align(source, target, dest).select(partition.id_expr().alias("id"))
+        _merge_partitions(spark, name, source, unique_key, partition, ids, options)
+        return
+    if partition is not None and not options.get("null_safe"):
+        ids = _matched_ids(spark, name, _align(source, target, dest), key_list(unique_key), partition)
+        with staged(ids, "ids") as fixed:
+            if fixed.where("id is null").isEmpty():
+                _merge_partitions(spark, name, source, unique_key, partition, fixed, {**options, "partition_scope": "all"})
+                return
     result = merge(
         target, source, unique_key, partition=partition, partition_scope=partition_scope, **options
     )
     tables.create_table_as(result, name, partition, cluster_by)
 
 
+def _matched_ids(spark, name, source, keys, partition) -> DataFrame:
+    """Partitions that a merge over the whole table touches: those of the source, and those of matched keys."""
+    stored = spark.table(name).select(*[col(k) for k in keys], F.col(tables.BUCKET).alias("id"))
+    matched = stored.join(source.select(*[col(k) for k in keys]), keys, "left_semi").select("id")
+    return matched.union(source.select(partition.id_expr())).distinct()
+
+
 def _merge_partitions(spark, name, source, unique_key, partition, ids, options) -> None:
-    known = [i for i in ids if i is not None]
+    with staging(spark):
+        _merge_touched(spark, name, source, unique_key, partition, ids, options)
+
+
+def _merge_touched(spark, name, source, unique_key, partition, ids, options) -> None:
+    """Merge into the partitions with the given ids, however many; all others stay as they are."""
+    day = lambda ident: F.substring(ident, 1, 10)
+    hourly = partition.is_time and partition.granularity == "hour" and "partition_scope" not in options
+    # an hourly table is matched by day
+    touched = key_set(ids.select(day(F.col("id")).alias("id") if hourly else "id"))
     column = F.col(tables.BUCKET)
-    if partition.granularity == "hour":
-        days = sorted({i[:10] for i in known})
-        inside = F.substring(column, 1, 10).isin(days) if days else F.lit(False)
-        existing = tables.list_partitions(spark, name).where("partition_id is not null")
-        rewritten = [r[0] for r in existing.collect() if r[0][:10] in set(days)]
-    else:
-        inside = column.isin(known) if known else F.lit(False)
-        rewritten = known
-    scope = spark.table(name).where(inside).drop(tables.BUCKET)
-    result = merge(scope, source, unique_key, partition=partition, **options)
-    if None not in ids:
+    spark.catalog.refreshTable(name)
+    scope, _ = split_by_keys(spark.table(name), day(column) if hourly else column, touched)
+    result = merge(scope.drop(tables.BUCKET), source, unique_key, partition=partition, **options)
+    existing = tables.list_partitions(spark, name).where("partition_id is not null")
+    ident = F.col("partition_id")
+    rewritten, _ = split_by_keys(existing, day(ident) if hourly else ident, touched)
+    if ids.where("id is null").isEmpty():
         tables.replace_partitions(result, name, rewritten)
         return
     # rows without a partition are appended, never replaced; the result is fixed first
@@ -231,13 +246,34 @@ def overwrite_table_buckets(
         source = source.where(
             partition.bucket_expr() == partition.bucket_expr(col(source_param))
         ).drop(source_param)
-    ids = listed(params.select(partition.id_expr(col(param)).alias("id")).distinct())
-    if ids is None:
-        raise ConfigError("more partitions than can be replaced in one write")
-    wanted = [r["id"] for r in ids]
+    ident = partition.id_expr(col(param))
+    # a NULL would name the partition of the rows without a date
+    if not params.where(ident.isNull()).isEmpty():
+        raise ConfigError(f"parameter {param} is NULL")
+    with staging(spark):
+        _replace_named(spark, name, source, partition, key_set(params.select(ident.alias("id"))))
+
+
+def _replace_named(spark, name, source, partition, wanted) -> None:
+    """Replace the partitions of a key set by the source's rows there; those left without rows go."""
     target = tables.read_table(spark, name)
     rows = insert_rows(target, _align(source, target, target.columns), target.columns)
-    tables.replace_partitions(rows.where(partition.id_expr().isin(wanted)), name, wanted)
+    inside, _ = split_by_keys(rows, partition.id_expr(), wanted, partition.span(rows))
+    existing = tables.list_partitions(spark, name).where("partition_id is not null")
+    tables.replace_partitions(inside, name, split_by_keys(existing, F.col("partition_id"), wanted)[0])
+
+
+def delete_from_table(spark: SparkSession, name: str, predicate: str, partition_ids: Sequence[str] | DataFrame) -> None:
+    """Delete the rows of some partitions for which a predicate is true; others are neither read nor written."""
+    if not isinstance(partition_ids, DataFrame):
+        partition_ids = spark.createDataFrame([(i,) for i in partition_ids], "id string")
+    with staging(spark):
+        touched = key_set(partition_ids)
+        spark.catalog.refreshTable(name)
+        scope, _ = split_by_keys(spark.table(name), F.col(tables.BUCKET), touched)
+        existing = tables.list_partitions(spark, name).where("partition_id is not null")
+        emptied, _ = split_by_keys(existing, F.col("partition_id"), touched)
+        tables.replace_partitions(delete_where(scope.drop(tables.BUCKET), predicate), name, emptied)
 
 
 # ---- schema changes of stored tables
@@ -272,18 +308,20 @@ def build_incremental(
     *,
     full_refresh: bool = False,
     now: datetime.datetime | None = None,
+    batches: tuple[datetime.datetime, datetime.datetime] | None = None,
 ) -> str:
     """Build or update a table from a model.
 
     ``model(spark, target)`` returns the rows; ``target`` is ``None`` when the table is
-    built from nothing. Returns ``created`` or ``updated``.
+    built from nothing. A microbatch build runs the batches of ``batches`` (begin, end), else those
+    from ``config.lookback`` before the newest stored one up to ``now``. Returns ``created`` or ``updated``.
     """
     config.check()
     if tables.is_view(spark, name):
         spark.sql(f"DROP VIEW {name}")
     exists = tables.is_table(spark, name)
     if config.strategy == "microbatch":
-        return _build_microbatch(spark, name, model, config, exists and not full_refresh, now)
+        return _build_microbatch(spark, name, model, config, exists and not full_refresh, now, batches)
     if not exists or full_refresh:
         tables.create_table_as(config.shape(model(spark, None)), name, config.partition, config.cluster_by)
         return "created"
@@ -445,9 +483,27 @@ def microbatch(
     return insert_overwrite(target, event_time_filter(source, event_time, start, stop), partition)
 
 
-def _build_microbatch(spark, name, model, config: BuildConfig, exists: bool, now) -> str:
-    end = now or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
-    start, stop = _whole_batches(config.begin, end, config.batch_size)
+def previous_batch(start: datetime.datetime, batch_size: str) -> datetime.datetime:
+    """Start of the batch before the one that starts at ``start``."""
+    return batch_start(start - datetime.timedelta(hours=1), batch_size)
+
+
+def newest_batch(spark: SparkSession, name: str) -> datetime.datetime | None:
+    """Start of the newest stored partition, read from the catalog alone."""
+    newest = tables.list_partitions(spark, name).agg(F.max("partition_id")).first()[0]
+    return None if newest is None else datetime.datetime.fromisoformat(newest)
+
+
+def _build_microbatch(spark, name, model, config: BuildConfig, exists: bool, now, batches) -> str:
+    """Run the batches asked for: a range, or from ``lookback`` before the newest stored one up to now."""
+    begin, end = config.begin, now or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    if batches is not None:
+        begin, end = batches
+    elif exists and (newest := newest_batch(spark, name)) is not None:
+        for _ in range(config.lookback):
+            newest = previous_batch(newest, config.batch_size)
+        begin = max(begin, newest)
+    start, stop = _whole_batches(begin, end, config.batch_size)
     target = tables.read_table(spark, name) if exists else None
     rows = config.shape(event_time_filter(model(spark, target), config.event_time, start, stop))
     if not exists:
@@ -457,15 +513,18 @@ def _build_microbatch(spark, name, model, config: BuildConfig, exists: bool, now
     return "updated"
 
 
-def recompute_dirty(spark: SparkSession, name: str, source: DataFrame, partition_ids: Sequence[str] | None) -> None:
-    """Rebuild the changed partitions of a stored table: ``None`` rebuilds all, ``[]`` none."""
+def recompute_dirty(
+    spark: SparkSession, name: str, source: DataFrame, partition_ids: Sequence[str] | DataFrame | None
+) -> None:
+    """Rebuild the changed partitions of a stored table: ``None`` rebuilds all, an empty list none.
+
+    The ids are a list or a one-column DataFrame, which the driver reads only while it is short.
+    """
     partition, cluster_by = tables.table_layout(spark, name)
     if partition_ids is None:
         tables.create_table_as(source, name, partition, cluster_by)
         return
-    if not partition_ids:
-        return
-    target = tables.read_table(spark, name)
-    rows = source.where(partition.id_expr().isin(list(partition_ids)))
-    rows = insert_rows(target, _align(rows, target, target.columns), target.columns)
-    tables.replace_partitions(rows, name, partition_ids)
+    if not isinstance(partition_ids, DataFrame):
+        partition_ids = spark.createDataFrame([(i,) for i in partition_ids], "id string")
+    with staging(spark):
+        _replace_named(spark, name, source, partition, key_set(partition_ids))

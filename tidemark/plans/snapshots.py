@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +31,12 @@ def snapshot_table(
 
     Open versions form one partition, the versions closed by a run another. A run reads
     and rewrites the open ones only, so its cost does not grow with the history, and one
-    write job replaces both partitions. A run that failed before its commit can be repeated
-    with the same ``now``.
+    write job replaces the open ones and adds the closed ones. A run can be repeated: what it has
+    stored already is no change the second time.
     """
     options = {**options, "now": now, "columns": columns}
-    run = f"closed {now.isoformat(sep=' ')}"
+    # a name of its own for each commit: two runs may share ``now``, and neither may replace the other's rows
+    run = f"closed {now.isoformat(sep=' ')} {uuid.uuid4().hex[:12]}"
 
     def placed(df: DataFrame) -> DataFrame:
         is_open = F.col(columns.valid_to).isNull()

@@ -55,9 +55,19 @@ def fn_array_concat(t):
     return t.part.select("p_partkey", _joined(scalar.array_concat(left, right)).alias("items"))
 
 
-@query("fn_current_timestamp")
+@query(
+    "fn_current_timestamp",
+    "SELECT n_nationkey, TRUE AS known, 1 AS moments, TRUE AS after_data FROM nation",
+)
 def fn_current_timestamp(t):
-    return t.nation.select("n_nationkey", scalar.current_timestamp().alias("seen_at"))
+    """The moment itself differs from run to run: it is known, one for all rows, and after the data."""
+    seen = t.nation.select("n_nationkey", scalar.current_timestamp().alias("seen_at"))
+    moments = seen.agg(F.count_distinct("seen_at").cast("int").alias("moments"))  # one row
+    newest = t.events.agg(F.max("ts").cast("timestamp").alias("newest"))
+    return seen.join(F.broadcast(moments), F.lit(True)).join(F.broadcast(newest), F.lit(True)).select(
+        "n_nationkey", F.col("seen_at").isNotNull().alias("known"), "moments",
+        (F.col("seen_at") > F.col("newest")).alias("after_data"),
+    )
 
 
 @query(

@@ -310,3 +310,51 @@ def merge_partition_all(t):
 )
 def delete_rows(t):
     return delete_where(t.orders, "nullif(o_orderstatus, 'P') = 'F' AND o_totalprice > 100000")
+
+
+@query(
+    "merge_mixed_repeated_keys",
+    """
+WITH t AS (SELECT o_orderkey AS k, o_totalprice AS price, 0 AS line FROM orders),
+s AS (SELECT l_orderkey AS k, max(l_extendedprice) AS price, l_linenumber AS line FROM lineitem GROUP BY ALL),
+best AS (
+  SELECT s.*, t.k IS NOT NULL AND s.line = 1 AND s.price > t.price AS hit FROM s LEFT JOIN t USING (k)
+)
+SELECT t.k, CASE WHEN b.k IS NOT NULL THEN b.price ELSE t.price END AS price,
+       CASE WHEN b.k IS NOT NULL THEN b.line ELSE t.line END::INTEGER AS line
+FROM t LEFT JOIN (SELECT * FROM best WHERE hit) b USING (k)
+UNION ALL SELECT k, price, line::INTEGER FROM best WHERE NOT hit
+""",
+)
+def merge_mixed_repeated_keys(t):
+    """Order lines that share a key: the first line updates its order if it costs more, all others are inserted."""
+    target = t.orders.selectExpr("o_orderkey AS k", "o_totalprice AS price", "0 AS line")
+    source = t.lineitem.groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("int").alias("line")).agg(
+        F.max("l_extendedprice").alias("price")
+    )
+    return merge(target, source, "k", predicates=["source.line = 1 + dest.line AND source.price > dest.price"])
+
+
+@query(
+    "merge_repeated_new_keys",
+    """
+SELECT o_orderkey AS k, CAST(o_custkey AS BIGINT) AS v FROM orders
+UNION ALL SELECT -1 - l_orderkey, CAST(l_linenumber AS BIGINT) FROM lineitem
+""",
+)
+def merge_repeated_new_keys(t):
+    """Repeated source keys are an error only where they match a target row; these match none."""
+    target = t.orders.selectExpr("o_orderkey AS k", "CAST(o_custkey AS BIGINT) AS v")
+    source = t.lineitem.selectExpr("-1 - l_orderkey AS k", "CAST(l_linenumber AS BIGINT) AS v")
+    return merge(target, source, "k")
+
+
+@query(
+    "merge_dest_columns",
+    "SELECT o_orderkey AS k, o_totalprice * 2 AS price, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status FROM orders",
+)
+def merge_dest_columns(t):
+    """Only the listed columns are written: matched rows keep their status, new rows have none."""
+    orders = t.orders.selectExpr("o_orderkey AS k", "o_totalprice AS price", "o_orderstatus AS status")
+    source = orders.selectExpr("k", "price * 2 AS price", "'?' AS status")
+    return merge(orders.where("k % 2 = 0"), source, "k", dest_columns=["k", "price"], update_columns=["price"])

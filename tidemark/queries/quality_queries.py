@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions import aggregate
-from tidemark.operators import catalog, quality
+from tidemark.operators import catalog, ledger, quality
 from tidemark.operators.partition import literal
 from tidemark.queries.registry import query
 from tidemark.sources.loads import preview
@@ -129,9 +129,16 @@ def freshness_column(t):
     return fresh.select("source", "max_loaded_at", "age_seconds", "status")
 
 
-@query("freshness_files")
+@query(
+    "freshness_files",
+    "SELECT unnest(['events', 'orders']) AS source, 'error' AS status, TRUE AS known",
+)
 def freshness_files(t):
-    return quality.freshness({"events": t.events, "orders": t.orders}, F.lit(datetime.datetime(2100, 1, 1)))
+    """Files are older than a day by the end of the century, whenever they were written."""
+    found = quality.freshness(
+        {"events": t.events, "orders": t.orders}, literal(datetime.datetime(2100, 1, 1)), warn_after=3_600, error_after=86_400
+    )
+    return found.select("source", "status", F.col("max_loaded_at").isNotNull().alias("known"))
 
 
 # catalog: events as daily shards, one table per customer segment, columns of the real schemas
@@ -353,3 +360,26 @@ def set_intersect(t):
 def show_limit(t):
     ranked = t.orders.select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey")
     return preview(ranked, 10)
+
+
+@query(
+    "given_rows_test",
+    """
+SELECT c_mktsegment AS segment, count(*) AS n, 'a' AS only_in FROM customer GROUP BY ALL
+UNION ALL SELECT unnest(['AUTOMOBILE', 'NOBODY']), 0, 'b'
+""",
+)
+def given_rows_test(t):
+    """A model's output against given rows: counts by segment, of which none is 0."""
+    counts = t.customer.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
+    return quality.equal_rows(counts, [("AUTOMOBILE", 0), ("NOBODY", 0)], "segment string, n bigint")
+
+
+@query(
+    "recent_runs_clamped",
+    "SELECT event_id AS run_id, ts AS started_at FROM events ORDER BY ts DESC, event_id DESC LIMIT 500",
+)
+def recent_runs_clamped(t):
+    """A report of recent runs takes 1 to 500 of them, whatever is asked for."""
+    runs = t.events.select(F.col("event_id").alias("run_id"), F.struct("ts", "event_id").alias("started_at"))
+    return ledger.recent_runs(runs, 10_000).select("run_id", F.col("started_at.ts").alias("started_at"))

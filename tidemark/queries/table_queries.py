@@ -10,20 +10,25 @@ from pyspark.sql import types as T
 
 from tidemark.operators import ledger
 from tidemark.operators.changes import changed_partitions, snapshot_diff
+from tidemark.operators.catalog import catalog_report
 from tidemark.operators.fanout import fan_out
-from tidemark.operators.partition import PartitionSpec, literal
+from tidemark.operators.partition import IntRange, PartitionSpec, literal
 from tidemark.plans.incremental import (
     BuildConfig,
     build_incremental,
     build_parameterised,
+    delete_from_table,
     merge_table,
     overwrite_table,
     recompute_dirty,
 )
+from tidemark.plans.pooling import Ledger, ensure_affected, pool_ledger
+from tidemark.plans.snapshots import snapshot_table
 from tidemark.queries.overwrite_queries import COLUMNS, DAY, LISTED, LISTED_DAYS, RELOADED, SHIFT, peak_days, reloaded
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources import tables
+from tidemark.sources.listing import real_tables
 from tidemark.sources.loads import load, read_shards, schema_only
 from tidemark.streaming import sinks
 
@@ -340,7 +345,7 @@ def dirty_table_rebuild(t):
     after = t.events.withColumn("value", F.when(F.col("value") > 330, 0.0).otherwise(F.col("value")))
     tables.create_table_as(t.events, full, DAY)
     dirty = changed_partitions(snapshot_diff(t.events, after, "event_id", compare=["value"]), DAY)
-    recompute_dirty(t.spark, full, after, [r[0] for r in dirty.collect()])
+    recompute_dirty(t.spark, full, after, dirty)
     return tables.read_table(t.spark, full)
 
 
@@ -355,9 +360,17 @@ def store_failures(t):
 # streams over the stored files, run until all of them are read
 
 
-def run_stream(t, table_name, prepare, sink):
+def run_stream(t, table_name, prepare, sink, parts=None):
+    """Stream a table's own files; with ``parts`` it is first cut into that many, read one in each batch."""
     df = getattr(t, table_name)
-    stream = t.spark.readStream.schema(df.schema).parquet(f"{t.folder}/{table_name}*.parquet")
+    reader = t.spark.readStream.schema(df.schema)
+    if parts is None:
+        # the pattern holds the one name, as a stream reads folders or patterns only
+        stream = reader.parquet(f"{t.folder}/{table_name}.parque[t]")
+    else:
+        path = scratch_path(t.spark, "stream-input")
+        df.repartition(parts, F.col(df.columns[0])).write.parquet(path)
+        stream = reader.option("maxFilesPerTrigger", 1).parquet(path)
     query = sinks.start(prepare(stream), sink, scratch_path(t.spark, "stream"))
     query.awaitTermination()
 
@@ -387,7 +400,8 @@ def stream_overwrite(t):
         shifted = {"event_id": F.col("event_id") + SHIFT, "value": F.col("value") + 1}
         return stream.where(LAST_DAYS).withColumns(shifted)
 
-    run_stream(t, "events", late, sinks.overwrite_sink(name))
+    # every day spans all files, and every batch reads one file
+    run_stream(t, "events", late, sinks.overwrite_sink(name), parts=3)
     return tables.read_table(t.spark, name)
 
 
@@ -422,3 +436,173 @@ def stream_pooling(t):
     return tables.read_table(t.spark, log).select(
         "full_table_name", "status", "rows_changed", F.array_join("partition_ids", ",").alias("partition_ids")
     )
+
+
+# pooling into ledger tables: one table per event type, known since the start of the year
+
+
+def pooled_ledger(t, name):
+    book = Ledger(t.spark, table(t, name)).create()
+    start = datetime.datetime(2023, 1, 1)
+    names = t.events.select(F.concat(F.lit("raw."), "event_type").alias("full_table_name")).distinct()
+    listed = names.selectExpr("*", "'time' AS partition_type", "'day' AS partition_granularity", "'ts' AS partition_field")
+    tables.create_table_as(ledger.register(book.read(book.registry), listed, start), book.registry)
+    moment = literal(start)
+    first = names.select("*", moment.alias("node_finished_at"), moment.alias("delta_end_time"), F.lit(True).alias("success"))
+    tables.append_rows(ledger.append_checkpoints(t.spark.createDataFrame([], ledger.CHECKPOINT_SCHEMA), first), book.checkpoints)
+    return book
+
+
+def event_feed(t):
+    return t.events.select(
+        F.concat(F.lit("raw."), "event_type").alias("full_table_name"),
+        F.lit("INSERT").alias("_change_type"),
+        F.col("ts").alias("_change_timestamp"),
+        DAY.id_expr().alias("partition_id"),
+    )
+
+
+@query(
+    "pool_ledger_run",
+    """
+WITH parts AS (
+  SELECT event_type, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS run, ts FROM events
+),
+types AS (SELECT DISTINCT event_type FROM events)
+SELECT 'raw.' || t.event_type AS full_table_name, r.run::INTEGER AS run, 'ok' AS status, count(p.ts) AS rows_changed,
+       coalesce(string_agg(DISTINCT strftime(p.ts, '%Y-%m-%d'), ',' ORDER BY strftime(p.ts, '%Y-%m-%d')), '') AS partition_ids,
+       CASE r.run WHEN 1 THEN TIMESTAMP '2024-01-16' ELSE TIMESTAMP '2025-01-01' END AS delta_end, 2 AS runs
+FROM types t CROSS JOIN (SELECT unnest([1, 2]) AS run) r
+LEFT JOIN parts p ON p.event_type = t.event_type AND p.run = r.run
+GROUP BY ALL
+""",
+)
+def pool_ledger_run(t):
+    """Two runs, the second one repeated under its id."""
+    book = pooled_ledger(t, "pool")
+    for run, end in (("1", datetime.datetime(2024, 1, 16)), ("2", datetime.datetime(2025, 1, 1)), ("2", datetime.datetime(2025, 1, 1))):
+        pool_ledger(book, event_feed(t), end, run_id=run, now=lambda e=end: e)
+    runs = book.read(book.runs).where("status = 'ok'").agg(F.count(F.lit(1)).cast("int").alias("runs"))
+    return book.read(book.log).select(
+        "full_table_name", F.col("invocation_id").cast("int").alias("run"), "status", "rows_changed",
+        F.array_join("partition_ids", ",").alias("partition_ids"), "delta_end",
+    ).join(F.broadcast(runs), F.lit(True))  # one row
+
+
+@query(
+    "ensure_affected_partitions",
+    """
+WITH asked AS (
+  SELECT 'raw.' || event_type AS full_table_name, min(ts) AS start, max(ts) AS "end" FROM events GROUP BY event_type
+),
+latest AS (SELECT max("end") AS stop FROM asked)
+SELECT a.full_table_name AS request_id, a.full_table_name,
+       string_agg(DISTINCT strftime(e.ts, '%Y-%m-%d'), ',' ORDER BY strftime(e.ts, '%Y-%m-%d')) AS partition_ids
+FROM asked a CROSS JOIN latest l JOIN events e ON 'raw.' || e.event_type = a.full_table_name AND e.ts < l.stop
+GROUP BY ALL
+""",
+)
+def ensure_affected_partitions(t):
+    book = pooled_ledger(t, "ensure")
+    asked = t.events.groupBy(F.concat(F.lit("raw."), "event_type").alias("full_table_name")).agg(
+        F.min("ts").alias("start"), F.max("ts").alias("end")
+    ).withColumn("request_id", F.col("full_table_name"))
+    found = ensure_affected(book, asked, event_feed(t), now=lambda: datetime.datetime(2025, 1, 1))
+    return found.select("request_id", "full_table_name", F.array_join("partition_ids", ",").alias("partition_ids"))
+
+
+@query(
+    "snapshot_table_same_time",
+    """
+SELECT c_custkey, c_mktsegment AS seen, TRUE AS open FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT c_custkey, 'a', FALSE FROM customer
+UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 2 = 1 THEN 'b' END, TRUE FROM customer WHERE c_custkey % 2 = 1
+""",
+)
+def snapshot_table_same_time(t):
+    """Two runs with the same time, each closing half of the versions, and one without changes."""
+    name = table(t, "same_time")
+    first = t.customer.select("c_custkey", F.lit("a").alias("seen"))
+    odd, even = F.col("c_custkey") % 2 == 1, F.col("c_custkey") % 2 == 0
+    second = t.customer.select("c_custkey", F.when(odd, "b").otherwise("a").alias("seen"))
+    third = t.customer.select("c_custkey", F.when(odd, F.lit("b")).when(even, F.col("c_mktsegment")).alias("seen"))
+    run = datetime.datetime(2024, 1, 2)
+    for state, now in ((first, datetime.datetime(2024, 1, 1)), (second, run), (third, run), (third, run)):
+        snapshot_table(t.spark, name, state, "c_custkey", strategy="check", check_cols=["seen"], now=now)
+    return tables.read_table(t.spark, name).select("c_custkey", "seen", F.col("valid_to").isNull().alias("open"))
+
+
+@query(
+    "incremental_ext_undated",
+    f"""
+WITH picked AS (SELECT DISTINCT CAST(arg_max(ts, value) AS DATE) AS d FROM events GROUP BY event_type)
+SELECT {COLUMNS} FROM events WHERE CAST(ts AS DATE) NOT IN (SELECT d FROM picked) AND value <= 200
+UNION ALL SELECT event_id, NULL, user_id, event_type, value, props FROM events WHERE value > 200
+UNION ALL {RELOADED} WHERE CAST(ts AS DATE) IN (SELECT d FROM picked)
+""",
+)
+def incremental_ext_undated(t):
+    """A parameterised overwrite leaves the rows without a date alone."""
+    days = peak_days(t).select(F.col("dt").cast("string").alias("dt"))
+
+    def model(spark, params):
+        day = F.to_date("params.dt")
+        return fan_out(reloaded(t, "true"), params.select("dt"), lambda: F.col("query.ts").cast("date") == day)
+
+    name = table(t, "undated")
+    undated = t.events.withColumn("ts", F.when(F.col("value") <= 200, F.col("ts")))
+    tables.create_table_as(undated, name, DAY)
+    build_parameterised(t.spark, name, model, days, BuildConfig("insert_overwrite", partition=DAY), source_param="dt")
+    return tables.read_table(t.spark, name)
+
+
+@query(
+    "delete_table_partitions",
+    f"SELECT {COLUMNS} FROM events WHERE NOT (ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13' AND value > 50)",
+)
+def delete_table_partitions(t):
+    """Rows of three days are deleted; other days are neither read nor written."""
+    name = table(t, "deleted")
+    tables.create_table_as(t.events, name, DAY)
+    delete_from_table(t.spark, name, "value > 50", ["2024-01-10", "2024-01-11", "2024-01-12"])
+    return tables.read_table(t.spark, name)
+
+
+@query(
+    "merge_int_buckets",
+    """
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey = 3 THEN 0.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+FROM customer
+""",
+)
+def merge_int_buckets(t):
+    """Only the buckets that hold a key of the source are written."""
+    name = table(t, "int_buckets")
+    layout = PartitionSpec("c_nationkey", "int64", range=IntRange(0, 25, 5))
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    tables.create_table_as(t.customer.select(columns), name, layout)
+    changed = t.customer.where("c_nationkey = 3").withColumn("c_acctbal", F.lit(0.0)).select(columns)
+    merge_table(t.spark, name, changed, "c_custkey", partition_scope="all")
+    return tables.read_table(t.spark, name)
+
+
+@query(
+    "catalog_tables",
+    """
+SELECT name AS table_name, n AS row_count, p AS partition_column FROM (
+  SELECT 'events' AS name, count(*) AS n, 'ts' AS p FROM events UNION ALL SELECT 'nation', count(*), NULL FROM nation
+)
+""",
+)
+def catalog_tables(t):
+    """Sizes and row counts of stored tables, from their files' footers; the third one is not asked for."""
+    named = {part: table(t, f"listed_{part}") for part in ("events", "nation", "region")}
+    for part, name in named.items():
+        tables.create_table_as(getattr(t, part), name, DAY if part == "events" else None)
+    database = named["events"].split(".")[0]
+    wanted = [named[p].split(".")[1] for p in ("events", "nation")]
+    found, columns = real_tables(t.spark, database, wanted)
+    report = catalog_report(found, columns).where("size_bytes > 0").select(
+        F.regexp_extract("table_name", "^listed_([a-z]+)_", 1).alias("table_name"), "row_count", "partition_column"
+    )
+    return report.distinct()

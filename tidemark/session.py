@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import shutil
 import tempfile
 import uuid
 
@@ -78,14 +80,48 @@ def _store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: Folders written by ``stage`` and not yet removed, by application.
+_stages: dict[str, list[str]] = {}
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For a query that feeds several branches of a plan (a merge reads its source
     for the update, the key match and the insert), or that must not change
-    between them. The files outlive the executors that wrote them.
+    between them. The files outlive the executors that wrote them. They are removed by
+    the end of the ``staging`` block they were written in, else when the program ends.
     """
-    return _store(df, scratch_path(df.sparkSession, label))
+    path = scratch_path(df.sparkSession, label)
+    _stages.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    return _store(df, path)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession):
+    """Remove what ``stage`` wrote in this block once it ends well: for jobs that end in a write."""
+    folders = _stages.setdefault(spark.sparkContext.applicationId, [])
+    before = len(folders)
+    yield
+    for path in folders[before:]:
+        _delete(spark, path)
+    del folders[before:]
+
+
+@atexit.register
+def _clean_up() -> None:
+    """Remove stored intermediate results of this program, where its session still runs."""
+    spark = SparkSession.getActiveSession()
+    with contextlib.suppress(Exception):  # the session may be gone
+        for path in _stages.get(spark.sparkContext.applicationId, ()) if spark else ():
+            _delete(spark, path)
+    for folder in _local_dirs.values():
+        shutil.rmtree(folder, ignore_errors=True)
 
 
 @contextlib.contextmanager
@@ -97,5 +133,4 @@ def staged(df: DataFrame, label: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, label)
     yield _store(df, path)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, path)

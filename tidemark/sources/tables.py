@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
-from tidemark.operators.merge import col
+from tidemark.functions.scalar import type_text
+from tidemark.operators.merge import col, quoted
 from tidemark.operators.partition import PartitionSpec
 from tidemark.session import setting
 
@@ -142,10 +143,11 @@ def append_rows(df: DataFrame, name: str) -> None:
     rows.write.mode("append").insertInto(name)
 
 
-def replace_partitions(df: DataFrame, name: str, emptied: Iterable[str] = ()) -> None:
+def replace_partitions(df: DataFrame, name: str, emptied: Iterable[str] | DataFrame = ()) -> None:
     """Replace every partition that occurs in ``df`` by its rows there.
 
-    Partitions in ``emptied`` that turn out to have no row are dropped. Which partitions
+    Partitions in ``emptied`` (ids, or a one-column DataFrame of ids of the catalog) that turn out to
+    have no row are dropped. Which partitions
     were written is observed by the write itself. Rows with a NULL partition are not
     accepted, as they would replace all earlier ones.
     """
@@ -153,13 +155,18 @@ def replace_partitions(df: DataFrame, name: str, emptied: Iterable[str] = ()) ->
     rows = _physical(spark, name, df)
     if BUCKET not in rows.columns:
         raise ConfigError(f"{name} is not partitioned")
+    if isinstance(emptied, DataFrame):
+        emptied = [r[0] for r in emptied.collect()]
+    emptied = set(emptied)
+    if None in emptied:
+        raise ConfigError("the partition of rows without a date cannot be replaced")
     written = Observation()
     present = F.assert_true(F.col(BUCKET).isNotNull(), "a row has no partition").isNull()
     watched = rows.where(present).observe(written, F.collect_set(BUCKET).alias("ids"))
     with setting(spark, OVERWRITE_MODE, "dynamic"):
         watched.write.mode("overwrite").insertInto(name)
     # an empty write reports no list
-    drop_partitions(spark, name, set(emptied) - set(written.get.get("ids") or []))
+    drop_partitions(spark, name, emptied - set(written.get.get("ids") or []))
 
 
 def drop_partitions(spark: SparkSession, name: str, ids: Iterable[str | None]) -> None:
@@ -263,7 +270,7 @@ def _follow_partitions(spark: SparkSession, name: str) -> None:
 def add_table_columns(spark: SparkSession, name: str, fields: Sequence[T.StructField]) -> None:
     """Add top-level columns without touching the data: old files read as NULL."""
     if fields:
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        ddl = ", ".join(f"{quoted(f.name)} {type_text(f.dataType)}" for f in fields)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
 
 
