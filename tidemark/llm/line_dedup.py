@@ -75,7 +75,7 @@ def _stream(min_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         held: list[tuple] = []  # rows of the run at hand while its fate is open
-        line, docs, head, opening, kind = None, 0, None, True, None
+        line, docs, head, opening, kind, same = None, 0, None, True, None, None
 
         def pack(rows):
             columns = list(zip(*rows)) if rows else [()] * 7
@@ -85,6 +85,9 @@ def _stream(min_docs: int):
         for batch in batches:
             kind = batch.schema.field("doc").type
             for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:4] == same:
+                    continue  # a repeated row of one document
+                same = row[:4]
                 if row[:2] != line:
                     if opening and line is not None:
                         opening = False
@@ -124,7 +127,7 @@ def drops(docs: DataFrame, key: str, text: str, min_chars: int, min_docs: int) -
     kind = lines.schema["doc"].dataType
     order = ["hi", "lo", F.col("doc").desc_nulls_last()]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = lines.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = lines.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text_id")
     schema = T.StructType(lines.schema.fields + [
         T.StructField("verdict", T.ByteType()), T.StructField("first", T.BooleanType())
     ])
@@ -153,7 +156,10 @@ def bitmaps(
     line ``k`` goes; all further lines stay. Texts that are not listed keep every line.
     """
     lost = drops(docs, key, text, min_chars, min_docs)
-    by_text = lost.groupBy("doc", "text_id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    # a set of places, so that repeated rows of a document add nothing
+    by_text = lost.select("doc", "text_id", F.explode("places").alias("place")).groupBy("doc", "text_id").agg(
+        F.collect_set("place").alias("places")
+    )
 
     def work(batch):
         marks, counts = [], []

@@ -62,9 +62,11 @@ def labelled_pages(pages: DataFrame, docs: DataFrame, sample: int = html_text.SA
     doc = F.regexp_extract("url", PAGE_DOC, 1).try_cast("bigint")
     chosen = pages.select("page_id", doc.alias("doc_id")).where("doc_id IS NOT NULL AND page_id IS NOT NULL").orderBy(
         F.xxhash64("page_id"), "page_id", "doc_id"
-    ).limit(sample)  # a bounded number of ids is broadcast, so neither table is shuffled
-    shown = F.broadcast(pages.select("page_id", "html").join(F.broadcast(chosen), "page_id"))
-    return docs.select("doc_id", "text").join(shown, "doc_id").select("html", "text")
+    ).limit(sample)
+    # only the ids are broadcast, a bounded number, and cut both tables down before they meet
+    shown = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id")
+    named = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    return shown.join(named, "doc_id").select("html", "text")
 
 
 @query("op2_html_text")
