@@ -75,10 +75,11 @@ def test_base_measures(spark, docs):
 
 
 def test_depleted_documents(spark, docs):
-    own = lambda k: " ".join(f"own{k}x{j}" for j in range(60))
+    letters = lambda n: "".join(chr(97 + int(c)) for c in str(n))
+    own = lambda k: " ".join(f"own{letters(k)}x{letters(j)}" for j in range(60))
     notice = " ".join(f"notice{j}" for j in range(60))
     copy = own(999)
-    data = [(k, f"{notice}\nown line {k} here" if k < 40 else own(k)) for k in range(100)]
+    data = [(k, f"{notice}\nown line {letters(k)} here" if k < 40 else own(k)) for k in range(100)]
     data += [(200 + k, copy) for k in range(100)]  # exact copies are one text
     data += [(400, f"  {notice.upper()}  "), (401, f"{notice}\n{own(401)}"), (402, None)]
     found = {r["row"]["doc_id"]: (r["kept"], r["depleted"]) for r in quality_rules.quality_rules(docs(data)).collect()}

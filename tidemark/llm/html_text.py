@@ -3,8 +3,8 @@
 A page becomes a row of tokens. A word scores positive, a tag negative, by weights from labelled pages:
 a tag costs the more, the larger the share of its kind that lies outside the main text, and a word
 under elements (by name, or by words of their class, id or role) that hold mostly other text loses its
-score. One linear scan finds the contiguous run with the largest sum. Its blocks are the main text,
-without what lies in menus, forms, adverts and the like inside the run.
+score. One linear scan finds the contiguous run with the largest sum. Its blocks, and those of an article
+it begins or ends in, are the main text, without what lies in menus, forms, adverts and the like there.
 
 Contract. A null or empty page, or one without words, has an empty text. Character references are
 decoded, white space inside a block is one space, blocks are trimmed and joined by one line end, empty
@@ -65,6 +65,7 @@ class Token:
     text: str | None
     keys: tuple[str, ...]
     inside: bool  # furniture around it
+    root: int = 0  # number of the article or main element around it, 0 for none
 
 
 def _element_keys(name: str, attributes: str) -> tuple[str, ...]:
@@ -77,9 +78,9 @@ def _element_keys(name: str, attributes: str) -> tuple[str, ...]:
 def tokens(page: str | None) -> Iterator[Token]:
     """Tags and texts of a page in order; unseen parts (head, scripts, comments) are left out."""
     page = page or ""
-    # open elements: name, keys of it and all around it, furniture or not
-    stack: list[tuple[str, tuple[str, ...], bool]] = [("", (), False)]
-    at, end = 0, len(page)
+    # open elements: name, keys of it and all around it, furniture or not, number of the article around it
+    stack: list[tuple[str, tuple[str, ...], bool, int]] = [("", (), False, 0)]
+    at, end, roots = 0, len(page), 0
     while at < end:
         open_at = page.find("<", at)
         if open_at < 0:
@@ -91,11 +92,11 @@ def tokens(page: str | None) -> Iterator[Token]:
             following = page.find("<", open_at + 1)
             open_at = end if following < 0 else following
             if stack[-1][0] != "head":
-                yield Token("", page[at:open_at], stack[-1][1], stack[-1][2])
+                yield Token("", page[at:open_at], *stack[-1][1:])
             at = open_at
             continue
         if open_at > at and stack[-1][0] != "head":
-            yield Token("", page[at:open_at], stack[-1][1], stack[-1][2])
+            yield Token("", page[at:open_at], *stack[-1][1:])
         if open_at >= end:
             return
         if special:
@@ -111,7 +112,7 @@ def tokens(page: str | None) -> Iterator[Token]:
             depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == name), 0)
             if depth:
                 del stack[depth:]
-            yield Token(name, None, stack[-1][1], stack[-1][2])
+            yield Token(name, None, *stack[-1][1:])
             continue
         attributes = page[found.end() : at - 1] if close >= 0 else ""
         if name in RAW:
@@ -124,9 +125,13 @@ def tokens(page: str | None) -> Iterator[Token]:
             own = False  # an article's own heading
         if name == "body" and stack[-1][0] == "head":
             stack.pop()
-        yield Token(name, None, (*stack[-1][1], *keys), stack[-1][2] or own)
+        root = stack[-1][3]
+        if name in ("article", "main"):
+            roots += 1
+            root = roots
+        yield Token(name, None, (*stack[-1][1], *keys), stack[-1][2] or own, root)
         if name not in VOID:
-            stack.append((name, (*stack[-1][1], *keys), stack[-1][2] or own))
+            stack.append((name, (*stack[-1][1], *keys), stack[-1][2] or own, root))
 
 
 @dataclasses.dataclass(frozen=True)
@@ -263,7 +268,10 @@ def main_text(page: str | None, model: Model) -> str:
             best, best_run = total, (start, place)
     if best_run is None:
         return ""
-    first, last = found[best_run[0]][1], found[best_run[1]][1]
+    (head, first), (tail, last) = (found[place] for place in best_run)
+    # a run that begins or ends in an article takes the whole of it, also beyond furniture between its blocks
+    first = min([first, *(number for token, number in found if token.root and token.root == head.root)])
+    last = max([last, *(number for token, number in found if token.root and token.root == tail.root)])
     texts: dict[int, list[str]] = {}
     for token, number in found:
         if first <= number <= last and not token.inside:
