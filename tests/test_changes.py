@@ -229,3 +229,45 @@ def test_run_outcomes(spark, rows):
 @pytest.mark.parametrize("asked, given", [(-3, 1), (0, 1), (7, 7), (900, 500)])
 def test_limits_are_clamped(asked, given):
     assert ledger.clamp_limit(asked) == given
+
+
+def scans(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")  # plans show whole filters
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "PushedFilters" in line]
+
+
+def test_pool_reads_only_the_open_window(spark, tmp_path):
+    from tidemark.operators.changes import pool
+
+    schema = "full_table_name string, _change_type string, _change_timestamp timestamp_ntz, partition_id string"
+    rows = [("a", "INSERT", datetime.datetime(2024, 1, d), f"2024-01-0{d}") for d in range(1, 8)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/feed")
+    registry = spark.createDataFrame([("a", "time", "day", "ts")], "full_table_name string, partition_type string, partition_granularity string, partition_field string")
+    marks = spark.createDataFrame([("a", datetime.datetime(2024, 1, 3))], "full_table_name string, delta_end_time timestamp_ntz")
+    found = pool(registry, marks, spark.read.parquet(f"{tmp_path}/feed"), datetime.datetime(2024, 1, 6))
+    feed = [line for line in scans(found) if "_change_timestamp" in line]
+    assert feed and all("GreaterThanOrEqual(_change_timestamp" in x and "LessThan(_change_timestamp" in x for x in feed)
+    assert found.first()["rows_changed"] == 3
+
+
+def test_first_of_repeated_tables_counts(spark):
+    from tidemark.operators.changes import first_rows
+
+    rows = [("a", k) for k in range(50)] + [("b", 7), ("a", -1)]
+    df = spark.createDataFrame(rows, "name string, k int").repartition(1)
+    assert sorted(tuple(r) for r in first_rows(spark.createDataFrame(rows, "name string, k int"), "name").collect()) == [("a", 0), ("b", 7)]
+    assert first_rows(df, "name").count() == 2
+
+
+def test_rebuild_reads_only_the_days_asked_for(spark, tmp_path):
+    from tidemark.operators.changes import dirty_rows
+    from tidemark.operators.partition import PartitionSpec
+
+    day = PartitionSpec("ts", "datetime", "day")
+    spark.range(10).selectExpr("id", "timestampadd(DAY, id, TIMESTAMP_NTZ'2024-01-01 05:00:00') AS ts").write.parquet(f"{tmp_path}/s")
+    source = spark.read.parquet(f"{tmp_path}/s")
+    ids = ["2024-01-03", "2024-01-04"]
+    for wanted in (ids, spark.createDataFrame([(i,) for i in ids], "partition_id string")):
+        rows = dirty_rows(source, day, wanted)
+        assert all("GreaterThanOrEqual(ts" in x and "LessThan(ts" in x for x in scans(rows))
+        assert rows.count() == 2

@@ -281,11 +281,12 @@ def agg_ordered_list(t):
 
 @query(
     "listagg_ordered",
-    "SELECT c_nationkey, string_agg(c_name, '_|_' ORDER BY c_custkey) AS names FROM customer GROUP BY c_nationkey",
+    "SELECT l_orderkey, string_agg(l_partkey::VARCHAR, '_|_' ORDER BY l_partkey) AS parts FROM lineitem GROUP BY l_orderkey",
 )
 def listagg_ordered(t):
-    names = aggregate.listagg(F.col("c_name"), "_|_", F.col("c_custkey"))
-    return t.customer.groupBy("c_nationkey").agg(names.alias("names"))
+    """A list holds its whole group, so it is made for groups that stay small, the lines of an order."""
+    parts = aggregate.listagg(F.col("l_partkey").cast("string"), "_|_", F.col("l_partkey"))
+    return t.lineitem.groupBy("l_orderkey").agg(parts.alias("parts"))
 
 
 @query(
