@@ -142,6 +142,10 @@ def test_search_against_brute_force(spark):
         assert hits >= 0.9 * 20 * 150
         assert found[9020] == [(1, 9040, 4.0)]
     assert ann.search(df.limit(0), F.lit(True)).count() == 0
+    # sizes far apart, and many rows of the query's own id
+    odd = [(20, [1e200, 1.0])] * 30 + [(k, [1e-200 * k, 1.0]) for k in (1, 2, 3)]
+    found = ann.search(spark.createDataFrame(odd, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 20, k=2)
+    assert [(r["rank"], r["vec_id"]) for r in found.orderBy("rank", "vec_id").collect()] == [(1, 3)] * 30 + [(2, 2)] * 30
 
 
 def toxic_corpus(spark, count=900):

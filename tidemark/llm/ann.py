@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import quoted
+from tidemark.llm.common import prepare, quoted
 
 #: Rows of a block and queries of a chunk, about.
 BLOCK, CHUNK = 8192, 1024
@@ -52,8 +52,10 @@ def candidates(
 ) -> list[np.ndarray]:
     """For each query the rows of ``data`` whose collision counts reached the threshold."""
     n = len(data)
-    norms = np.sqrt((data * data).sum(axis=1))
-    unit = data / norms.max()
+    # scaled first, so that squares of very large or small components stay finite
+    unit = data / np.abs(data).max()
+    unit = unit / np.sqrt((unit * unit).sum(axis=1)).max()
+    queries = queries / np.abs(queries).max(axis=1, keepdims=True)
     rest = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
     directions = rng.standard_normal((data.shape[1] + 1, projections))
     places = np.column_stack([unit, rest]) @ directions
@@ -92,6 +94,7 @@ def search(
     block: int = BLOCK, chunk: int = CHUNK, seed: int = 20,
 ) -> DataFrame:
     """``query_id``, ``rank``, the key and ``score`` of the ``k`` nearest found of each query."""
+    prepare(vectors.sparkSession)
     value = quoted(vector).cast("array<double>")
     finite = F.forall(value, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     valid = quoted(key).isNotNull() & (F.size(value) > 0) & finite & F.exists(value, lambda v: v != 0)
@@ -114,8 +117,10 @@ def search(
             ids = np.asarray(left["id"].combine_chunks())
             asked_ids = np.asarray(right["id"].combine_chunks())
             data, queries = _matrix(left["v"], size), _matrix(right["v"], size)
-            # the places of the same id are asked for on top, as they are no answers
-            found = candidates(data, queries, k + 1, np.random.default_rng(seed))
+            # rows of the query's own id are asked for on top, as they are no answers
+            own, times = np.unique(ids, return_counts=True)
+            more = int(times[np.isin(own, asked_ids)].max(initial=0))
+            found = candidates(data, queries, k + more, np.random.default_rng(seed))
             for q, (query, near) in enumerate(zip(queries, found)):
                 near = near[ids[near] != asked_ids[q]]
                 scores = (data[near] * query).sum(axis=1)

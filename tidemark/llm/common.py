@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -9,13 +10,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows of one Arrow batch. Texts may be long, so a batch is far below Spark's 10,000 rows.
 BATCH_ROWS = 512
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings that the Python stages rely on: small Arrow batches, so that a worker's memory has a bound."""
+    """Settings that the Python stages rely on.
+
+    Arrow batches are small, so that a worker's memory has a bound. Python workers look for this package
+    where the driver found it; where it is installed on the executors that changes nothing.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     return spark
 
 
