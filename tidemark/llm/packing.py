@@ -18,6 +18,7 @@ from __future__ import annotations
 import bisect
 import functools
 import math
+import re
 import zlib
 from collections.abc import Sequence
 
@@ -40,11 +41,15 @@ FULL = 0.98
 TRIES = 50_000
 
 
+#: A single mark between a plain letter and a blank.
+_MARK = re.compile(r"(?<=[A-Za-z])([,.])(?=[ \n]|\Z)")
+
+
 class Words:
     """Ids of texts by a ``tokenizers`` file, remembered by word.
 
-    The tokenizer must drop blanks before it cuts words, so that no token lies across a space or line
-    end. At most ``most`` words are remembered besides those of the batch at hand.
+    The tokenizer must drop blanks and capitals and cut words at marks, so that no token lies across a
+    space or line end, or holds a letter and the mark behind it. At most ``most`` words are remembered besides those of the batch at hand.
     """
 
     def __init__(self, path: str, most: int = 600_000):
@@ -55,17 +60,26 @@ class Words:
         self.tokenizer.no_truncation()
         self.most = most
         self.known: dict[str, bytes] = {"": b""}
-        probe = self._ids(["a b", "a", "b", "a\nb"])
-        if not probe[0] == probe[1] + probe[2] == probe[3]:
-            raise ValueError(f"{path} keeps blanks; its texts cannot be cut at them")
+        probe = self._ids(["a b", "a", "b", "a\nb", "A"])
+        if not probe[0] == probe[1] + probe[2] == probe[3] or probe[4] != probe[1]:
+            raise ValueError(f"{path} keeps blanks or capitals; its texts cannot be cut at blanks")
+        probe = self._ids(["a,", "a", ",", "a.", "."])
+        if probe[0] != probe[1] + probe[2] or probe[3] != probe[1] + probe[4]:
+            raise ValueError(f"{path} joins letters and marks; its words cannot be cut there")
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """Words of a text, so that as many as can be are the same: a mark at the end of a word stands alone."""
+        plain = text.lower() if text.isascii() else text
+        return _MARK.sub(r" \1", plain).replace("\n", " ").split(" ")
+
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        cut = [self._cut(t) if t else [] for t in texts]
         if len(self.known) > self.most:
             self.known = {"": b""}
         new = [w for w in set().union(*cut) if w not in self.known]
