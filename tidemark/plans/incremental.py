@@ -148,9 +148,9 @@ def merge_table(
 
 def _matched_ids(spark, name, source, keys, partition) -> DataFrame:
     """Partitions that a merge over the whole table touches: those of the source, and those of matched keys."""
-    stored = spark.table(name).select(*[col(k) for k in keys], F.col(tables.BUCKET).alias("id"))
-    matched = stored.join(source.select(*[col(k) for k in keys]), keys, "left_semi").select("id")
-    return matched.union(source.select(partition.id_expr())).distinct()
+    stored = spark.table(name).select(*[col(k) for k in keys], F.col(tables.BUCKET).alias("__id"))
+    matched = stored.join(source.select(*[col(k) for k in keys]), keys, "left_semi").select("__id")
+    return matched.union(source.select(partition.id_expr())).distinct().toDF("id")
 
 
 def _merge_partitions(spark, name, source, unique_key, partition, ids, options) -> None:
