@@ -22,10 +22,13 @@ TOXIC = 0.7
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted of lines of their own."""
+    """Documents that pass the base rules and are not depleted of lines of their own, without the frequent lines of their host."""
     prepare(spark)
     judged = quality_rules.quality_rules(docs.select(*COLUMNS))
-    return judged.where("kept").select(*[F.col(f"row.{c}").alias(c) for c in COLUMNS])
+    return judged.where("kept").select(
+        "row.doc_id", F.col("cleaned").alias("text"), "row.lang", "row.source",
+        F.length("cleaned").cast("bigint").alias("n_chars"),
+    )
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

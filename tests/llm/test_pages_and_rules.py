@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,20 @@ def test_depleted_documents(spark, docs):
     assert quality_rules.quality_rules(none).where("depleted").count() == 41
 
 
+def test_frequent_lines_are_cut(spark, docs):
+    own = lambda k: [" ".join(f"own{'ab'[k % 2]}{chr(97 + k // 2)}x{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(60)), "", "tail"]
+    notice = "  Page 7 of this SITE "
+    data = [(k, "\n".join([notice.replace("7", str(k)), *own(k)[:2], notice])) for k in range(40)]
+    data += [(100, "\n".join(own(45))), (101, None)]
+    found = {r["row"]["doc_id"]: r for r in quality_rules.quality_rules(docs(data)).collect()}
+    assert all(found[k]["kept"] and found[k]["cleaned"] == "\n".join(own(k)[:2]) for k in range(40))
+    assert found[100]["cleaned"] == data[40][1] and found[101]["cleaned"] is None
+    full = docs(data).withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("bigint"))
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.keep_quality(spark, full, "").collect()}
+    whole = {**{k: "\n".join(own(k)[:2]) for k in range(40)}, 100: data[40][1]}
+    assert kept == {k: (t, len(t)) for k, t in whole.items()}
+
+
 def test_native_plan(docs):
     plan = quality_rules.quality_rules(docs([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

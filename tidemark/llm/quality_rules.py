@@ -2,8 +2,9 @@
 
 Cross-document line frequency: every line is normalised (blanks at its ends removed, lower case, digits
 as 0) and hashed; for each host the distinct texts that hold a line are counted. Lines in at least
-``min_texts`` texts and in more than ``max_share`` of the host's texts are boilerplate and removed, and a
-text of whose words less than ``min_left`` then remain is depleted. Exact copies count as one text, as
+``min_texts`` texts and in more than ``max_share`` of the host's texts are boilerplate; ``cleaned`` is the text
+without them, and a text of whose words less than ``min_left`` then remain is depleted. The base measures are
+those of the whole text. Exact copies count as one text, as
 they are for deduplication to remove, and the limit is a share of the host, so that it means the same
 at every size.
 
@@ -73,7 +74,12 @@ def measures(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
     return measured.where("number >= 0").drop("number").withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def depleted_texts(
+def _normal(line: Column) -> Column:
+    """Hash of a line without blanks at its ends, in lower case, with digits as 0."""
+    return F.xxhash64(F.regexp_replace(F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))), "[0-9]", "0"))
+
+
+def frequent_lines(
     docs: DataFrame,
     text: str = "text",
     host: str = "source",
@@ -81,14 +87,13 @@ def depleted_texts(
     min_texts: int = 25,
     min_left: float = 0.3,
 ) -> DataFrame:
-    """(host, text_hi, text_lo) of the texts that removing frequent lines depletes."""
+    """(host, text_hi, text_lo, cut, depleted) of the texts that hold frequent lines: their hashes, and what removing them leaves."""
     t = F.coalesce(quoted(text), F.lit(""))
     lines = docs.select(
         quoted(host).alias("host"), F.xxhash64(t).alias("text_hi"), F.hash(t).alias("text_lo"),
         F.explode(F.split(t, "\n", -1)).alias("line"),
     ).select(
-        "host", "text_hi", "text_lo",
-        F.xxhash64(F.regexp_replace(F.lower(F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))), "[0-9]", "0")).alias("line"),
+        "host", "text_hi", "text_lo", _normal(F.col("line")).alias("line"),
         F.regexp_count("line", F.lit(WORD)).cast("bigint").alias("words"),
     ).where("words > 0")
     # copies of a text multiply its words by the same number, so shares of words stay right
@@ -106,9 +111,12 @@ def depleted_texts(
     removed = F.sum(F.when(F.col("f_line").isNotNull(), F.col("words")).otherwise(0))
     return (
         judged.groupBy("host", "text_hi", "text_lo")
-        .agg(F.sum("words").alias("words"), removed.alias("removed"))
-        .where((F.col("removed") > 0) & (F.col("words") - F.col("removed") < min_left * F.col("words")))
-        .select("host", "text_hi", "text_lo")
+        .agg(F.sum("words").alias("words"), removed.alias("removed"), F.collect_list("f_line").alias("cut"))
+        .where(F.col("removed") > 0)
+        .select(
+            "host", "text_hi", "text_lo", "cut",
+            (F.col("words") - F.col("removed") < min_left * F.col("words")).alias("depleted"),
+        )
     )
 
 
@@ -120,19 +128,22 @@ def quality_rules(
     min_texts: int = 25,
     min_left: float = 0.3,
 ) -> DataFrame:
-    """``row``, the base measures, ``base_failed``, ``depleted`` and ``kept`` of every row."""
+    """``row``, the base measures, ``base_failed``, ``depleted``, ``kept`` and ``cleaned`` (the text without frequent lines) of every row."""
     rows = measures(docs, text, host).alias("m")
-    poor = depleted_texts(docs, text, host, max_share, min_texts, min_left).alias("d")
+    found = frequent_lines(docs, text, host, max_share, min_texts, min_left).alias("d")
     same = (
         F.col("m.host").eqNullSafe(F.col("d.host"))
         & (F.col("m.text_hi") == F.col("d.text_hi"))
         & (F.col("m.text_lo") == F.col("d.text_lo"))
     )
-    joined = rows.join(poor, same, "left")
-    depleted = F.col("d.text_hi").isNotNull()
+    joined = rows.join(found, same, "left")
+    depleted = F.coalesce("d.depleted", F.lit(False))
+    whole = F.col("row")[text]
+    left = F.filter(F.split(whole, "\n", -1), lambda line: ~F.array_contains("cut", _normal(line)))
     return joined.select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         depleted.alias("depleted"), (~F.col("base_failed") & ~depleted).alias("kept"),
+        F.when(F.col("cut").isNull(), whole).otherwise(F.array_join(left, "\n")).alias("cleaned"),
     )
 
 
