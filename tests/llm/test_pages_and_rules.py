@@ -163,6 +163,24 @@ def test_search_against_brute_force(spark):
     assert [(r["rank"], r["vec_id"]) for r in found.orderBy("rank", "vec_id").collect()] == [(1, 3)] * 30 + [(2, 2)] * 30
 
 
+def test_search_among_copies(spark):
+    """A third of the rows is one vector near the mean of the others."""
+    rng = np.random.default_rng(5)
+    mean = rng.standard_normal(64)
+    data = rng.standard_normal((4000, 64)) + mean
+    data[2666:] = 1.5 * mean
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(data)], "vec_id bigint, embedding array<double>")
+    found = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, k=20).where("query_id < 2666").collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recalls = []
+    for query in range(0, 2666, 20):
+        scores = (data * data[query]).sum(axis=1)
+        scores[query] = -np.inf
+        recalls.append(len(found[query] & set(np.lexsort((np.arange(4000), -scores))[:20].tolist())) / 20)
+    assert np.mean(recalls) >= 0.95 and np.mean(np.array(recalls) < 0.9) < 0.1
+
+
 def toxic_corpus(spark, count=900):
     rnd = random.Random(6)
     words = [f"{a}{b}" for a in ("on", "the", "re", "in", "at") for b in ("tion", "ing", "er", "ed", "ly", "es")]

@@ -5,8 +5,9 @@ chunks, and each task works on one block and one chunk. A block has ``projection
 by one random projection. A query opens a window around its own projection in every array and widens
 all windows by a factor, round after round, without hashing anything again; the places newly covered
 raise the collision counts of their vectors. A vector whose count reaches the threshold is verified on
-the original vectors. A query ends in a block when ``share`` of the block and ``k`` more vectors have been
-verified, so that recall does not depend on the number of blocks. The best ``k`` of each block are merged.
+the original vectors. A query ends in a block when ``share`` of the block's different vectors and ``k`` more
+have been verified, so that recall depends neither on the number of blocks nor on copies: equal vectors are
+one candidate, and the ids behind it are looked up afterwards. The best ``k`` of each block are merged.
 
 For inner products the block's vectors are divided by their largest norm and get one more component
 that makes all norms 1, and queries are scaled to norm 1; nearness in the enlarged space has the order
@@ -36,7 +37,7 @@ BLOCK, CHUNK = 8192, 1024
 PROJECTIONS = 128
 #: First half width of the windows, the factor by which they grow, and the share of collisions asked for.
 WIDTH, GROWTH, COLLISIONS = 0.6, 1.2, 0.65
-#: Share of a block that is verified before a query ends.
+#: Share of a block's different vectors that is verified before a query ends.
 SHARE = 0.15
 
 
@@ -45,6 +46,16 @@ def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
     return np.asarray(flat.flatten(), np.float64).reshape(-1, size)
 
 
+def _different(data: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A place for each different vector, and by vector the places of its ``most`` smallest ids: (places, ends, members)."""
+    raw = np.ascontiguousarray(data + 0.0)  # one zero only
+    _, first, which = np.unique(raw.view(np.dtype((np.void, raw.itemsize * raw.shape[1]))).ravel(), return_index=True, return_inverse=True)
+    order = np.lexsort((ids, which))
+    starts = np.searchsorted(which[order], np.arange(len(first)))
+    order = order[np.arange(len(order)) - starts[which[order]] < most]
+    return first, np.searchsorted(which[order], np.arange(len(first) + 1)), order
+
+
 def candidates(
     data: np.ndarray, queries: np.ndarray, wanted: int, rng: np.random.Generator,
     projections: int = PROJECTIONS, width: float = WIDTH, growth: float = GROWTH,
@@ -120,8 +131,11 @@ def search(
             # rows of the query's own id are asked for on top, as they are no answers
             own, times = np.unique(ids, return_counts=True)
             more = int(times[np.isin(own, asked_ids)].max(initial=0))
-            found = candidates(data, queries, k + more, np.random.default_rng(seed))
-            for q, (query, near) in enumerate(zip(queries, found)):
+            places, ends, members = _different(data, ids, k + more)
+            found = candidates(data[places], queries, k + more, np.random.default_rng(seed))
+            for q, (query, reps) in enumerate(zip(queries, found)):
+                times = ends[reps + 1] - ends[reps]
+                near = members[np.repeat(ends[reps + 1] - times.cumsum(), times) + np.arange(times.sum())]
                 near = near[ids[near] != asked_ids[q]]
                 scores = (data[near] * query).sum(axis=1)
                 best = np.lexsort((ids[near], -scores))[:k]
