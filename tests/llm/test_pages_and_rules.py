@@ -37,6 +37,17 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page, html_text.Model({}, {})) == text
 
 
+def test_omitted_end_tags():
+    model = html_text.Model({}, {})
+    words = lambda k: f"One two three four five six seven {k}."
+    inner = "<article><p>{}<p class=ad>Buy.<p>{}<ul><li class=share>Us<li>{}<ul><li>{}</ul><li>{}</ul></article>".format(*map(words, range(5)))
+    assert html_text.main_text(PAGE.format(inner), model) == "\n".join(map(words, range(5)))
+    cells = f"<article><table><tr><td class=ad>Buy<td>{words(1)}<tr><td>{words(2)}<table><tr><td>{words(3)}</table></table></article>"
+    assert html_text.main_text(PAGE.format(cells), model) == "\n".join(map(words, (1, 2, 3)))
+    for tag in ("p", "li", "div"):
+        assert html_text.main_text(f"<{tag}>some words here that count" * 100_000, model).count("\n") == 99_999
+
+
 def test_weights_from_labelled_pages(spark):
     pages = [(k, PAGE.format(f"<div class=story><p>Words of page {k} that are the text.</p><p>And a second line here.</p></div>"),
               f"Words of page {k} that are the text.\nAnd a second line here.") for k in range(20)]

@@ -8,7 +8,8 @@ it begins or ends in, are the main text, without what lies in menus, forms, adve
 
 Contract. A null or empty page, or one without words, has an empty text. Character references are
 decoded, white space inside a block is one space, blocks are trimmed and joined by one line end, empty
-blocks left out. Unclosed tags, comments and quotes end where the page does. Ties go to the first run.
+blocks left out. Paragraphs, list items, table parts and options whose end tag is left out end where the next
+one or a block begins; other unclosed tags, comments and quotes end where the page does. Ties go to the first run.
 Every row gives one row, repeated rows included; an empty table gives an empty result. Pages of any
 length take one pass. Only the named columns are read.
 """
@@ -44,6 +45,14 @@ FURNITURE_WORDS = set(
     "newsletter subscribe signup share sharing social related recommended footer header masthead widget pagination "
     "pager login search toolbar contentinfo complementary".split()
 )
+#: Elements whose end tag may be left out, in kinds; the kinds that an opening tag ends; and those that it hides from what is inside.
+_KINDS = {"p": 0, "li": 1, "dt": 2, "dd": 2, "option": 3, "optgroup": 4, "td": 5, "th": 5, "tr": 6, "thead": 7, "tbody": 7, "tfoot": 7}
+_CLOSERS = {name: (0,) for name in BLOCKS - set("html head body button caption legend option optgroup select summary tbody td tfoot th thead tr".split())}
+_CLOSERS |= {"li": (0, 1), "dt": (0, 2), "dd": (0, 2), "option": (3,), "optgroup": (3, 4), "td": (5,), "th": (5,), "tr": (5, 6)}
+_CLOSERS |= dict.fromkeys(("thead", "tbody", "tfoot"), (5, 6, 7))
+_HIDES = {name: (1, 2) for name in BLOCKS - {"p", "li", "dt", "dd", "div", "address"}}
+_HIDES |= {name: (0, 1, 2) for name in ("td", "th", "caption", "button", "object")}
+_HIDES |= {"table": tuple(range(8)), "select": (3, 4)}
 CONTENT = set("p h1 h2 h3 h4 h5 h6 b i em strong br article main blockquote pre code".split())
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -57,13 +66,47 @@ MOST_KEYS = 5_000
 SAMPLE = 2_000
 
 
-@dataclasses.dataclass
+class Around:
+    """The keys of an open element, linked to those around it, with what has been found out about the chain."""
+
+    __slots__ = ("own", "outer", "names", "model", "weight")
+
+    def __init__(self, own: tuple[str, ...], outer: Around | None):
+        self.own, self.outer = own, outer
+        self.names: frozenset[str] | None = None
+        self.model, self.weight = None, 0.0
+
+    def _open(self, known) -> list[Around]:
+        """The elements from this one outwards for which nothing is ``known`` yet, the outermost first."""
+        chain, node = [], self
+        while node is not None and not known(node):
+            chain.append(node)
+            node = node.outer
+        return chain[::-1]
+
+    def all_names(self) -> frozenset[str]:
+        for node in self._open(lambda n: n.names is not None):
+            names = node.outer.names if node.outer else frozenset()
+            node.names = names if names.issuperset(node.own) else names.union(node.own)
+        return self.names
+
+    def least(self, model: Model) -> float:
+        """The smallest weight of all keys."""
+        for node in self._open(lambda n: n.model is model):
+            weights = [model.keys.get(k, _prior(k)) for k in node.own]
+            if node.outer and (node.outer.own or node.outer.outer):
+                weights.append(node.outer.weight)
+            node.model, node.weight = model, min(weights, default=0.0)
+        return self.weight
+
+
+@dataclasses.dataclass(slots=True)
 class Token:
     """A tag (``text`` is None) or a run of text, with the keys of the elements open around it."""
 
     name: str
     text: str | None
-    keys: tuple[str, ...]
+    keys: Around
     inside: bool  # furniture around it
     root: int = 0  # number of the article or main element around it, 0 for none
 
@@ -79,7 +122,15 @@ def tokens(page: str | None) -> Iterator[Token]:
     """Tags and texts of a page in order; unseen parts (head, scripts, comments) are left out."""
     page = page or ""
     # open elements: name, keys of it and all around it, furniture or not, number of the article around it
-    stack: list[tuple[str, tuple[str, ...], bool, int]] = [("", (), False, 0)]
+    stack: list[tuple[str, Around, bool, int]] = [("", Around((), None), False, 0)]
+    # for each of them the depths of the elements in reach that may end unclosed, by kind; and open elements by name
+    reach: list[tuple[int, ...]] = [(0,) * 8]
+    named: Counter = Counter()
+
+    def close_from(depth: int) -> None:
+        named.subtract(s[0] for s in stack[depth:])
+        del stack[depth:], reach[depth:]
+
     at, end, roots = 0, len(page), 0
     while at < end:
         open_at = page.find("<", at)
@@ -109,9 +160,8 @@ def tokens(page: str | None) -> Iterator[Token]:
         close = rest.end() - 1 if rest else page.find(">", found.end())
         at = end if close < 0 else close + 1
         if page[open_at + 1] == "/":
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == name), 0)
-            if depth:
-                del stack[depth:]
+            if named[name] > 0:
+                close_from(next(d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == name))
             yield Token(name, None, *stack[-1][1:])
             continue
         attributes = page[found.end() : at - 1] if close >= 0 else ""
@@ -121,17 +171,30 @@ def tokens(page: str | None) -> Iterator[Token]:
             continue
         keys = _element_keys(name, attributes)
         own = name in FURNITURE or any(k[1:] in FURNITURE_WORDS for k in keys[1:])
-        if name == "header" and any(s[0] in ("article", "main") for s in stack):
+        if name in _CLOSERS and (depth := min((d for k in _CLOSERS[name] if (d := reach[-1][k])), default=0)):
+            close_from(depth)
+        if name == "header" and stack[-1][3]:
             own = False  # an article's own heading
         if name == "body" and stack[-1][0] == "head":
-            stack.pop()
+            close_from(len(stack) - 1)
         root = stack[-1][3]
         if name in ("article", "main"):
             roots += 1
             root = roots
-        yield Token(name, None, (*stack[-1][1], *keys), stack[-1][2] or own, root)
+        around = Around(keys, stack[-1][1])
+        yield Token(name, None, around, stack[-1][2] or own, root)
         if name not in VOID:
-            stack.append((name, (*stack[-1][1], *keys), stack[-1][2] or own, root))
+            if name in _KINDS or name in _HIDES:
+                depths = list(reach[-1])
+                for kind in _HIDES.get(name, ()):
+                    depths[kind] = 0
+                if name in _KINDS:
+                    depths[_KINDS[name]] = len(stack)
+                reach.append(tuple(depths))
+            else:
+                reach.append(reach[-1])
+            stack.append((name, around, stack[-1][2] or own, root))
+            named[name] += 1
 
 
 @dataclasses.dataclass(frozen=True)
@@ -142,8 +205,7 @@ class Model:
     keys: dict[str, float]
 
     def word(self, token: Token) -> float:
-        weight = min((self.keys.get(k, _prior(k)) for k in token.keys), default=0.0)
-        return max(-1.0, 1.0 + weight)
+        return max(-1.0, 1.0 + token.keys.least(self))
 
     def tag(self, token: Token) -> float:
         cost = self.tags.get(token.name)
@@ -205,7 +267,7 @@ def _counts(page: str | None, main: str | None) -> tuple[Counter, Counter]:
             for token in found:
                 size = len(token.text.split())
                 words["", place] += size
-                for key in set(token.keys):
+                for key in token.keys.all_names():
                     words[key, place] += size
     return words, tags
 
