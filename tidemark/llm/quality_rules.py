@@ -5,8 +5,8 @@ as 0) and hashed; for each host the distinct texts that hold a line are counted.
 ``min_texts`` texts and in more than ``max_share`` of the host's texts are boilerplate; ``cleaned`` is the text
 without them, and a text of whose words less than ``min_left`` then remain is depleted. The base measures are
 those of the whole text. Exact copies count as one text, as
-they are for deduplication to remove, and the limit is a share of the host, so that it means the same
-at every size.
+they are for deduplication to remove. The limit depends on the size of a host: below ``min_texts`` texts
+no line is frequent, and only from ``min_texts / max_share`` texts on the share alone decides.
 
 Contract. A null or empty text has no words and fails the base rules. A null host is a host of its own.
 Every row gives one row, repeated rows included. An empty table gives an empty result. Extra columns
