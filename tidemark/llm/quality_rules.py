@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import quoted
+from tidemark.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
@@ -96,8 +97,7 @@ def frequent_lines(
         "host", "text_hi", "text_lo", _normal(F.col("line")).alias("line"),
         F.regexp_count("line", F.lit(WORD)).cast("bigint").alias("words"),
     ).where("words > 0")
-    # copies of a text multiply its words by the same number, so shares of words stay right
-    by_text = lines.groupBy("host", "text_hi", "text_lo", "line").agg(F.sum("words").alias("words"))
+    by_text = lines.select("host", "text_hi", "text_lo", "line").distinct()
     texts = docs.select(quoted(host).alias("host"), F.xxhash64(t).alias("text_hi"), F.hash(t).alias("text_lo"))
     hosts = texts.distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
     found = by_text.groupBy("host", "line").agg(F.count(F.lit(1)).alias("found")).where(F.col("found") >= min_texts)
@@ -105,13 +105,16 @@ def frequent_lines(
     frequent = found.join(hosts, F.col("f.host").eqNullSafe(F.col("h.host"))).where(
         F.col("found") > max_share * F.col("texts")
     ).select(F.col("f.host").alias("f_host"), F.col("line").alias("f_line"))
-    judged = by_text.join(
+    # stored, so that its size is known when the lines meet it: they are shuffled only if it is large
+    frequent = stage(frequent, "frequent")
+    judged = lines.join(
         frequent, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("line") == F.col("f_line")), "left"
     )
+    # copies of a text multiply its words by the same number, so shares of words stay right
     removed = F.sum(F.when(F.col("f_line").isNotNull(), F.col("words")).otherwise(0))
     return (
         judged.groupBy("host", "text_hi", "text_lo")
-        .agg(F.sum("words").alias("words"), removed.alias("removed"), F.collect_list("f_line").alias("cut"))
+        .agg(F.sum("words").alias("words"), removed.alias("removed"), F.collect_set("f_line").alias("cut"))
         .where(F.col("removed") > 0)
         .select(
             "host", "text_hi", "text_lo", "cut",
