@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from tidemark.llm import (
     line_dedup,
     near_dedup,
     packing,
+    periodic_runs,
     quality_rules,
     sharding,
     token_counts,
@@ -141,3 +144,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+def repeat_words(doc_id: int | None, words: np.ndarray) -> np.ndarray:
+    """One document in ten repeats its words from some place on, as the hash of its id says."""
+    if doc_id is None or not len(words):
+        return words
+    number = zlib.crc32(str(doc_id).encode())
+    if number % 10:
+        return words
+    rest = number // 10
+    start = rest % len(words)
+    period = 1 + (len(words) - start) // (3 + rest % 8)
+    place = np.arange(len(words))
+    return words[np.where(place < start, place, start + (place - start) % period)]
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.periodic_runs(docs, change=repeat_words).drop("runs")
