@@ -20,6 +20,7 @@ from tidemark.llm import (
     periodic_runs,
     quality_rules,
     sharding,
+    token_alignment,
     token_counts,
     toxicity,
 )
@@ -164,3 +165,10 @@ def repeat_words(doc_id: int | None, words: np.ndarray) -> np.ndarray:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return periodic_runs.periodic_runs(docs, change=repeat_words).drop("runs")
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.token_alignment(docs, *paths)[0]
