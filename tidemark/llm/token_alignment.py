@@ -5,9 +5,9 @@ offsets where tokens of both sides end cut the tokens into groups; two tokens ar
 overlap. How often a pair of ids is linked is counted over all texts, each as often as it occurs, and the
 measures of a text are joined back to the documents that hold it, by the text's SHA-256.
 
-Within a text, pieces between single spaces are encoded once a worker and remembered (in a dictionary
-bounded by bytes): neither tokenizer joins a letter before a space with what follows, which is checked when
-the vocabularies are read; a text is encoded whole where a piece's bytes do not come back.
+Within a text, pieces that begin with a single space or line end are encoded once a worker and remembered (in
+a dictionary bounded by bytes): neither tokenizer joins a letter before them with what follows, which is
+checked when the vocabularies are read; a text is encoded whole where a piece's bytes do not come back.
 
 Every text looks up the counts of its pairs. Pairs in the most texts, a fixed number of them, are broadcast;
 all others, which are rare, are found by a shuffled join. So no key is hot, whatever the number of pairs.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -38,29 +39,41 @@ from tidemark.session import stage
 #: Pairs whose counts are broadcast: 16 bytes each and a flag.
 FREQUENT = 1 << 18
 #: Characters of texts encoded together, and bytes of remembered pieces and their results.
-BATCH, REMEMBERED = 1 << 20, 96 << 20
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+BATCH, REMEMBERED = 1 << 20, 192 << 20
+_BETWEEN = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Unknown pieces are encoded together in texts of this many characters, behind a piece that is thrown away.
+_TOGETHER, _FIRST = 1 << 12, " a"
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of many ranges, one after the other."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
 class Pieces:
-    """Results by number: four measures, the groups as text and the linked pairs of a piece of text."""
+    """Results by number: four measures, the groups as text (none if the bytes do not come back) and the linked pairs."""
 
     def __init__(self):
         self.numbers: dict[str, int] = {}
-        self.measures = np.zeros((1024, 4), np.int64)
-        self.groups: list[bytes | None] = []
-        self.pairs: list[np.ndarray] = []
+        self.groups: list[str | None] = []
+        self.measures = np.empty((0, 4), np.int64)
+        self.start = np.empty(0, np.int64)
+        self.pairs = np.empty(0, np.int64)
         self.bytes = 0
 
-    def add(self, piece: str, measures, groups: bytes | None, pairs: np.ndarray) -> None:
-        number = len(self.groups)
-        if number == len(self.measures):
-            self.measures = np.concatenate([self.measures, np.zeros_like(self.measures)])
-        self.measures[number] = measures
-        self.numbers[piece] = number
-        self.groups.append(groups)
-        self.pairs.append(pairs)
-        self.bytes += 400 + 4 * len(piece) + len(groups or b"") + pairs.nbytes
+    def add(self, pieces: list[str], groups: list[str | None], measures: np.ndarray, pairs: np.ndarray) -> None:
+        """``pairs`` holds as many of each piece as the last of its measures says."""
+        self.numbers.update(zip(pieces, range(len(self.groups), len(self.groups) + len(pieces))))
+        self.groups.extend(groups)
+        links = measures[:, 3]
+        self.start = np.append(self.start, len(self.pairs) + np.cumsum(links) - links)
+        self.measures = np.concatenate([self.measures, measures])
+        self.pairs = np.append(self.pairs, pairs)
+        self.bytes += 300 * len(pieces) + 4 * sum(map(len, pieces)) + 16 * len(pairs)
+
+    def linked(self, numbers: np.ndarray) -> np.ndarray:
+        return self.pairs[_ranges(self.start[numbers], self.measures[numbers, 3])]
 
 
 class Aligner:
@@ -88,58 +101,91 @@ class Aligner:
         ]
         self.length_a = np.array([len(b) for b in self.bytes_a], np.int64)
         self.length_b = np.array([len(b) for b in self.bytes_b], np.int64)
+        # ids as text with what follows them: another id of the group, or its other side, or the next group
+        self.text_a = np.array([[f"{i},", f"{i}|"] for i in range(len(entries))], object)
+        self.text_b = np.array([[f"{i},", f"{i};"] for i in range(len(pieces))], object)
         with open(first, encoding="utf-8") as file:
             spec = json.load(file)
         cut = spec["pre_tokenizer"] or {}
         plain = cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
-        crossing = any("▁" in piece.lstrip("▁") for piece in pieces)
+        crossing = any("▁" in p.lstrip("▁") or ("\n" in p and len(p) > 1) for p in pieces)
         self.by_piece = plain and spec["normalizer"] is None and not crossing
         self.known = Pieces()
 
-    def _learn(self, texts: list[str]) -> None:
-        """Encode and align pieces that are not remembered, all in one sequence of tokens."""
-        encoded = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        ids_a = [np.array(e.ids, np.int64) for e in encoded]
-        ids_b = [np.array(i, np.int64) for i in self.b.encode(texts, num_threads=1)]
-        whole = []
-        for text, a, b in zip(texts, ids_a, ids_b):
-            raw = (" " + text).encode("utf-8")
-            back = b"".join([self.bytes_a[i] for i in a.tolist()]) == raw == b"".join([self.bytes_b[i] for i in b.tolist()])
-            whole.append(back and self.length_a[a].all() and self.length_b[b].all())
-        good = [k for k, back in enumerate(whole) if back]
-        nothing = np.empty(0, np.int64)
-        for k, back in enumerate(whole):
-            if not back:
-                self.known.add(texts[k], (0, 0, 0, 0), None, nothing)
-        if not good:
-            return
-        flat_a, flat_b = np.concatenate([ids_a[k] for k in good]), np.concatenate([ids_b[k] for k in good])
+    def _encode(self, chunks: list[list[str]]) -> None:
+        """Encode and remember pieces, each chunk of them as one text that begins with a space."""
+        joined = ["".join(chunk) for chunk in chunks]
+        ids_a = [e.ids for e in self.a.encode_batch(joined, add_special_tokens=False)]
+        ids_b = self.b.encode([text[1:] for text in joined], num_threads=1)
+        good, torn = [], []
+        for k, text in enumerate(joined):
+            raw = text.encode("utf-8")
+            back = b"".join([self.bytes_a[i] for i in ids_a[k]]) == raw == b"".join([self.bytes_b[i] for i in ids_b[k]])
+            (good if back else torn).append(k)
+        if good:
+            self._align([chunks[k] for k in good], [ids_a[k] for k in good], [ids_b[k] for k in good])
+        alone = []
+        for k in torn:
+            if len(chunks[k]) == 1:
+                self.known.add(chunks[k], [None], np.zeros((1, 4), np.int64), np.empty(0, np.int64))
+            elif len(chunks[k]) == 2 and chunks[k][0] == _FIRST:
+                self.known.add(chunks[k][1:], [None], np.zeros((1, 4), np.int64), np.empty(0, np.int64))
+            else:
+                alone.extend([_FIRST, piece] for piece in chunks[k][1:])
+        if alone:
+            self._encode(alone)
+
+    def _align(self, chunks: list[list[str]], ids_a: list[list[int]], ids_b: list[list[int]]) -> None:
+        """All tokens as one sequence over the bytes of all pieces."""
+        pieces = [piece for chunk in chunks for piece in chunk]
+        kept = np.array([k > 0 or len(chunk) == 1 for chunk in chunks for k in range(len(chunk))])
+        flat_a = np.fromiter(itertools.chain.from_iterable(ids_a), np.int64)
+        flat_b = np.fromiter(itertools.chain.from_iterable(ids_b), np.int64)
         ends_a, ends_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
+        stop = np.cumsum([len(p) if p.isascii() else len(p.encode("utf-8")) for p in pieces])
         # between two neighbouring ends lies one token of either side: one link
         cuts = np.union1d(ends_a, ends_b)
-        link_a, link_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-        pairs = flat_a[link_a] << 32 | flat_b[link_b]
+        pairs = flat_a[np.searchsorted(ends_a, cuts)] << 32 | flat_b[np.searchsorted(ends_b, cuts)]
         shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        after_a, after_b = np.searchsorted(ends_a, shared) + 1, np.searchsorted(ends_b, shared) + 1
-        stop = np.cumsum([self.length_a[ids_a[k]].sum() for k in good])
-        last_link, last_group = np.searchsorted(cuts, stop) + 1, np.searchsorted(shared, stop) + 1
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        groups, from_a, from_b = [], 0, 0
-        for to_a, to_b in zip(after_a.tolist(), after_b.tolist()):
-            groups.append(",".join(text_a[from_a:to_a]) + "|" + ",".join(text_b[from_b:to_b]))
-            from_a, from_b = to_a, to_b
-        link = group = 0
-        for k, to_link, to_group in zip(good, last_link.tolist(), last_group.tolist()):
-            measures = (len(ids_a[k]), len(ids_b[k]), to_group - group, to_link - link)
-            self.known.add(texts[k], measures, ";".join(groups[group:to_group]).encode(), pairs[link:to_link].copy())
-            link, group = to_link, to_group
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        before_a = np.searchsorted(ends_a, shared, "right")  # tokens up to the end of each group
+        before_b = np.searchsorted(ends_b, shared, "right")
+        texts = np.empty(len(flat_a) + len(flat_b), object)
+        texts[np.arange(len(flat_a)) + np.append(0, before_b)[group_a]] = self.text_a[flat_a, (shared[group_a] == ends_a).astype(int)]
+        texts[np.arange(len(flat_b)) + before_a[group_b]] = self.text_b[flat_b, (shared[group_b] == ends_b).astype(int)]
+        at_a, at_b = np.searchsorted(ends_a, stop, "right"), np.searchsorted(ends_b, stop, "right")
+        whole = shared[np.minimum(np.searchsorted(shared, stop), len(shared) - 1)] == stop
+        whole &= np.append(True, whole[:-1])
+        counts = [at_a, at_b, np.searchsorted(shared, stop, "right"), np.searchsorted(cuts, stop, "right")]
+        measures = np.stack([np.diff(c, prepend=0) for c in counts], axis=1)
+        text_ends = (at_a + at_b).tolist()
+        listed, first = texts.tolist(), 0
+        groups: list[str | None] = []
+        for end, keep, good in zip(text_ends, kept.tolist(), whole.tolist()):
+            if keep:
+                groups.append("".join(listed[first:end]) if good else None)
+            first = end
+        linked = np.repeat(kept, measures[:, 3])
+        self.known.add([p for p, keep in zip(pieces, kept.tolist()) if keep], groups, measures[kept], pairs[linked])
 
     def _numbers(self, cut: list[list[str]]) -> list[np.ndarray]:
-        wanted = set().union(*cut)
-        unknown = [p for p in wanted if p not in self.known.numbers]
-        if unknown:
-            self._learn(unknown)
-        number = self.known.numbers.__getitem__
+        known = self.known.numbers
+        unknown = [p for p in set().union(*cut) if p not in known]
+        if not self.by_piece:
+            self._encode([[p] for p in unknown])
+            unknown = []
+        chunks: list[list[str]] = []
+        room = 0
+        for piece in unknown:
+            if room <= 0:
+                chunks.append([_FIRST])
+                room = _TOGETHER
+            chunks[-1].append(piece)
+            # nothing may follow white space
+            room = 0 if piece[-1].isspace() else room - len(piece)
+        if chunks:
+            self._encode(chunks)
+        number = known.__getitem__
         return [np.fromiter(map(number, pieces), np.int64, len(pieces)) for pieces in cut]
 
     def align(self, texts: list[str]) -> list[tuple]:
@@ -147,23 +193,21 @@ class Aligner:
         if self.known.bytes > REMEMBERED:
             self.known = Pieces()
         known = self.known
-        numbers = self._numbers([_BETWEEN.split(t) if self.by_piece else [t] for t in texts])
-        doubtful = [k for k, own in enumerate(numbers) if any(known.groups[n] is None for n in np.unique(own).tolist())]
-        if doubtful and self.by_piece:
-            for k, own in zip(doubtful, self._numbers([[texts[k]] for k in doubtful])):
-                numbers[k] = own
+        spaced = [" " + t for t in texts]
+        numbers = self._numbers([_BETWEEN.split(t) if self.by_piece else [t] for t in spaced])
         out = []
-        for own in numbers:
+        for text, own in zip(spaced, numbers):
             groups = [known.groups[n] for n in own.tolist()]
-            if any(g is None for g in groups):
+            if None in groups and len(groups) > 1:
+                alone = Aligner.__new__(Aligner)  # the same tokenizers, the text as a whole, nothing remembered
+                alone.__dict__.update(self.__dict__, by_piece=False, known=Pieces())
+                out.extend(alone.align([text[1:]]))
+            elif None in groups:
                 out.append((0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)))
-                continue
-            pieces, times = np.unique(own, return_counts=True)
-            linked = [known.pairs[n] for n in pieces.tolist()]
-            pairs, place = np.unique(np.concatenate(linked), return_inverse=True)
-            links = np.bincount(place, weights=np.repeat(times, [len(p) for p in linked])).astype(np.int64)
-            totals = known.measures[own].sum(axis=0).tolist()
-            out.append((*totals, hashlib.sha256(b";".join(groups)).hexdigest(), pairs, links))
+            else:
+                pairs, links = np.unique(known.linked(own), return_counts=True)
+                totals = known.measures[own].sum(axis=0).tolist()
+                out.append((*totals, hashlib.sha256("".join(groups)[:-1].encode()).hexdigest(), pairs, links))
         return out
 
 
