@@ -18,6 +18,7 @@ from tidemark.llm import (
     near_dedup,
     packing,
     periodic_runs,
+    private_data,
     quality_rules,
     sharding,
     token_alignment,
@@ -172,3 +173,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return token_alignment.token_alignment(docs, *paths)[0]
+
+
+@query("op13_private_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.find(table(spark, sf_dir, "documents"))
