@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
+from tidemark.operators.buckets import MAX_BUCKETS, NO_KEY, KeyBuckets
 from tidemark.operators.fanout import overwrite_params
-from tidemark.operators.merge import _align, col, insert_rows, key_list, merge
+from tidemark.operators.merge import _align, all_of, col, insert_rows, key_list, merge
 from tidemark.operators.overwrite import delete_where, insert_overwrite, partition_values
 from tidemark.operators.partition import PartitionSpec
 from tidemark.operators.quality import enforce_contract
@@ -51,6 +52,12 @@ class BuildConfig:
     lookback: int = 1
     contract: T.StructType | str | None = None
     not_null: tuple[str, ...] = ()
+    key_buckets: int = 0
+
+    @property
+    def buckets(self) -> KeyBuckets | None:
+        """Layout by the hash of the key, for a merge into a table without a partition."""
+        return KeyBuckets(tuple(key_list(self.unique_key)), self.key_buckets) if self.key_buckets else None
 
     def check(self) -> None:
         if self.strategy not in STRATEGIES:
@@ -61,6 +68,8 @@ class BuildConfig:
             raise ConfigError("insert_overwrite needs a partition")
         if self.strategy == "merge" and self.partition is not None and self.partition.copy_partitions:
             raise ConfigError("merge does not copy partitions")
+        if self.key_buckets and (self.strategy != "merge" or self.partition is not None or not key_list(self.unique_key)):
+            raise ConfigError("key_buckets needs the merge strategy with a unique_key and no partition")
         if self.strategy == "microbatch":
             check_microbatch(self.partition, self.batch_size)
             if not self.event_time or self.begin is None:
@@ -106,11 +115,15 @@ def merge_table(
     """Merge into a stored table.
 
     Without a key the rows are appended. In a time-partitioned table under
-    ``source_dates`` only the partitions of the source's days are read and rewritten;
-    otherwise the table is written anew beside the old one and swapped in. The source is
+    ``source_dates`` only the partitions of the source's days are read and rewritten; a merge over
+    a whole partitioned table rewrites the partitions of the matched keys and of the source, that of
+    rows without a date included. A table in hash buckets of the key (or of some of its columns) reads and
+    rewrites the buckets of the source's keys. Only a table without either is written anew
+    beside the old one and swapped in. The source is
     stored first, as the merge reads it several times; ``is_staged`` says it already is.
     """
     partition, cluster_by = tables.table_layout(spark, name)
+    buckets = tables.key_buckets(spark, name)
     target = tables.read_table(spark, name)
     dest = list(dest_columns or target.columns)
     if not key_list(unique_key):
@@ -134,22 +147,60 @@ def merge_table(
         ids = _align(source, target, dest).select(partition.id_expr().alias("id"))
         _merge_partitions(spark, name, source, unique_key, partition, ids, options)
         return
-    if partition is not None and not options.get("null_safe"):
-        ids = _matched_ids(spark, name, _align(source, target, dest), key_list(unique_key), partition)
+    if buckets is not None and buckets.covers(unique_key):
+        with staging(spark):
+            _merge_buckets(spark, name, source, unique_key, buckets, dest, options)
+        return
+    if partition is not None:
+        null_safe = options.get("null_safe") and isinstance(unique_key, str)
+        ids = _matched_ids(spark, name, _align(source, target, dest), key_list(unique_key), partition, null_safe)
         with staged(ids, "ids") as fixed:
-            if fixed.where("id is null").isEmpty():
-                _merge_partitions(spark, name, source, unique_key, partition, fixed, {**options, "partition_scope": "all"})
-                return
+            _merge_partitions(spark, name, source, unique_key, partition, fixed, {**options, "partition_scope": "all"})
+        return
     result = merge(
         target, source, unique_key, partition=partition, partition_scope=partition_scope, **options
     )
-    tables.create_table_as(result, name, partition, cluster_by)
+    tables.create_table_as(result, name, partition, cluster_by, buckets)
 
 
-def _matched_ids(spark, name, source, keys, partition) -> DataFrame:
+def _merge_buckets(spark, name, source, unique_key, buckets, dest, options) -> None:
+    """Merge into the buckets of the source's keys; the files of all others stay as they are."""
+    target = tables.read_table(spark, name)
+    rows = _align(source, target, dest)
+    ident = buckets.id_expr(rows.schema)
+    # a key with a NULL matches nothing, so its row is only added
+    alone = None
+    if not (options.get("null_safe") and isinstance(unique_key, str)):
+        alone, rows = rows.where(ident == NO_KEY), rows.where(ident != NO_KEY)
+    scope, touched = read_buckets(spark, name, rows.select(ident.alias("id")))
+    result = merge(scope, rows, unique_key, **options)
+    tables.replace_partitions(result, name, touched)
+    if alone is not None and not alone.isEmpty():
+        tables.append_rows(insert_rows(target, alone, dest), name)
+
+
+def read_buckets(spark: SparkSession, name: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of a stored table in the given buckets, and which of these buckets it has.
+
+    The list of buckets is a filter on the partition column, so no other folder is read; ``MAX_BUCKETS``
+    bounds it.
+    """
+    wanted = [r[0] for r in ids.distinct().limit(MAX_BUCKETS + 1).collect()]
+    spark.catalog.refreshTable(name)
+    existing = tables.list_partitions(spark, name)
+    return (
+        spark.table(name).where(F.col(tables.BUCKET).isin(wanted)).drop(tables.BUCKET),
+        existing.where(F.col("partition_id").isin(wanted)),
+    )
+
+
+def _matched_ids(spark, name, source, keys, partition, null_safe) -> DataFrame:
     """Partitions that a merge over the whole table touches: those of the source, and those of matched keys."""
-    stored = spark.table(name).select(*[col(k) for k in keys], F.col(tables.BUCKET).alias("__id"))
-    matched = stored.join(source.select(*[col(k) for k in keys]), keys, "left_semi").select("__id")
+    stored = spark.table(name).select(*[col(k) for k in keys], F.col(tables.BUCKET).alias("__id")).alias("dest")
+    wanted = source.select(*[col(k) for k in keys]).alias("source")
+    pairs = [(col(k, "dest"), col(k, "source")) for k in keys]
+    on = all_of([a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    matched = stored.join(wanted, on, "left_semi").select("__id")
     return matched.union(source.select(partition.id_expr())).distinct().toDF("id")
 
 
@@ -167,11 +218,21 @@ def _merge_touched(spark, name, source, unique_key, partition, ids, options) ->
     column = F.col(tables.BUCKET)
     spark.catalog.refreshTable(name)
     scope, _ = split_by_keys(spark.table(name), day(column) if hourly else column, touched)
+    no_date = not ids.where("id is null").isEmpty()
+    everywhere = no_date and options.get("partition_scope") == "all"
+    if everywhere:
+        scope = scope.unionByName(spark.table(name).where(column.isNull()))
     result = merge(scope.drop(tables.BUCKET), source, unique_key, partition=partition, **options)
-    existing = tables.list_partitions(spark, name).where("partition_id is not null")
+    stored = tables.list_partitions(spark, name)
+    existing = stored.where("partition_id is not null")
     ident = F.col("partition_id")
     rewritten, _ = split_by_keys(existing, day(ident) if hourly else ident, touched)
-    if ids.where("id is null").isEmpty():
+    if everywhere:
+        # rows without a date are one partition more
+        rewritten = rewritten.union(stored.where("partition_id is null"))
+        tables.replace_partitions(result, name, rewritten, null_too=True)
+        return
+    if not no_date:
         tables.replace_partitions(result, name, rewritten)
         return
     # rows without a partition are appended, never replaced; the result is fixed first
@@ -323,7 +384,7 @@ def build_incremental(
     if config.strategy == "microbatch":
         return _build_microbatch(spark, name, model, config, exists and not full_refresh, now, batches)
     if not exists or full_refresh:
-        tables.create_table_as(config.shape(model(spark, None)), name, config.partition, config.cluster_by)
+        tables.create_table_as(config.shape(model(spark, None)), name, config.partition, config.cluster_by, config.buckets)
         return "created"
     # stored before the schema changes, as the model may read the table as it was
     with staged(config.shape(model(spark, tables.read_table(spark, name))), "build") as source:
@@ -393,7 +454,7 @@ def build_parameterised(
         spark.sql(f"DROP VIEW {name}")
     fresh = full_refresh or not tables.is_table(spark, name)
     if fresh:
-        tables.create_table_as(shape.limit(0), name, config.partition, config.cluster_by)
+        tables.create_table_as(shape.limit(0), name, config.partition, config.cluster_by, config.buckets)
     elif config.on_schema_change != "ignore":
         sync_table_schema(spark, name, shape, config.on_schema_change)
         # planned anew, as the model may read the table
@@ -522,7 +583,7 @@ def recompute_dirty(
     """
     partition, cluster_by = tables.table_layout(spark, name)
     if partition_ids is None:
-        tables.create_table_as(source, name, partition, cluster_by)
+        tables.create_table_as(source, name, partition, cluster_by, tables.key_buckets(spark, name))
         return
     if not isinstance(partition_ids, DataFrame):
         partition_ids = spark.createDataFrame([(i,) for i in partition_ids], "id string")

@@ -47,7 +47,7 @@ def snapshot_table(
         return "created"
     with staged(source, "snapshot") as rows:
         result = snapshot(_open_versions(spark, name), rows, unique_key, **options)
-        if _grow(spark, name, result.schema):
+        if grow(spark, name, result.schema):
             result = snapshot(_open_versions(spark, name), rows, unique_key, **options)
         tables.replace_partitions(placed(result), name, [OPEN])
     return "updated"
@@ -57,7 +57,7 @@ def _open_versions(spark: SparkSession, name: str) -> DataFrame:
     return tables.read_table(spark, name, [OPEN])
 
 
-def _grow(spark: SparkSession, name: str, goal) -> bool:
+def grow(spark: SparkSession, name: str, goal) -> bool:
     """Give a stored snapshot the columns of its next state; returns whether it changed."""
     have = tables.read_table(spark, name).schema
     diff = schema_diff(goal, have)

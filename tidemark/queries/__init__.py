@@ -1,6 +1,7 @@
 """Registered queries: each runs an operator over the test tables, most with an equal SQL text."""
 
 from tidemark.queries import (  # noqa: F401 - importing registers the queries
+    bucket_queries,
     change_tracking,
     fanout_queries,
     function_queries,

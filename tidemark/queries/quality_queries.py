@@ -78,15 +78,17 @@ def two_states(t):
     return a, b
 
 
-@query(
-    "relation_diff",
+relation_diff_sql = (
     STATES
     + """
 SELECT (SELECT count(*) FROM a) - (SELECT count(*) FROM b) AS row_count_difference,
        (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b))
        + (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS num_mismatched
-""",
+"""
 )
+
+
+@query("relation_diff", relation_diff_sql)
 def relation_diff(t):
     return quality.relation_diff(*two_states(t))
 

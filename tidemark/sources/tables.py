@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import ConfigError
 from tidemark.functions.scalar import type_text
+from tidemark.operators.buckets import KeyBuckets
 from tidemark.operators.merge import col, quoted
 from tidemark.operators.partition import PartitionSpec
 from tidemark.session import setting
@@ -53,9 +54,11 @@ def read_table(spark: SparkSession, name: str, partition_ids: Sequence[str] | No
     return df.drop(BUCKET)
 
 
-def _layout_text(partition: PartitionSpec | None, cluster_by: Sequence[str]) -> str:
-    spec = dataclasses.asdict(partition) if partition else None
-    return json.dumps({"partition": spec, "cluster_by": list(cluster_by)})
+def _layout_text(partition: PartitionSpec | None, cluster_by: Sequence[str], buckets: KeyBuckets | None) -> str:
+    layout = {"partition": dataclasses.asdict(partition) if partition else None, "cluster_by": list(cluster_by)}
+    if buckets is not None:
+        layout["buckets"] = dataclasses.asdict(buckets)
+    return json.dumps(layout)
 
 
 def _property(spark: SparkSession, name: str, key: str) -> str | None:
@@ -74,7 +77,15 @@ def table_layout(spark: SparkSession, name: str) -> tuple[PartitionSpec | None,
     return PartitionSpec.parse(raw["partition"]), raw["cluster_by"]
 
 
-def _arrange(df: DataFrame, partition: PartitionSpec | None, cluster_by: Sequence[str]) -> DataFrame:
+def key_buckets(spark: SparkSession, name: str) -> KeyBuckets | None:
+    """The hash buckets a table is laid out by, if it is."""
+    raw = json.loads(_property(spark, name, LAYOUT) or "{}").get("buckets")
+    return None if raw is None else KeyBuckets(tuple(raw["keys"]), raw["count"])
+
+
+def _arrange(
+    df: DataFrame, partition: PartitionSpec | None, cluster_by: Sequence[str], buckets: KeyBuckets | None = None
+) -> DataFrame:
     """Bring rows of a partition together, then sort them by the cluster columns.
 
     ``rebalance`` lets AQE split a partition that holds much of the data over several
@@ -85,6 +96,8 @@ def _arrange(df: DataFrame, partition: PartitionSpec | None, cluster_by: Sequenc
     order = list(cluster_by)
     if partition is not None:
         df = df.withColumn(BUCKET, partition.id_expr())
+    elif buckets is not None:
+        df = df.withColumn(BUCKET, buckets.id_expr(df.schema))
     if BUCKET in df.columns:
         df = df.hint("rebalance", BUCKET)
         order = [BUCKET, *order]
@@ -98,25 +111,29 @@ def create_table_as(
     name: str,
     partition: PartitionSpec | None = None,
     cluster_by: Sequence[str] = (),
+    buckets: KeyBuckets | None = None,
 ) -> None:
     """Create or replace a table from a query.
 
     The rows are written under a new name which then takes the old table's place: the
     query may read the table it replaces, and a failed job leaves the old table as it is.
-    Rows may also bring their own partition id, in a column named ``__bucket``.
+    Rows may also bring their own partition id, in a column named ``__bucket``. ``buckets`` lays the table
+    out by the hash of a key instead of a partition.
     """
     spark = df.sparkSession
+    if partition is not None and buckets is not None:
+        raise ConfigError("a table has a partition or hash buckets, not both")
     if is_view(spark, name):
         spark.sql(f"DROP VIEW {name}")
     exists = is_table(spark, name)
     goal = f"{name}__{uuid.uuid4().hex[:12]}" if exists else name
-    rows = _arrange(df, partition, cluster_by)
+    rows = _arrange(df, partition, cluster_by, buckets)
     writer = rows.write.format("parquet")
     if BUCKET in rows.columns:
         writer = writer.partitionBy(BUCKET)
     with setting(spark, FAST_STATS, "false"):
         writer.saveAsTable(goal)
-    spark.sql(f"ALTER TABLE {goal} SET TBLPROPERTIES ('{LAYOUT}' = '{_layout_text(partition, cluster_by)}')")
+    spark.sql(f"ALTER TABLE {goal} SET TBLPROPERTIES ('{LAYOUT}' = '{_layout_text(partition, cluster_by, buckets)}')")
     if exists:
         spark.sql(f"DROP TABLE {name}")
         rename_table(spark, goal, name)
@@ -134,7 +151,7 @@ def create_view_as(df: DataFrame, name: str, *, full_refresh: bool = False) -> N
 
 def _physical(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     partition, cluster_by = table_layout(spark, name)
-    df = _arrange(df, partition, cluster_by)
+    df = _arrange(df, partition, cluster_by, key_buckets(spark, name))
     return df.select([col(c) for c in spark.table(name).columns])
 
 
@@ -143,13 +160,16 @@ def append_rows(df: DataFrame, name: str) -> None:
     rows.write.mode("append").insertInto(name)
 
 
-def replace_partitions(df: DataFrame, name: str, emptied: Iterable[str] | DataFrame = ()) -> None:
+def replace_partitions(
+    df: DataFrame, name: str, emptied: Iterable[str | None] | DataFrame = (), *, null_too: bool = False
+) -> None:
     """Replace every partition that occurs in ``df`` by its rows there.
 
     Partitions in ``emptied`` (ids, or a one-column DataFrame of ids of the catalog) that turn out to
     have no row are dropped. Which partitions
     were written is observed by the write itself. Rows with a NULL partition are not
-    accepted, as they would replace all earlier ones.
+    accepted, as they would replace all earlier ones; with ``null_too`` that is what is wanted, and NULL
+    is an id like any other.
     """
     spark = df.sparkSession
     rows = _physical(spark, name, df)
@@ -158,15 +178,21 @@ def replace_partitions(df: DataFrame, name: str, emptied: Iterable[str] | DataFr
     if isinstance(emptied, DataFrame):
         emptied = [r[0] for r in emptied.collect()]
     emptied = set(emptied)
-    if None in emptied:
+    if None in emptied and not null_too:
         raise ConfigError("the partition of rows without a date cannot be replaced")
     written = Observation()
-    present = F.assert_true(F.col(BUCKET).isNotNull(), "a row has no partition").isNull()
-    watched = rows.where(present).observe(written, F.collect_set(BUCKET).alias("ids"))
+    if not null_too:
+        rows = rows.where(F.assert_true(F.col(BUCKET).isNotNull(), "a row has no partition").isNull())
+    watched = rows.observe(
+        written, F.collect_set(BUCKET).alias("ids"), F.count_if(F.col(BUCKET).isNull()).alias("nulls")
+    )
     with setting(spark, OVERWRITE_MODE, "dynamic"):
         watched.write.mode("overwrite").insertInto(name)
     # an empty write reports no list
-    drop_partitions(spark, name, emptied - set(written.get.get("ids") or []))
+    seen = set(written.get.get("ids") or [])
+    if written.get.get("nulls"):
+        seen.add(None)
+    drop_partitions(spark, name, emptied - seen)
 
 
 def drop_partitions(spark: SparkSession, name: str, ids: Iterable[str | None]) -> None:
@@ -205,8 +231,9 @@ def copy_table(sources: DataFrame | Sequence[DataFrame], name: str, mode: str =
     if mode == "incremental" and is_table(spark, name):
         append_rows(stacked, name)
         return
-    partition, cluster_by = table_layout(spark, name) if is_table(spark, name) else (None, [])
-    create_table_as(stacked, name, partition, cluster_by)
+    exists = is_table(spark, name)
+    partition, cluster_by = table_layout(spark, name) if exists else (None, [])
+    create_table_as(stacked, name, partition, cluster_by, key_buckets(spark, name) if exists else None)
 
 
 def clone(spark: SparkSession, source: str, name: str) -> None:
@@ -215,21 +242,29 @@ def clone(spark: SparkSession, source: str, name: str) -> None:
         create_view_as(spark.table(source), name, full_refresh=True)
         return
     partition, cluster_by = table_layout(spark, source)
-    create_table_as(read_table(spark, source), name, partition, cluster_by)
+    create_table_as(read_table(spark, source), name, partition, cluster_by, key_buckets(spark, source))
 
 
-def same_layout(spark: SparkSession, name: str, partition: PartitionSpec | None, cluster_by: Sequence[str]) -> bool:
+def same_layout(
+    spark: SparkSession, name: str, partition: PartitionSpec | None, cluster_by: Sequence[str], buckets: KeyBuckets | None = None
+) -> bool:
     have, clustered = table_layout(spark, name)
-    if (have is None) != (partition is None):
+    if (have is None) != (partition is None) or key_buckets(spark, name) != buckets:
         return False
     return list(clustered) == list(cluster_by) and (partition is None or partition.same_layout(have))
 
 
-def relayout(spark: SparkSession, name: str, partition: PartitionSpec | None, cluster_by: Sequence[str] = ()) -> bool:
+def relayout(
+    spark: SparkSession,
+    name: str,
+    partition: PartitionSpec | None,
+    cluster_by: Sequence[str] = (),
+    buckets: KeyBuckets | None = None,
+) -> bool:
     """Rewrite a table whose layout differs from the wanted one; returns whether it did."""
-    if same_layout(spark, name, partition, cluster_by):
+    if same_layout(spark, name, partition, cluster_by, buckets):
         return False
-    create_table_as(read_table(spark, name), name, partition, cluster_by)
+    create_table_as(read_table(spark, name), name, partition, cluster_by, buckets)
     return True
 
 
@@ -247,6 +282,11 @@ def _location(spark: SparkSession, statement: str) -> str:
     raise ConfigError(f"no location: {statement}")
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of a table."""
+    return _location(spark, f"DESCRIBE EXTENDED {name}")
+
+
 def _follow_partitions(spark: SparkSession, name: str) -> None:
     """Let a renamed table find its partitions where they now are.
 
@@ -277,7 +317,7 @@ def add_table_columns(spark: SparkSession, name: str, fields: Sequence[T.StructF
 def rewrite_table(spark: SparkSession, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
     """Replace a table by a function of itself, in the same layout."""
     partition, cluster_by = table_layout(spark, name)
-    create_table_as(change(read_table(spark, name)), name, partition, cluster_by)
+    create_table_as(change(read_table(spark, name)), name, partition, cluster_by, key_buckets(spark, name))
 
 
 def load_seed(df: DataFrame, name: str) -> None:
