@@ -5,6 +5,7 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,6 +175,50 @@ def test_search_against_brute_force(spark):
     assert [(r["rank"], r["vec_id"]) for r in found.orderBy("rank", "vec_id").collect()] == [(1, 3)] * 30 + [(2, 2)] * 30
 
 
+@pytest.mark.parametrize("count, copies", [(500, 0), (2000, 0), (10_000, 3000), (50_000, 0)])
+def test_recall_at_every_size(spark, count, copies):
+    """Random directions, the hardest case: nothing is much nearer than the rest. All queries are compared."""
+    rng = np.random.default_rng(count)
+    data = rng.standard_normal((count, 64))
+    data[count - copies :] = data[0]
+    ends = pa.array(np.arange(count + 1, dtype=np.int32) * 64)
+    vectors = pa.ListArray.from_arrays(ends, pa.array(data.ravel()))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(count), "embedding": vectors})).repartition(8)
+    found = ann.search(df, F.col("vec_id") % 20 == 0, k=20).toPandas()
+    asked = np.arange(0, count, 20) if not copies else np.arange(20, count - copies, 20)
+    rank = found.sort_values(["query_id", "rank"])
+    assert (rank.groupby("query_id").size() == 20).all() and rank["query_id"].nunique() == len(range(0, count, 20))
+    got = {q: set(v) for q, v in found.groupby("query_id")["vec_id"]}
+    hits = 0
+    for start in range(0, len(asked), 250):
+        part = asked[start : start + 250]
+        scores = data[part] @ data.T
+        scores[np.arange(len(part)), part] = -np.inf
+        limit = np.partition(scores, count - 20, axis=1)[:, count - 20]
+        # ties at the limit are as good as one another
+        hits += sum(int((scores[i, list(got[q])] >= limit[i] - 1e-9).sum()) for i, q in enumerate(part))
+    assert hits >= 0.9 * 20 * len(asked)
+
+
+@pytest.mark.parametrize("n, marks", [(1, 5), (63, 63), (64, 16), (1000, 37)])
+def test_counters_equal_a_plain_count(n, marks):
+    rng = np.random.default_rng(n)
+    places, centre, width = rng.standard_normal((n, 21)), rng.standard_normal((7, 21)), rng.random(7) * 2
+    windows = ann.Windows(places, marks)
+    line = np.sort(places, axis=0)
+    edges = np.arange(min(marks, n) + 1) * n // min(marks, n)
+    for least in (1, 5, 13, 21):
+        found = np.unpackbits(windows.reached(centre, width, least).view(np.uint8), axis=1, bitorder="little")[:, :n]
+        for q in range(7):
+            count = np.zeros(n, int)
+            for j in range(21):
+                low = edges[edges <= (line[:, j] < centre[q, j] - width[q]).sum()].max()
+                high = edges[edges >= (line[:, j] <= centre[q, j] + width[q]).sum()].min()
+                rank = np.argsort(np.argsort(places[:, j], kind="stable"), kind="stable")
+                count += (rank >= low) & (rank < high)
+            assert found[q].tolist() == (count >= least).astype(int).tolist()
+
+
 def test_search_among_copies(spark):
     """A third of the rows is one vector near the mean of the others."""
     rng = np.random.default_rng(5)

@@ -2,12 +2,18 @@
 
 All vectors are dealt by a hash of their row into blocks of about ``block`` rows, all queries into
 chunks, and each task works on one block and one chunk. A block has ``projections`` arrays, each sorted
-by one random projection. A query opens a window around its own projection in every array and widens
-all windows by a factor, round after round, without hashing anything again; the places newly covered
-raise the collision counts of their vectors. A vector whose count reaches the threshold is verified on
-the original vectors. A query ends in a block when ``share`` of the block's different vectors and ``k`` more
-have been verified, so that recall depends neither on the number of blocks nor on copies: equal vectors are
-one candidate, and the ids behind it are looked up afterwards. The best ``k`` of each block are merged.
+by one random projection. A query opens a window around its own projection in every array and all windows
+grow together, along a ladder of widths, without hashing anything again; a vector collides once for each
+window it is in, and one whose count reaches the threshold is verified on the original vectors. The query takes
+the narrowest step of the ladder at which enough vectors are verified, which is found by halving, as counts
+only grow with the width. Windows end at one of ``marks`` ranks of their array. For each mark a bitmap tells the
+vectors before it, so a window is the difference of two bitmaps, and the windows of a query are added up in binary
+counters, one machine word for 64 vectors.
+
+How many of a block's different vectors are verified is a property of the whole table: ``SHARE`` of a table of
+2,000 different vectors, less in a larger one by the power ``FALL``, and ``k`` more. So recall depends neither on
+the number of blocks nor on copies: equal vectors are one candidate, and the ids behind it are looked up
+afterwards. The best ``k`` of each block are merged.
 
 For inner products the block's vectors are divided by their largest norm and get one more component
 that makes all norms 1, and queries are scaled to norm 1; nearness in the enlarged space has the order
@@ -23,6 +29,7 @@ to the smaller id. Queries with fewer than ``k`` candidates get all. An empty ta
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +39,18 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import prepare, quoted
 
-#: Rows of a block and queries of a chunk, about.
-BLOCK, CHUNK = 8192, 1024
-PROJECTIONS = 128
-#: First half width of the windows, the factor by which they grow, and the share of collisions asked for.
-WIDTH, GROWTH, COLLISIONS = 0.6, 1.2, 0.65
-#: Share of a block's different vectors that is verified before a query ends.
-SHARE = 0.15
+#: Rows of a block and queries of a chunk, about, and queries counted at once.
+BLOCK, CHUNK, TOGETHER = 8192, 8192, 64
+PROJECTIONS, MARKS = 128, 128
+#: First half width of the windows, the factor between two steps, and the share of collisions asked for.
+WIDTH, GROWTH, COLLISIONS = 0.3, 1.05, 0.65
+#: Share of the different vectors that is verified if there are ``USUAL``, and the power it falls by.
+SHARE, USUAL, FALL = 0.36, 2000, 0.3
+
+
+def share_of(different: int) -> float:
+    """The share of a block's different vectors to verify, in a table with so many of them."""
+    return min(1.0, SHARE * (USUAL / max(1, different)) ** FALL)
 
 
 def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
@@ -56,13 +68,68 @@ def _different(data: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray
     return first, np.searchsorted(which[order], np.arange(len(first) + 1)), order
 
 
+class Windows:
+    """Sorted projections of a block, as bitmaps of the vectors before each mark."""
+
+    def __init__(self, places: np.ndarray, marks: int):
+        n, self.projections = places.shape
+        marks = min(marks, n)
+        self.n, words = n, -(-n // 64)
+        edges = np.arange(marks + 1) * n // marks
+        order = np.argsort(places, axis=0, kind="stable")
+        line = np.take_along_axis(places, order, axis=0)
+        self.first, self.last = line[edges[:-1]].T.copy(), line[edges[1:] - 1].T.copy()
+        self.before = np.zeros((self.projections, marks + 1, words * 8), np.uint8)
+        rank = np.empty(n, np.int64)
+        for j in range(self.projections):
+            rank[order[:, j]] = np.arange(n)
+            bits = np.packbits(rank < edges[:, None], axis=1, bitorder="little")
+            self.before[j, :, : bits.shape[1]] = bits
+        self.before = self.before.view(np.uint64)
+
+    def reached(self, centre: np.ndarray, width: np.ndarray, least: int) -> np.ndarray:
+        """A bit for each vector (by query) that is in ``least`` or more of the windows ``centre`` +- ``width``."""
+        bits = self.projections.bit_length()
+        waiting: list[list[np.ndarray]] = [[] for _ in range(bits + 2)]
+
+        def add(weight: int, bitmap: np.ndarray) -> None:
+            own = waiting[weight]
+            own.append(bitmap)
+            if len(own) == 3:  # three bits make a sum and a carry
+                a, b, c = own
+                either = a ^ b
+                waiting[weight] = [either ^ c]
+                add(weight + 1, (a & b) | (c & either))
+
+        for j in range(self.projections):
+            # outward to the next mark
+            low = np.searchsorted(self.last[j], centre[:, j] - width, "left")
+            high = np.searchsorted(self.first[j], centre[:, j] + width, "right")
+            add(0, self.before[j, np.maximum(low, high)] ^ self.before[j, low])
+        # counters start so that they overflow at ``least``
+        ones = np.full_like(waiting[0][0], np.iinfo(np.uint64).max) if least else None
+        start = (1 << bits) - least
+        for weight in range(bits):
+            if start >> weight & 1:
+                add(weight, ones)
+            while len(waiting[weight]) > 1:
+                a, b = waiting[weight][:2]
+                waiting[weight] = [a ^ b, *waiting[weight][2:]]
+                add(weight + 1, a & b)
+        over = np.zeros((len(centre), self.before.shape[2]), np.uint64)
+        for bitmap in [b for own in waiting[bits:] for b in own]:
+            over |= bitmap
+        return over
+
+
 def candidates(
-    data: np.ndarray, queries: np.ndarray, wanted: int, rng: np.random.Generator,
-    projections: int = PROJECTIONS, width: float = WIDTH, growth: float = GROWTH,
-    collisions: float = COLLISIONS, share: float = SHARE,
-) -> list[np.ndarray]:
-    """For each query the rows of ``data`` whose collision counts reached the threshold."""
+    data: np.ndarray, queries: np.ndarray, enough: int, rng: np.random.Generator,
+    projections: int = PROJECTIONS, marks: int = MARKS, width: float = WIDTH, growth: float = GROWTH,
+    collisions: float = COLLISIONS,
+) -> Iterator[np.ndarray]:
+    """For each query the rows of ``data`` whose collision counts reached the threshold, at least ``enough`` of them."""
     n = len(data)
+    enough = min(n, enough)
     # scaled first, so that squares of very large or small components stay finite
     unit = data / np.abs(data).max()
     unit = unit / np.sqrt((unit * unit).sum(axis=1)).max()
@@ -71,33 +138,45 @@ def candidates(
     directions = rng.standard_normal((data.shape[1] + 1, projections))
     places = np.column_stack([unit, rest]) @ directions
     centre = (queries / np.sqrt((queries * queries).sum(axis=1))[:, None]) @ directions[:-1]
-    order = np.argsort(places, axis=0, kind="stable").T.astype(np.int32).copy()
-    line = np.take_along_axis(places.T, order, axis=1)
+    windows = Windows(places, marks)
     least = math.ceil(collisions * projections)
-    enough = min(n, wanted + math.ceil(share * n))
-    counts = np.zeros((len(queries), n), np.int16)
-    low = np.stack([np.searchsorted(line[i], centre[:, i]) for i in range(projections)], axis=1)
-    high = low.copy()
-    found: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
-    going = np.arange(len(queries))
-    while len(going):
-        wide_low, wide_high = (
-            np.stack([np.searchsorted(line[i], centre[going, i] + s * width, d) for i in range(projections)], axis=1)
-            for s, d in ((-1, "left"), (1, "right"))
-        )
-        still = []
-        for k, q in enumerate(going):
-            fresh = [order[i, a:b] for i, (a, b) in enumerate(zip(wide_low[k], low[q])) if a < b]
-            fresh += [order[i, a:b] for i, (a, b) in enumerate(zip(high[q], wide_high[k])) if a < b]
-            if fresh:
-                counts[q] += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int16)
-            low[q], high[q] = np.minimum(wide_low[k], low[q]), np.maximum(wide_high[k], high[q])
-            found[q] = np.flatnonzero(counts[q] >= least)
-            if len(found[q]) < enough:
-                still.append(q)
-        going = np.array(still, np.int64)
-        width *= growth
-    return found
+    # the last step of the ladder holds everything
+    widest = np.abs(places).max() + np.abs(centre).max()
+    top = max(0, math.ceil(math.log(widest / width, growth))) + 1
+    usual = (-1, top)
+    for at in range(0, len(queries), TOGETHER):
+        own = centre[at : at + TOGETHER]
+        low = np.full(len(own), usual[0])  # too narrow, as far as is known
+        high = np.full(len(own), top)
+        best = np.full((len(own), windows.before.shape[2]), np.iinfo(np.uint64).max)
+        step = np.full(len(own), usual[1])
+        going = np.arange(len(own)) if usual[1] < top else np.empty(0, np.int64)
+        while True:
+            if len(going):
+                met = windows.reached(own[going], width * growth ** step[going], least)
+                full = np.bitwise_count(met).sum(axis=1) >= enough
+                best[going[full]], high[going[full]] = met[full], step[going[full]]
+                low[going[~full]] = np.maximum(low[going[~full]], step[going[~full]])
+            going = np.flatnonzero(high - low > 1)
+            if not len(going):
+                break
+            step = (low + high) // 2
+        # where this batch ended the next one begins to look
+        usual = (max(-1, int(high.min()) - 4), min(top, int(high.max()) + 1))
+        for bits in np.unpackbits(best.view(np.uint8), axis=1, bitorder="little"):
+            yield np.flatnonzero(bits[:n])
+
+
+def _nearest(data: np.ndarray, query: np.ndarray, wanted: int) -> np.ndarray:
+    """Places that hold the ``wanted`` largest products and, as sums may be rounded, all close to them."""
+    if len(data) <= wanted:
+        return np.arange(len(data))
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = data @ query
+        near = np.partition(scores, len(scores) - wanted)[len(scores) - wanted]
+        slack = 1e-9 * (np.abs(data).max() * np.abs(query).sum())
+    # where products overflow nothing is left out
+    return np.flatnonzero(scores >= near - slack) if np.isfinite(slack) and np.isfinite(scores).all() else np.arange(len(data))
 
 
 def search(
@@ -113,7 +192,8 @@ def search(
         quoted(key).alias("id"), value.alias("v"), F.size(value).alias("size"),
         F.monotonically_increasing_id().alias("row"), F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
-    sizes = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
+    sizes = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.approx_count_distinct(F.xxhash64("v"))).first()
+    share = share_of(sizes[2])
     blocks, chunks = max(1, math.ceil(sizes[0] / block)), max(1, math.ceil(sizes[1] / chunk))
     deal = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -132,8 +212,11 @@ def search(
             own, times = np.unique(ids, return_counts=True)
             more = int(times[np.isin(own, asked_ids)].max(initial=0))
             places, ends, members = _different(data, ids, k + more)
-            found = candidates(data[places], queries, k + more, np.random.default_rng(seed))
+            different = data[places]
+            enough = k + more + math.ceil(share * len(different))
+            found = candidates(different, queries, enough, np.random.default_rng(seed))
             for q, (query, reps) in enumerate(zip(queries, found)):
+                reps = reps[_nearest(different[reps], query, k + more)]
                 times = ends[reps + 1] - ends[reps]
                 near = members[np.repeat(ends[reps + 1] - times.cumsum(), times) + np.arange(times.sum())]
                 near = near[ids[near] != asked_ids[q]]
