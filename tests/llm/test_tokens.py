@@ -139,3 +139,70 @@ def test_local_search_empties_bins():
     assert packing.local_search(start, sizes, 100, tries=0) == start
     best = packing.best_fit(sizes, 100)
     assert len(packing.local_search(best, sizes, 100)) <= len(best)
+
+
+def test_ranks_give_the_ids_of_the_library():
+    """Words made of entries of the vocabulary, so that many merges compete."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(PIECES)
+    with open(PIECES, encoding="utf-8") as file:
+        entries = list(json.load(file)["model"]["vocab"])
+    code = {c: n for n, c in enumerate(byte_bpe.byte_letters())}
+    plain = [bytes(code[c] for c in e.removesuffix("</w>")).decode("utf-8", "ignore") for e in entries[:-2]]
+    rnd = random.Random(8)
+    made = ["".join(rnd.choice(plain) for _ in range(rnd.randint(1, 5))) for _ in range(40_000)] + plain
+    made += ["e\u0301a", "\u0301", "ΣΑΣ", "İ", "don't", "a\x01b", "a<|endoftext|>b", "1234", "ǅ", "x\u2028y", "\u037f"]
+    code = packing.words(PIECES)
+    assert code.ranks is not None
+    found = code.encode(made)
+    expected = library.encode_batch(made, add_special_tokens=False)
+    for word, ids, e in zip(made, found, expected):
+        assert np.frombuffer(ids, "<u4").tolist() == e.ids, word
+
+
+def test_small_memory_of_words():
+    code = packing.Words(PIECES, most=20)
+    whole = packing.words(PIECES).encode(texts())
+    assert [ids for t in texts() for ids in code.encode([t])] == whole
+    assert sum(map(len, code.known)) < 3000
+
+
+def square(bins, sizes):
+    return sum(sum(sizes[i] for i in b) ** 2 for b in bins)
+
+
+def plain_steps(bins, sizes, capacity):
+    """Whether a move or exchange from any bin to a fuller one (a later one of the same fill) raises the sum of squares."""
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    for g, giver in enumerate(bins):
+        offers = [sizes[i] for i in giver] + [sizes[i] + sizes[j] for n, i in enumerate(giver) for j in giver[n + 1 :]]
+        for t, taker in enumerate(bins):
+            if (fill[g], g) < (fill[t], t) and fill[t] < capacity:
+                for back in [0, *(sizes[i] for i in taker)]:
+                    if any(0 < x - back <= capacity - fill[t] for x in offers):
+                        return True
+    return False
+
+
+@pytest.mark.parametrize("low, high", [(1, 100), (25, 45), (51, 100), (30, 60), (1, 9)])
+def test_local_search_ends_where_nothing_helps(low, high):
+    rnd = random.Random(low)
+    for _ in range(12):
+        sizes = [rnd.randint(low, high) for _ in range(rnd.randint(1, 60))]
+        start = packing.best_fit(sizes, 100) if rnd.random() < 0.5 else [[i] for i in range(len(sizes))]
+        found = packing.local_search(start, sizes, 100)
+        assert sorted(i for b in found for i in b) == list(range(len(sizes)))
+        assert all(0 < sum(sizes[i] for i in b) <= 100 for b in found)
+        assert square(found, sizes) >= square(start, sizes) and len(found) <= len(start)
+        least = math.ceil(sum(sizes) / 100)
+        assert len(found) == least or not plain_steps(found, sizes, 100)
+
+
+def test_packing_of_a_whole_group_of_large_pieces():
+    """No two pieces fit together: a search over pairs of bins would take 2e8 tries."""
+    rnd = random.Random(1)
+    sizes = [rnd.randint(2100, 4000) for _ in range(20_000)]
+    assert len(packing.local_search(packing.best_fit(sizes, 4096), sizes, 4096)) == 20_000

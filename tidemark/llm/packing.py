@@ -3,10 +3,15 @@
 Texts become ids with an end mark; only documents longer than a sequence are cut, into whole sequences
 and a rest. Pieces are dealt by a hash into groups of about ``group`` pieces. In a group each piece, the
 longest first, goes to the fullest sequence it fits. While the group has more sequences than its tokens
-ask for, a local search empties the emptiest one: pieces move to, or are exchanged one for one or two
-for one with pieces of, fuller sequences, so that the sum of squared fills grows with every step. The
-few sequences that stay clearly underfull in each group are packed once more, many groups together, so
-the loss is about one sequence for hundreds of groups.
+ask for, a local search empties the emptiest ones: pieces move to, or are exchanged one for one or two
+for one with pieces of, fuller sequences, so that the sum of squared fills grows with every step. It ends
+when a pass over all sequences that are not full finds no such step; nothing else stops it. Sequences are kept by
+what they can take, so a giver finds its best step without trying all others. The
+sequences that stay clearly underfull in each group are packed once more, many groups together but about
+``GROUP`` pieces at most, so the loss is about one sequence for hundreds of groups.
+
+Words that are not remembered get their ids by byte-pair ranks of the tokenizer's file, many in one call; the library
+itself takes those with special strings, odd blanks or letters that are not Latin, Greek or Cyrillic.
 
 Contract. A null text is empty and consists of the end mark. Each row is packed for itself, repeated
 rows and null ids included. An empty table gives an empty result. A piece never spans two sequences,
@@ -17,17 +22,22 @@ from __future__ import annotations
 
 import bisect
 import functools
+import heapq
+import json
 import math
+import os
 import re
 import zlib
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.byte_bpe import byte_letters
 from tidemark.llm.common import map_rows, quoted
 from tidemark.session import stage
 
@@ -37,40 +47,114 @@ END = 1
 GROUP, TOGETHER = 20_000, 256
 #: Sequences filled less than this are packed a second time.
 FULL = 0.98
-#: Pairs of sequences that the local search of one group looks at.
-TRIES = 50_000
-
+#: Characters of remembered words, and the longest of them.
+REMEMBERED, LONGEST = 6_000_000, 200
 
 #: A single mark between a plain letter and a blank.
 _MARK = re.compile(r"(?<=[A-Za-z])([,.])(?=[ \n]|\Z)")
+#: Words the ranks are not used for.
+_ODD = re.compile(r"[^\u0000-\u037e\u0380-\u04ff]|[\s\x01]|<\|")
+#: Stands for the end of a word, in place of the vocabulary's own mark.
+_STOP, _SUFFIX = "\x01", "</w>"
+
+
+class Ranks:
+    """Ids of words by byte-pair merges, if the ``tokenizers`` file is one of words with ends and without capitals."""
+
+    def __init__(self, spec: dict, tokenizer):
+        import tiktoken
+
+        byte_of = {letter: number for number, letter in enumerate(byte_letters())}
+        stop = _STOP.encode()
+
+        def raw(entry: str) -> bytes:
+            plain = entry.removesuffix(_SUFFIX)
+            return bytes(byte_of[c] for c in plain) + (stop if plain != entry else b"")
+
+        vocabulary = spec["model"]["vocab"]
+        # a letter meets the end of its word before anything else is merged
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + stop: 256 + b for b in range(256)}
+        ids = [vocabulary[c] for c in byte_letters()] + [vocabulary[c + _SUFFIX] for c in byte_letters()]
+        for merge in spec["model"]["merges"]:
+            entry = "".join(merge.split(" ") if isinstance(merge, str) else merge)
+            ranks[raw(entry)] = len(ids)
+            ids.append(vocabulary[entry])
+        if len(ranks) != len(ids):
+            raise ValueError("two merges make the same entry")
+        self.ids = np.array(ids, "<u4")
+        self.blank = 256 + ord(" ")  # a blank that ends a word of its own: never part of a word
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\n]+", mergeable_ranks=ranks, special_tokens={})
+        self.normal = tokenizer.normalizer.normalize_str
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.parts = regex.compile(f"{pattern}| ").findall
+
+    @staticmethod
+    def fits(spec: dict) -> bool:
+        model, cut = spec["model"], spec["pre_tokenizer"]
+        plain = model["type"] == "BPE" and model.get("end_of_word_suffix") == _SUFFIX
+        plain = plain and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges", "byte_fallback"))
+        steps = cut.get("pretokenizers", []) if cut and cut["type"] == "Sequence" else []
+        plain = plain and [s["type"] for s in steps] == ["Split", "ByteLevel"] and spec["normalizer"] is not None
+        return plain and steps[0]["invert"] and steps[0]["behavior"] == "Removed" and not (
+            steps[1]["use_regex"] or steps[1]["add_prefix_space"]
+        )
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words without blanks, in batches of one call each."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 1000):
+            parts = self.parts(self.normal(" ".join(words[at : at + 1000])))
+            found = np.array(self.encoding.encode_ordinary("".join([p + _STOP + "\n" for p in parts])), np.int64)
+            ends = np.flatnonzero(found == self.blank)
+            raw = self.ids[found].tobytes()
+            starts = [0, *(4 * (ends + 1)).tolist()]
+            out.extend([raw[a:b] for a, b in zip(starts, [*(4 * ends).tolist(), len(raw)])])
+        return out
 
 
 class Words:
     """Ids of texts by a ``tokenizers`` file, remembered by word.
 
     The tokenizer must drop blanks and capitals and cut words at marks, so that no token lies across a
-    space or line end, or holds a letter and the mark behind it. At most ``most`` words are remembered besides those of the batch at hand.
+    space or line end, or holds a letter and the mark behind it. Remembered words are bounded by their characters;
+    those of more than ``LONGEST`` are forgotten after their batch.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.most = most
         self.known: dict[str, bytes] = {"": b""}
+        self.held = 0
+        self.ranks: Ranks | None = None
         probe = self._ids(["a b", "a", "b", "a\nb", "A"])
         if not probe[0] == probe[1] + probe[2] == probe[3] or probe[4] != probe[1]:
             raise ValueError(f"{path} keeps blanks or capitals; its texts cannot be cut at blanks")
         probe = self._ids(["a,", "a", ",", "a.", "."])
         if probe[0] != probe[1] + probe[2] or probe[3] != probe[1] + probe[4]:
             raise ValueError(f"{path} joins letters and marks; its words cannot be cut there")
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        if Ranks.fits(spec):
+            self.ranks = Ranks(spec, self.tokenizer)
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _learn(self, words: list[str]) -> None:
+        odd = words
+        if self.ranks is not None:
+            odd = list(filter(_ODD.search, words))
+            plain = list(set(words).difference(odd))
+            self.known.update(zip(plain, self.ranks.words(plain)))
+        self.known.update(zip(odd, self._ids(odd)))
+        self.held += sum(map(len, words))
+
     @staticmethod
     def _cut(text: str) -> list[str]:
         """Words of a text, so that as many as can be are the same: a mark at the end of a word stands alone."""
@@ -80,12 +164,16 @@ class Words:
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [self._cut(t) if t else [] for t in texts]
-        if len(self.known) > self.most:
-            self.known = {"": b""}
-        new = [w for w in set().union(*cut) if w not in self.known]
-        self.known.update(zip(new, self._ids(new)))
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in cut]
+        if self.held > self.most:
+            self.known, self.held = {"": b""}, 0
+        new = list(set().union(*cut).difference(self.known))
+        self._learn(new)
+        ids = self.known.__getitem__
+        out = [b"".join(map(ids, words)) for words in cut]
+        for word in [w for w in new if len(w) > LONGEST]:
+            del self.known[word]
+            self.held -= len(word)
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -140,59 +228,103 @@ def best_fit(sizes: Sequence[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(giver: list[int], taker: list[int], gap: int, sizes: Sequence[int]) -> tuple[list[int], list[int]] | None:
-    """What leaves ``giver`` and what comes back, so that ``taker`` gains most within its ``gap``."""
-    best: tuple[int, list[int], list[int]] = (0, [], [])
-    own = sorted(taker, key=lambda i: sizes[i])
-    lengths = [sizes[i] for i in own]
-    for a, first in enumerate(giver):
-        if best[0] < sizes[first] <= gap:
-            best = (sizes[first], [first], [])  # a move
-        for group in ([first], *([first, second] for second in giver[a + 1 :])):
-            total = sum(sizes[i] for i in group)
-            at = bisect.bisect_left(lengths, total - gap)  # the shortest that may come back
-            if at < len(own) and best[0] < total - lengths[at] <= gap:
-                best = (total - lengths[at], group, [own[at]])
-    return (best[1], best[2]) if best[0] else None
-
-
-def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int, tries: int = TRIES) -> list[list[int]]:
+class Takers:
+    """Open bins by what they can take: one of their pieces goes (or none), and what comes may fill the gap as well."""
+
+    def __init__(self, sizes: Sequence[int], capacity: int, count: int):
+        self.sizes, self.capacity = sizes, capacity
+        self.state = [0] * count  # entries of an earlier state of a bin are void
+        # by the most that may come: the pieces that would go, the smallest first
+        self.by_reach: list[list[tuple[int, int, int]]] = [[] for _ in range(capacity + 1)]
+        self.least = np.full(capacity + 1, capacity + 1, np.int64)
+
+    def add(self, number: int, places: Sequence[int], fill: int) -> None:
+        self.state[number] += 1
+        for size in {0, *(self.sizes[i] for i in places)} if fill < self.capacity else ():
+            reach = size + self.capacity - fill
+            heapq.heappush(self.by_reach[reach], (size, number, self.state[number]))
+            self.least[reach] = min(self.least[reach], size)
+
+    def remove(self, number: int) -> None:
+        self.state[number] += 1
+
+    def best(self, offers: np.ndarray) -> tuple[int, int, int] | None:
+        """The offer, the bin and the size that comes back with the greatest gain."""
+        while True:
+            least = np.minimum.accumulate(self.least[::-1])[::-1]  # the smallest piece that lets so much come
+            gain = offers - least[offers]
+            at = int(gain.argmax()) if len(gain) else -1
+            if at < 0 or gain[at] <= 0:
+                return None
+            offer = int(offers[at])
+            reach = offer + int(self.least[offer:].argmin())
+            heap = self.by_reach[reach]
+            size, number, state = heap[0]
+            if self.state[number] == state:
+                return offer, number, size
+            while heap and self.state[heap[0][1]] != heap[0][2]:
+                heapq.heappop(heap)
+            self.least[reach] = heap[0][0] if heap else self.capacity + 1
+
+
+def _offers(lengths: Sequence[int], capacity: int) -> np.ndarray:
+    """Sizes of one and of two pieces."""
+    own = np.unique(np.array(lengths, np.int64))
+    twice = [s for s in own.tolist() if lengths.count(s) > 1]
+    pairs = (own[:, None] + own)[np.triu_indices(len(own), 1)]
+    found = np.unique(np.concatenate([own, pairs, 2 * np.array(twice, np.int64)]))
+    return found[found <= capacity]
+
+
+def _places(places: Sequence[int], sizes: Sequence[int], total: int) -> list[int]:
+    """One or two of ``places`` with the given total size."""
+    by_size: dict[int, int] = {}
+    for i in places:
+        if sizes[i] == total:
+            return [i]
+    for i in places:
+        if total - sizes[i] in by_size:
+            return [by_size[total - sizes[i]], i]
+        by_size[sizes[i]] = i
+    raise LookupError(total)
+
+
+def local_search(bins: list[list[int]], sizes: Sequence[int], capacity: int, tries: int | None = None) -> list[list[int]]:
     """Empties bins by moves and exchanges towards fuller ones; every step raises the sum of squared fills.
 
-    Ends when the tokens ask for all bins that are left, no exchange helps, or ``tries`` pairs of bins
-    have been looked at.
+    Ends when the tokens ask for all bins that are left, or when a pass over all bins finds no step (or after
+    ``tries`` steps, if given).
     """
     bins = [list(b) for b in bins]
     fill = [sum(sizes[i] for i in b) for b in bins]
     fewest = math.ceil(sum(fill) / capacity)
-    live = set(range(len(bins)))
-    stuck: set[int] = set()  # givers that no bin takes anything from
-    while tries > 0 and len(live) > fewest and (givers := [b for b in live if b not in stuck and fill[b] < capacity]):
-        giver = min(givers, key=lambda b: (fill[b], b))
+    live = len(bins)
+    moved = True
+    while moved and live > fewest:
         moved = False
-        for taker in sorted((b for b in live if fill[giver] <= fill[b] < capacity and b != giver), key=lambda b: (-fill[b], b)):
-            if fill[taker] < fill[giver] or tries <= 0:
-                continue
-            tries -= 1
-            step = _exchange(bins[giver], bins[taker], capacity - fill[taker], sizes)
-            if step is None:
-                continue
-            out, back = step
-            gain = sum(sizes[i] for i in out) - sum(sizes[i] for i in back)
-            bins[giver] = [i for i in bins[giver] if i not in out] + back
-            bins[taker] = [i for i in bins[taker] if i not in back] + out
-            fill[giver] -= gain
-            fill[taker] += gain
-            moved = True
-            if not bins[giver]:
-                break
-        if not bins[giver]:
-            live.discard(giver)
-        elif not moved:
-            stuck.add(giver)
-        else:
-            stuck.clear()
-    return [bins[b] for b in sorted(live)]
+        takers = Takers(sizes, capacity, len(bins))
+        order = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: (fill[b], b))
+        for number in order:
+            takers.add(number, bins[number], fill[number])
+        for giver in order:
+            # those before it in the order are done; those after it were fuller and only got fuller since
+            takers.remove(giver)
+            while bins[giver] and live > fewest and (tries is None or tries > 0):
+                found = takers.best(_offers([sizes[i] for i in bins[giver]], capacity))
+                if found is None:
+                    break
+                offer, taker, size = found
+                out = _places(bins[giver], sizes, offer)
+                back = [next(i for i in bins[taker] if sizes[i] == size)] if size else []
+                bins[giver] = [i for i in bins[giver] if i not in out] + back
+                bins[taker] = [i for i in bins[taker] if i not in back] + out
+                fill[giver] -= offer - size
+                fill[taker] += offer - size
+                takers.add(taker, bins[taker], fill[taker])
+                moved = True
+                tries = None if tries is None else tries - 1
+            live -= not bins[giver]
+    return [b for b in bins if b]
 
 
 def _pack(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
@@ -226,8 +358,10 @@ def pack(
     if groups > 1:
         first = stage(first, "packed")
         again = first.where(F.col("fill") < FULL * capacity).drop("sequence", "offset", "fill")
+        # as few groups as can be, but none with more pieces than a task can hold
+        second = max(1, math.ceil(groups / together), math.ceil(again.count() / GROUP))
         # numbers from ``groups`` on are those of the second pass
-        second = run(again.withColumn("group", F.lit(groups) + F.floor(F.col("group") / together)))
+        second = run(again.withColumn("group", F.lit(groups) + F.pmod(F.xxhash64("piece", "row"), F.lit(second))))
         first = first.where(F.col("fill") >= FULL * capacity).unionByName(second)
     return first.select(
         F.col("doc").alias(key), "piece", "start", "length", F.col("crc").alias("ids_crc32"),
