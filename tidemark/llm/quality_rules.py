@@ -1,12 +1,12 @@
 """Quality rules in DataFrame functions only: measures of each text, and lines that much of a host repeats.
 
 Cross-document line frequency: every line is normalised (blanks at its ends removed, lower case, digits
-as 0) and hashed; for each host the distinct texts that hold a line are counted. Lines in at least
-``min_texts`` texts and in more than ``max_share`` of the host's texts are boilerplate; ``cleaned`` is the text
-without them, and a text of whose words less than ``min_left`` then remain is depleted. The base measures are
-those of the whole text. Exact copies count as one text, as
-they are for deduplication to remove. The limit depends on the size of a host: below ``min_texts`` texts
-no line is frequent, and only from ``min_texts / max_share`` texts on the share alone decides.
+as 0) and hashed; for each host the distinct texts that hold a line are counted. Lines in more than
+``max_share`` of the host's texts are boilerplate, if they are in ``min_texts`` of them at least, which only matters
+for hosts of less than ``min_texts / max_share`` texts; ``cleaned`` is the text without them, and a text of whose
+words less than ``min_left`` then remain is depleted. The base measures are
+those of the whole text. Documents with the same text count once: they are for deduplication to remove, and would
+otherwise be rejected together, the one that is to stay included.
 
 Contract. A null or empty text has no words and fails the base rules. A null host is a host of its own.
 Every row gives one row, repeated rows included. An empty table gives an empty result. Extra columns
@@ -85,7 +85,7 @@ def frequent_lines(
     text: str = "text",
     host: str = "source",
     max_share: float = 0.1,
-    min_texts: int = 25,
+    min_texts: int = 3,
     min_left: float = 0.3,
 ) -> DataFrame:
     """(host, text_hi, text_lo, cut, depleted) of the texts that hold frequent lines: their hashes, and what removing them leaves."""
@@ -128,7 +128,7 @@ def quality_rules(
     text: str = "text",
     host: str = "source",
     max_share: float = 0.1,
-    min_texts: int = 25,
+    min_texts: int = 3,
     min_left: float = 0.3,
 ) -> DataFrame:
     """``row``, the base measures, ``base_failed``, ``depleted``, ``kept`` and ``cleaned`` (the text without frequent lines) of every row."""
@@ -177,7 +177,7 @@ WITH t AS (
   SELECT source, count(DISTINCT text) AS texts FROM t GROUP BY source
 ), freq AS (
   SELECT b.source, b.norm FROM by_text b JOIN hosts h ON b.source IS NOT DISTINCT FROM h.source
-  GROUP BY b.source, b.norm, h.texts HAVING count(*) >= 25 AND count(*) > 0.1 * h.texts
+  GROUP BY b.source, b.norm, h.texts HAVING count(*) >= 3 AND count(*) > 0.1 * h.texts
 ), poor AS (
   SELECT b.source, b.text FROM by_text b LEFT JOIN freq f
     ON b.source IS NOT DISTINCT FROM f.source AND b.norm = f.norm

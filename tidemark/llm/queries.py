@@ -65,13 +65,14 @@ PAGE_DOC = r"^[^?#]*?/([0-9]+)(?:[.]html?)?/?(?:[?#].*)?$"
 def labelled_pages(pages: DataFrame, docs: DataFrame, sample: int = html_text.SAMPLE) -> DataFrame:
     """(html, text) of at most ``sample`` pages whose document is known, chosen by the hash of their id."""
     doc = F.regexp_extract("url", PAGE_DOC, 1).try_cast("bigint")
-    chosen = pages.select("page_id", doc.alias("doc_id")).where("doc_id IS NOT NULL AND page_id IS NOT NULL").orderBy(
-        F.xxhash64("page_id"), "page_id", "doc_id"
-    ).limit(sample)
-    # only the ids are broadcast, a bounded number, and cut both tables down before they meet
-    shown = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id")
-    named = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
-    return shown.join(named, "doc_id").select("html", "text")
+    named = pages.select("page_id", doc.alias("doc_id")).where("doc_id IS NOT NULL AND page_id IS NOT NULL")
+    chosen = named.groupBy("page_id").agg(F.min("doc_id").alias("doc_id")).orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    # only the ids are broadcast, a bounded number, and cut both tables down before they meet; a repeated id counts once
+    shown = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").groupBy("page_id", "doc_id").agg(
+        F.min("html").alias("html")
+    )
+    told = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    return shown.join(told.groupBy("doc_id").agg(F.min("text").alias("text")), "doc_id").select("html", "text")
 
 
 @query("op2_html_text")

@@ -11,7 +11,7 @@ a fixed size and is what the scoring tasks receive. Scoring covers whole texts,
 
 Contract. The inputs of a score are the text and nothing else. A null or empty text has no n-grams and
 the score of the intercept. Labels of a row with several ones count as 1 if any is 1; null labels and
-null ids are no training rows. Every row of ``docs`` gives one row, repeated rows included; empty
+null ids are no training rows, and of an id with several texts the first in their order is one. Every row of ``docs`` gives one row, repeated rows included; empty
 tables give empty results, and without training rows of both kinds all scores are the share of label 1
 (0 without any). Only the named columns are read.
 """
@@ -104,8 +104,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     chosen = named.groupBy("doc").agg(F.max("label").cast("int").alias("label")).orderBy(
         F.xxhash64("doc"), "doc"
     ).limit(sample)
-    texts = own_names(docs, {"doc": key, "text": text})
-    return stage(texts.join(F.broadcast(chosen), "doc"), "labelled")
+    texts = own_names(docs, {"doc": key, "text": text}).join(F.broadcast(chosen), "doc")
+    # one row for each id, however often it is repeated
+    return stage(texts.groupBy("doc", "label").agg(F.min("text").alias("text")), "labelled")
 
 
 def fit(rows: DataFrame, features: int = FEATURES, ridge: float = 1e-3, steps: int = 150) -> Model:
