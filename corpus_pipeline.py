@@ -42,10 +42,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that others hold as well."""
+    """All documents, without the lines that others hold as well; those of which no word is left go."""
     prepare(spark)
     done = line_dedup.line_dedup(docs.select(*COLUMNS))
-    return done.select("doc_id", "text", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
+    whole = done.select("doc_id", "text", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
+    return whole.where(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
