@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, html_text, quality_rules, sharding, toxicity
+from tidemark.llm import ann, html_text, quality_rules, queries, sharding, toxicity
 from tidemark.llm.common import prepare
 
 PAGE = (
@@ -51,6 +51,55 @@ def test_omitted_end_tags():
         assert html_text.main_text(f"<{tag}>some words here that count" * 100_000, model).count("\n") == 99_999
 
 
+STORY = "<h1>Title of it</h1><p>" + "word and word " * 30 + "</p><p>" + "more and more " * 20 + "</p>"
+
+
+@pytest.mark.parametrize("story", [STORY, f"<article>{STORY}</article>"])
+@pytest.mark.parametrize(
+    "around",
+    ["<form id=aspnetForm>{}</form>", "<div class='layout has-sidebar'>{}<aside>x y z</aside></div>", "<div id='search-page'>{}</div>",
+     "<div class='page-header-visible'>{}</div>", "<div class='content-menu-open'>{}</div>", "<div class=widget><div class=banner>{}</div></div>",
+     "<form><header><h1>Site</h1></header><nav>a b c</nav><div class=menu-wrap>{}</div><footer>f g</footer></form>",
+     "<div id=comments-open>{}<div class=comments><p>aa bb cc</p></div></div>",
+     "<div>{}</div><section class=comments><article><p>" + "readers write " * 300 + "</p></article></section>"],
+)
+def test_wrappers_named_as_furniture(around, story):
+    page = f"<html><body><div class=ad>buy it</div>{around.format(story)}<footer>foot words here</footer></body></html>"
+    wanted = "\n".join(["Title of it", " ".join(["word and word"] * 30), " ".join(["more and more"] * 20)])
+    assert html_text.main_text(page, html_text.Model({}, {})) == wanted
+
+
+def test_labelled_pages_overrule_names():
+    page = "<body><div class=widget><p>Some words of the text.</p></div><div class=ad>Buy.</div></body>"
+    assert html_text.main_text(page, html_text.Model({}, {})) == ""
+    assert html_text.main_text(page, html_text.Model({}, {".widget": 0.0})) == "Some words of the text."
+
+
+def test_scan_against_all_runs():
+    rng = random.Random(3)
+    for _ in range(500):
+        scores = [rng.choice([-2, -1, -0.5, 0, 0.5, 1, 3]) for _ in range(rng.randrange(12))]
+        runs = [(sum(scores[a : b + 1]), a, b) for a in range(len(scores)) for b in range(a, len(scores))]
+        most = max([r[0] for r in runs], default=0)
+        got = html_text.best_run(scores)
+        assert (got is None) == (most <= 0)
+        if got:
+            assert sum(scores[got[0] : got[1] + 1]) == most and got[1] == min(b for total, _, b in runs if total == most)
+
+
+def test_whole_page_table(spark):
+    folder = "/root/testdata/sf0.001"
+    got = {r["page_id"]: r for r in queries.QUERIES["op2_html_text"](spark, folder).collect()}
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    told = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert got.keys() == {r["page_id"] for r in pages}
+    known = [(got[r["page_id"]]["text"], told[int(m[1])]) for r in pages if (m := re.match(queries.PAGE_DOC, r["url"])) and int(m[1]) in told]
+    # the heading of a page repeats how its document begins
+    lines = [[" ".join(line.split()) for line in (text or "").split("\n")] for _, text in known]
+    right = sum(found.split("\n")[1:] == [line for line in wanted if line] for (found, _), wanted in zip(known, lines))
+    assert known and right >= 0.95 * len(known), (right, len(known))
+
+
 def test_weights_from_labelled_pages(spark):
     pages = [(k, PAGE.format(f"<div class=story><p>Words of page {k} that are the text.</p><p>And a second line here.</p></div>"),
               f"Words of page {k} that are the text.\nAnd a second line here.") for k in range(20)]

@@ -6,6 +6,11 @@ under elements (by name, or by words of their class, id or role) that hold mostl
 score. One linear scan finds the contiguous run with the largest sum. Its blocks, and those of an article
 it begins or ends in, are the main text, without what lies in menus, forms, adverts and the like there.
 
+An element is furniture by its name or a word of its class, id or role, unless labelled pages show main text
+under that name, or the element wraps the page: it holds a heading, article, menu, header or footer, and at
+least twice as many words of its own as lie around it. Comments wrap a page only around its first heading or
+``main``. Class names that tell a state (``has-sidebar``, ``menu-open``) stand for themselves.
+
 Contract. A null or empty page, or one without words, has an empty text. Character references are
 decoded, white space inside a block is one space, blocks are trimmed and joined by one line end, empty
 blocks left out. Paragraphs, list items, table parts and options whose end tag is left out end where the next
@@ -45,6 +50,11 @@ FURNITURE_WORDS = set(
     "newsletter subscribe signup share sharing social related recommended footer header masthead widget pagination "
     "pager login search toolbar contentinfo complementary".split()
 )
+#: Of these, the words for what readers write, prose as the main text is; and words of names that tell a state of a page.
+READERS_WORDS = set("comment comments disqus respond reply replies".split())
+STATE_WORDS = set("has no not is with without open opened closed visible hidden active enabled disabled page layout wrap wrapper".split())
+#: What an element holds that wraps a whole page.
+LANDMARKS = set("main article h1 nav header footer".split())
 #: Elements whose end tag may be left out, in kinds; the kinds that an opening tag ends; and those that it hides from what is inside.
 _KINDS = {"p": 0, "li": 1, "dt": 2, "dd": 2, "option": 3, "optgroup": 4, "td": 5, "th": 5, "tr": 6, "thead": 7, "tbody": 7, "tfoot": 7}
 _CLOSERS = {name: (0,) for name in BLOCKS - set("html head body button caption legend option optgroup select summary tbody td tfoot th thead tr".split())}
@@ -59,9 +69,9 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
+#: Words of labelled pages that the weight of a name needs; and words outside the main text that a furniture name starts from.
+EVIDENCE = 20
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
-#: Most different keys that a model holds.
-MOST_KEYS = 5_000
 #: Labelled pages that the weights come from, at most.
 SAMPLE = 2_000
 
@@ -69,10 +79,11 @@ SAMPLE = 2_000
 class Around:
     """The keys of an open element, linked to those around it, with what has been found out about the chain."""
 
-    __slots__ = ("own", "outer", "names", "model", "weight")
+    __slots__ = ("own", "outer", "names", "model", "weight", "mark")
 
-    def __init__(self, own: tuple[str, ...], outer: Around | None):
+    def __init__(self, own: tuple[str, ...], outer: Around | None, mark: Mark | None = None):
         self.own, self.outer = own, outer
+        self.mark = mark  # set where this element is named as furniture
         self.names: frozenset[str] | None = None
         self.model, self.weight = None, 0.0
 
@@ -93,13 +104,56 @@ class Around:
     def least(self, model: Model) -> float:
         """The smallest weight of all keys."""
         for node in self._open(lambda n: n.model is model):
-            weights = [model.keys.get(k, _prior(k)) for k in node.own]
+            wraps = node.mark is not None and not node.mark.named
+            weights = [model.keys.get(k, _prior(k)) for k in node.own if not (wraps and _prior(k))]
             if node.outer and (node.outer.own or node.outer.outer):
                 weights.append(node.outer.weight)
             node.model, node.weight = model, min(weights, default=0.0)
         return self.weight
 
 
+class Mark:
+    """An element named as furniture, linked to the one around it."""
+
+    __slots__ = ("keys", "outer", "words", "holds", "around", "named", "cut")
+
+    def __init__(self, keys: list[str], outer: Mark | None):
+        self.keys, self.outer = keys, outer
+        self.words = self.around = 0  # words in no mark further in; and those in the marks around and in none
+        self.holds: set[str] = set()
+        self.named = self.cut = True  # furniture itself; it or one around it
+
+    def wraps(self) -> bool:
+        """Whether it stands around a page rather than beside its main text."""
+        signs = {"main", "h1"} if any(k[1:] in READERS_WORDS for k in self.keys) else LANDMARKS
+        return not signs.isdisjoint(self.holds) and self.words >= max(1, 2 * self.around)
+
+
+def _judge(found: list[Token], model: Model) -> None:
+    """Decide for every mark of a page whether it is furniture."""
+    marks: dict[Mark, None] = {}  # outer ones first
+    free = 0
+    for token in found:
+        if token.inside is not None:
+            marks[token.inside] = None
+        if token.text is not None:
+            size = len(token.text.split())
+            if token.inside is None:
+                free += size
+            else:
+                token.inside.words += size
+    for mark in marks:
+        mark.around = free if mark.outer is None else mark.outer.around + mark.outer.words
+    for mark in reversed(marks):
+        mark.named = not mark.wraps() and any(model.keys.get(k, _prior(k)) <= -1 for k in mark.keys)
+        if mark.outer is not None:
+            mark.outer.holds |= mark.holds
+            if not mark.named:
+                mark.outer.words += mark.words
+    for mark in marks:
+        mark.cut = mark.named or mark.outer is not None and mark.outer.cut
+
+
 @dataclasses.dataclass(slots=True)
 class Token:
     """A tag (``text`` is None) or a run of text, with the keys of the elements open around it."""
@@ -107,22 +161,26 @@ class Token:
     name: str
     text: str | None
     keys: Around
-    inside: bool  # furniture around it
+    inside: Mark | None  # the innermost element around it that is named as furniture
     root: int = 0  # number of the article or main element around it, 0 for none
 
 
 def _element_keys(name: str, attributes: str) -> tuple[str, ...]:
     if name in ROOTS or not attributes:
         return (name,)
-    words = {w for value in _NAMES.findall(attributes) for w in _WORD.findall(value.lower())}
+    words = set()
+    for value in _NAMES.findall(attributes):
+        for given in value.strip("\"'").lower().split():
+            parts = _WORD.findall(given)
+            words.update(parts if STATE_WORDS.isdisjoint(parts) else (given,))
     return (name, *sorted("." + w for w in words))
 
 
 def tokens(page: str | None) -> Iterator[Token]:
     """Tags and texts of a page in order; unseen parts (head, scripts, comments) are left out."""
     page = page or ""
-    # open elements: name, keys of it and all around it, furniture or not, number of the article around it
-    stack: list[tuple[str, Around, bool, int]] = [("", Around((), None), False, 0)]
+    # open elements: name, keys of it and all around it, innermost furniture name, number of the article around it
+    stack: list[tuple[str, Around, Mark | None, int]] = [("", Around((), None), None, 0)]
     # for each of them the depths of the elements in reach that may end unclosed, by kind; and open elements by name
     reach: list[tuple[int, ...]] = [(0,) * 8]
     named: Counter = Counter()
@@ -170,19 +228,24 @@ def tokens(page: str | None) -> Iterator[Token]:
             at = ended.end() if ended else end
             continue
         keys = _element_keys(name, attributes)
-        own = name in FURNITURE or any(k[1:] in FURNITURE_WORDS for k in keys[1:])
+        own = [k for k in keys if _prior(k)]
         if name in _CLOSERS and (depth := min((d for k in _CLOSERS[name] if (d := reach[-1][k])), default=0)):
             close_from(depth)
         if name == "header" and stack[-1][3]:
-            own = False  # an article's own heading
+            own = []  # an article's own heading
         if name == "body" and stack[-1][0] == "head":
             close_from(len(stack) - 1)
         root = stack[-1][3]
         if name in ("article", "main"):
             roots += 1
             root = roots
-        around = Around(keys, stack[-1][1])
-        yield Token(name, None, around, stack[-1][2] or own, root)
+        mark = outer = stack[-1][2]
+        if outer is not None and name in LANDMARKS:
+            outer.holds.add(name)
+        if own:
+            mark = Mark(own, outer)
+        around = Around(keys, stack[-1][1], mark if own else None)
+        yield Token(name, None, around, mark, root)
         if name not in VOID:
             if name in _KINDS or name in _HIDES:
                 depths = list(reach[-1])
@@ -193,7 +256,7 @@ def tokens(page: str | None) -> Iterator[Token]:
                 reach.append(tuple(depths))
             else:
                 reach.append(reach[-1])
-            stack.append((name, around, stack[-1][2] or own, root))
+            stack.append((name, around, mark, root))
             named[name] += 1
 
 
@@ -213,7 +276,7 @@ class Model:
 
 
 def _prior(key: str) -> float:
-    return -2.0 if key in FURNITURE or key[1:] in FURNITURE_WORDS and key[0] == "." else 0.0
+    return -2.0 if key in FURNITURE or key[0] == "." and key[1:] in FURNITURE_WORDS else 0.0
 
 
 def _outside(name: str, main: int, other: int) -> float:
@@ -295,8 +358,8 @@ def fit(labelled: DataFrame) -> Model:
         F.sum(F.when(F.col("place") == 0, F.col("n")).otherwise(0)).alias("main"),
         F.sum(F.when(F.col("place") == 1, F.col("n")).otherwise(0)).alias("other"),
     )
-    # at most MOST_KEYS rows
-    rows = sums.orderBy(F.desc(F.col("main") + F.col("other")), "kind", "key").limit(MOST_KEYS).collect()
+    # names with evidence on a bounded number of pages
+    rows = sums.where((F.col("kind") == "tag") | (F.col("main") + F.col("other") >= EVIDENCE)).orderBy("kind", "key").collect()
     total = next(((r["main"], r["other"]) for r in rows if r["kind"] == "word" and r["key"] == ""), (0, 0))
     usual = math.log((total[0] + 1) / (total[1] + 1))
     keys, tags = {}, {}
@@ -304,39 +367,49 @@ def fit(labelled: DataFrame) -> Model:
         name, main, other = r["key"], r["main"], r["other"]
         if r["kind"] == "tag":
             tags[name] = -2 * _outside(name, main, other)
-        elif name and name not in ROOTS and name != "div" and main + other >= 20:
+        elif name and name not in ROOTS and name != "div":
             # how much rarer main text is under this key than on the whole; a plain container says nothing
-            keys[name] = min(_prior(name), math.log((main + 1) / (other + 1)) - usual, 0.0)
+            doubt = EVIDENCE if _prior(name) else 0
+            keys[name] = min(math.log((main + 1) / (other + doubt + 1)) - usual, 0.0)
     return Model(tags, keys)
 
 
+def best_run(scores: list[float]) -> tuple[int, int] | None:
+    """First and last place of the first contiguous run with the largest sum above 0, by one scan."""
+    best, found, total, start = 0.0, None, 0.0, 0
+    for place, score in enumerate(scores):
+        if total <= 0:
+            total, start = 0.0, place
+        total += score
+        if total > best:
+            best, found = total, (start, place)
+    return found
+
+
 def main_text(page: str | None, model: Model) -> str:
     """The main text of one page."""
+    page_tokens = list(tokens(page))
+    _judge(page_tokens, model)
     found: list[tuple[Token, int]] = []  # tokens with the number of their block
-    best, best_run, total, start = 0.0, None, 0.0, 0
+    scores: list[float] = []
     block = 0
-    for place, token in enumerate(tokens(page)):
+    for token in page_tokens:
         if token.text is None:
             block += token.name in BLOCKS
-            score = model.tag(token)
+            scores.append(model.tag(token))
         else:
-            score = model.word(token) * len(token.text.split())
+            scores.append(model.word(token) * len(token.text.split()))
         found.append((token, block))
-        # the scan for the maximum-scoring run
-        if total <= 0:
-            total, start = 0.0, place
-        total += score
-        if total > best:
-            best, best_run = total, (start, place)
-    if best_run is None:
+    run = best_run(scores)
+    if run is None:
         return ""
-    (head, first), (tail, last) = (found[place] for place in best_run)
+    (head, first), (tail, last) = (found[place] for place in run)
     # a run that begins or ends in an article takes the whole of it, also beyond furniture between its blocks
     first = min([first, *(number for token, number in found if token.root and token.root == head.root)])
     last = max([last, *(number for token, number in found if token.root and token.root == tail.root)])
     texts: dict[int, list[str]] = {}
     for token, number in found:
-        if first <= number <= last and not token.inside:
+        if first <= number <= last and not (token.inside is not None and token.inside.cut):
             if token.text is not None or token.name == "br":
                 texts.setdefault(number, []).append(_decoded(token))
     return "\n".join(text for number in sorted(texts) if (text := _plain(texts[number])))
