@@ -1,4 +1,6 @@
 import datetime
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +59,40 @@ def test_overlap_join_is_the_same_for_every_size(spark, rows, monkeypatch, small
     assert sorted((tuple(r) for r in got.select("r.request_id", "l.delta_start").collect()), key=str) == expected
 
 
+def test_dyadic_pieces_make_up_the_window(spark):
+    rng = random.Random(5)
+    windows = [(first, first + rng.choice([0, 1, 2, 5, 100, 3650]) + rng.randrange(4)) for first in (rng.randrange(-9000, 30000) for _ in range(200))]
+    df = spark.createDataFrame(windows, "first int, last int")
+    cut = [F.when(made, F.struct(F.lit(level).alias("level"), place.alias("place")))
+           for made, level, place in changes.dyadic_pieces(F.col("first"), F.col("last"), 12)]
+    for first, last, pieces in df.select("first", "last", F.array_compact(F.array(*cut))).collect():
+        days = sorted(d for p in pieces for d in range(p["place"] << p["level"], (p["place"] + 1) << p["level"]))
+        assert days == list(range(first, last + 1))
+        assert len(pieces) <= max(1, 2 * math.log2(last - first + 1))
+
+
+@pytest.mark.parametrize("longest", [1, 40, 5000])
+def test_overlap_join_against_all_pairs(spark, rows, longest):
+    rng = random.Random(longest)
+
+    def window():
+        start = datetime.datetime(1965, 1, 1) + datetime.timedelta(days=rng.randrange(6000), hours=rng.randrange(24))
+        return start, start + datetime.timedelta(days=rng.choice([0, 1, longest]) * rng.random(), hours=rng.randrange(-2, 30))
+
+    log = [(rng.choice("ab"), str(k), *window(), [str(k)]) for k in range(120)] + [("a", "none", None, None, [])]
+    asked = [(k, rng.choice("abc"), *window()) for k in range(80)] + [(99, "a", None, None), (98, None, *window())]
+    log += [(a[1], f"same {a[0]}", a[2], a[3], []) for a in asked[:20]]
+    got = changes.overlapping(spark.createDataFrame(log, LOG), spark.createDataFrame(asked, ASK))
+    found = sorted((r[0], r[1]) for r in got.select("r.request_id", "l.status").collect())
+    assert found == sorted(
+        (a[0], entry[1]) for a in asked for entry in log
+        if a[1] == entry[0] and None not in (a[2], entry[2]) and entry[2] < a[3] and entry[3] > a[2]
+    )
+    spread = changes._spread(changes._days(spark.createDataFrame(asked[:80], ASK), "start", "end"), 12, 3, True)
+    most = spread.groupBy("request_id").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * math.log2(5002) + 4
+
+
 def test_changes_of_an_empty_window(spark):
     feed = spark.createDataFrame(
         [("a", "INSERT", at(1), "p")],

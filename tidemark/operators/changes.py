@@ -241,27 +241,65 @@ def pool_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("tables"))
 
 
-def _by_day(df: DataFrame, start: str, end: str) -> DataFrame:
-    """One row per calendar day a window touches."""
+def _days(df: DataFrame, start: str, end: str) -> DataFrame:
+    """The first and last calendar day a window touches."""
     first, last = (F.unix_date(F.col(c).cast("date")) for c in (start, end))
-    return df.withColumn("first_day", first).withColumn(
-        "day", F.explode(F.sequence(first, F.greatest(first, last)))
-    )
+    return df.withColumn("first_day", first).withColumn("last_day", F.greatest(first, last))
+
+
+def dyadic_pieces(first: Column, last: Column, top: int) -> list[tuple[Column, int, Column]]:
+    """The fewest aligned stretches of 2^level days that make up ``first`` to ``last``, none longer than 2^``top``.
+
+    Each is (whether it is one of them, level, place) and begins on day ``place * 2^level``. A window of n days, at
+    most 2^(top+1) - 1, has at most ``2 * log2(n)`` of them, and one if n is 1.
+    """
+    odd = lambda c: c.bitwiseAND(1)
+    pieces = []
+    for level in range(top + 1):
+        low, high = F.negative(F.shiftright(F.negative(first), level)), F.shiftright(last + 1, level)
+        pieces.append(((odd(low) == 1) & (low < high), level, low))
+        pieces.append(((odd(high) == 1) & (low + odd(low) < high), level, high - 1))
+    return pieces
+
+
+def _spread(df: DataFrame, own_top: int, other_top: int, of_requests: bool) -> DataFrame:
+    """A row for each piece of a window, to meet first days, and for each stretch around its first day, to meet pieces.
+
+    ``meet`` numbers the stretch, and is odd where the first day is the request's.
+    """
+
+    def number(place: Column, level: int, request_begins: bool) -> Column:
+        return place.cast("bigint") * 64 + (2 * level + request_begins)
+
+    first, last = F.col("first_day"), F.col("last_day")
+    own = [F.when(made, number(place, level, not of_requests)) for made, level, place in dyadic_pieces(first, last, own_top)]
+    around = [number(F.shiftright(first, level), level, of_requests) for level in range(other_top + 1)]
+    return df.withColumn("meet", F.explode(F.array(*own, *around))).where("meet IS NOT NULL")
 
 
 def overlapping(log: DataFrame, requests: DataFrame) -> DataFrame:
     """Every pair of a request and a log row of the same table whose windows overlap.
 
-    Both sides are spread over the days their windows touch and joined on table and day,
-    so only rows of a common day meet and a busy table is split over many tasks; a pair
-    counts on its first common day. A small request side is broadcast.
+    Of two windows with a common day, one begins within the other. Each is split into aligned stretches of
+    2^k days, at most two of a length, and the first day of each lies in one stretch of every length: a
+    window of n days has ``2 * log2(n)`` rows, and as many as the other side has lengths, whatever it spans.
+    Both sides are joined on table and stretch, so a busy table is split over many tasks, and a pair meets
+    in one stretch only; of windows that begin on one day the request counts as the later. One small job finds
+    the longest windows, and a small request side is broadcast.
     """
-    asked = broadcast_if_small(_by_day(requests, "start", "end"))
-    return asked.alias("r").join(
-        _by_day(log, "delta_start", "delta_end").alias("l"),
+    asked, told = _days(requests, "start", "end"), _days(log, "delta_start", "delta_end")
+    longest = F.max(F.col("last_day") - F.col("first_day") + 1).alias("days")
+    sides = asked.select("first_day", "last_day", F.lit(0).alias("side")).unionByName(
+        told.select("first_day", "last_day", F.lit(1).alias("side"))
+    )
+    days = {r["side"]: r["days"] or 1 for r in sides.groupBy("side").agg(longest).collect()}
+    top = [days.get(side, 1).bit_length() - 1 for side in (0, 1)]
+    left = broadcast_if_small(_spread(asked, top[0], top[1], True))
+    return left.alias("r").join(
+        _spread(told, top[1], top[0], False).alias("l"),
         (F.col("r.full_table_name") == F.col("l.full_table_name"))
-        & (F.col("r.day") == F.col("l.day"))
-        & (F.col("r.day") == F.greatest("r.first_day", "l.first_day"))
+        & (F.col("r.meet") == F.col("l.meet"))
+        & ((F.col("r.meet").bitwiseAND(1) == 1) | (F.col("l.first_day") > F.col("r.first_day")))
         & (F.col("l.delta_start") < F.col("r.end"))
         & (F.col("l.delta_end") > F.col("r.start")),
     )
