@@ -15,6 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     larger neighbours, then to its smaller ones. Edges are grouped with partial aggregates and joined
     with one row a node, so a hub with many links is split by a skewed join. Ends when the edges form
     stars; the number of rounds grows with the logarithm of the longest path.
+
+    Links with a null end, or from a node to itself, are left out, as are nodes that have no others. Repeated
+    links count once, other columns are not read, and an empty table gives an empty result.
     """
     edges = stage(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "links"
