@@ -95,6 +95,40 @@ def test_large_groups_in_blocks(docs, monkeypatch, large, block):
     assert {r["doc_id"]: r["component_id"] for r in found} == expected
 
 
+@pytest.mark.parametrize("crowd, block", [(2, 512), (2, 3), (64, 512)])
+def test_crowded_buckets_lose_no_link(docs, monkeypatch, crowd, block):
+    """Texts of one template: most are apart, some near to each other, none near to all."""
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rnd = random.Random(5)
+    base = [f"t{k}" for k in range(150)]
+    data = []
+    for k in range(120):
+        own = [f"u{k}x{j}" for j in range(rnd.choice([12, 20, 30, 45]))]
+        data.append(base + own)
+        if rnd.random() < 0.3:  # a sibling with most of the same words of its own
+            data.append(base + own[: len(own) - rnd.randint(0, 6)] + ["other"])
+    data = [(k, " ".join(words)) for k, words in enumerate(data)] + [(7001, None), (7002, ""), (3, " ".join(base))]
+    expected = plain_groups(data, 4)
+    assert len(set(expected.values())) > 3
+    found = near_dedup.near_duplicates(docs(data), size=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == expected
+
+
+def test_candidates_of_a_template_grow_in_proportion(spark, docs):
+    counts = []
+    for many in (200, 400, 800):
+        base = " ".join(f"t{k}" for k in range(150))
+        plain = docs([(k, base + " " + " ".join(f"u{k}x{j}" for j in range(40))) for k in range(many)])
+        texts = plain.selectExpr("doc_id AS doc", "text")
+        pairs, grouped = near_dedup._crowded_pairs(
+            texts.selectExpr("doc", "doc AS component"), texts, 4, near_dedup.Fraction("0.8")
+        )
+        counts.append(pairs.distinct().count())
+        assert grouped.count() == 0
+    assert counts[2] <= 2.5 * max(counts[1], 400) and counts[2] <= 8 * 800
+
+
 def test_intersections():
     rnd = np.random.default_rng(1)
     sets = [np.unique(rnd.integers(0, 300, 80, dtype=np.uint64)) for _ in range(9)]

@@ -7,7 +7,9 @@
    is compared with one pivot, the member of its buckets that meets most others over all bands, and
    the links so found are merged into components. Only buckets whose members are still apart are looked
    at again. If one of their components is large, the members outside it are compared with it and with
-   each other in blocks, inside tasks that hand on links and no pairs; else the few pairs are listed.
+   each other in blocks, inside tasks that hand on links and no pairs. Of the others, buckets of up to
+   ``CROWD`` members list their pairs; members of larger ones (texts of one template) are candidates only
+   if they also share one of their rarest shingles, which every pair at the threshold does.
 4. Candidates are compared a batch of minima at a time. After each batch the posterior probability
    (uniform prior) that the similarity reaches the threshold is bounded; pairs below the chosen miss
    probability are pruned, survivors are verified on their full sets.
@@ -42,6 +44,10 @@ STEP = 32
 MISS = 1e-6
 #: Components of more classes than this are compared in blocks, of about so many classes.
 LARGE, BLOCK = 50, 512
+#: Buckets of more members than this list only pairs that share a rare shingle.
+CROWD = 64
+#: Counters that tell rare shingles from frequent ones.
+COUNTERS = 1 << 18
 
 
 class _WordHashes(dict):
@@ -216,8 +222,69 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return found
 
 
-def _block_links(outside, groups, docs, sigs, size: int, threshold: Fraction, count: int, miss: float) -> DataFrame:
-    """Links (a, b) of the members in ``outside`` (doc, large) with their large component and each other.
+def _rare_prefixes(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
+    """(doc, n, shingle, indexed) for the rarest shingles of every text (doc, text).
+
+    All sets are ordered by one rule, rarest first. Two sets at the threshold share one of the first
+    ``n - ceil(t * n) + 1`` shingles of the larger set, which is also among the first
+    ``n - ceil(2t / (1 + t) * n) + 1`` of the smaller one; those are marked ``indexed``. How frequent a shingle
+    is tells a fixed number of counters, so that the order fits into every task; a shared counter costs time only.
+    """
+    kind = texts.schema["doc"].dataType.simpleString()
+    up, down = threshold.numerator, threshold.denominator
+
+    def hashes(batch):
+        sets = [shingles(t, size).view(np.int64) for t in batch.column(1).to_pylist()]
+        return [lists(sets, "int64")]
+
+    slots = map_rows(texts, hashes, "sets array<bigint>").select(F.explode("sets").alias("s"))
+    counted = slots.groupBy(F.pmod("s", F.lit(COUNTERS)).cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("uses")).toArrow()
+    uses = np.zeros(COUNTERS, np.uint32)
+    uses[counted["slot"].to_numpy()] = np.minimum(counted["uses"].to_numpy(), np.iinfo(np.uint32).max)
+
+    def rarest(batch):
+        docs, n, found, marks = [], [], [], []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            values = shingles(text, size)
+            count = len(values)
+            if not count:
+                continue
+            probe = count + up * count // -down + 1
+            index = count + 2 * up * count // -(up + down) + 1
+            order = np.lexsort((values, uses[values.view(np.int64) % COUNTERS]))[:probe]
+            docs.append(doc)
+            n.append(count)
+            found.append(values[order].view(np.int64))
+            marks.append(index)
+        return [pa.array(docs, type=batch.schema.field(0).type), n, lists(found, "int64"), marks]
+
+    rows = map_rows(texts, rarest, f"doc {kind}, n bigint, found array<bigint>, index int")
+    each = rows.select("doc", "n", "index", F.posexplode("found").alias("place", "shingle"))
+    return each.select("doc", "n", "shingle", (F.col("place") < F.col("index")).alias("indexed"))
+
+
+def _crowded_pairs(crowd: DataFrame, docs: DataFrame, size: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of the classes in ``crowd`` (doc, component), and groups (doc, large) for blocks.
+
+    A pair shares a rare shingle and lies in two components. Shingles that more than ``BLOCK`` sets have
+    indexed are handed back as groups, so the pairs grow in proportion to the listed shingles.
+    """
+    texts = docs.join(crowd.select("doc").distinct(), "doc", "left_semi").distinct()
+    prefixes = stage(_rare_prefixes(texts, size, threshold).join(crowd, "doc"), "prefixes")
+    held = prefixes.where("indexed").groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+    heavy = held.where(F.col("sets") > BLOCK)
+    light = prefixes.join(heavy, "shingle", "left_anti")
+    a = light.select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+    b = light.where("indexed").select("shingle", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    pairs = a.join(b, "shingle").where((F.col("n_b") <= F.col("n_a")) & (F.col("c_a") != F.col("c_b")) & _near("n_a", "n_b", threshold))
+    grouped = prefixes.join(heavy, "shingle", "left_semi").select("doc", F.col("shingle").alias("large")).distinct()
+    return pairs.select("a", "b"), grouped
+
+
+def _block_links(outside, member, docs, sigs, size: int, threshold: Fraction, count: int, miss: float) -> DataFrame:
+    """Links (a, b) of the members in ``outside`` (doc, large) with those in ``member`` and each other.
+
+    ``member`` holds the classes of each large component, joined already; it is None for groups without one.
 
     Both sides are dealt into blocks of about ``BLOCK`` documents by a hash, and every pair of blocks is
     one group of bounded size. Pairs go through the same steps as elsewhere, in place. A group hands on
@@ -226,8 +293,9 @@ def _block_links(outside, groups, docs, sigs, size: int, threshold: Fraction, co
     kind = docs.schema["doc"].dataType
     least = fewest_matches(float(threshold), count, miss)
     asked = outside.groupBy("large").agg(F.count(F.lit(1)).alias("asks"))
-    member = groups.join(asked, groups["component"] == asked["large"]).select(F.col("node").alias("doc"), "large")
-    every = member.withColumn("inside", F.lit(True)).unionByName(outside.withColumn("inside", F.lit(False)))
+    every = outside.withColumn("inside", F.lit(False))
+    if member is not None:
+        every = member.withColumn("inside", F.lit(True)).unionByName(every)
     sizes = every.groupBy("large").agg(F.count(F.lit(1)).alias("members")).join(asked, "large").select(
         "large",
         F.ceil(F.col("members") / BLOCK).cast("int").alias("columns"),
@@ -336,12 +404,27 @@ def near_duplicates(
         .where("coalesce(x.nodes, 1) < c.nodes OR (x.nodes = c.nodes AND x.component < c.component)")
         .select(F.col("x.doc").alias("doc"), F.col("c.component").alias("large")).distinct()
     )
-    blocked = stage(_block_links(stage(outside, "outside"), groups, plain, sigs, size, exact, rows * bands, miss), "blocks")
-    few = rest.join(with_large, "bucket", "left_anti")
+    outside = stage(outside, "outside")
+    wanted = outside.select("large").distinct()
+    member = groups.join(wanted, groups["component"] == wanted["large"]).select(F.col("node").alias("doc"), "large")
+
+    def blocks(group: DataFrame, joined: DataFrame | None) -> DataFrame:
+        return stage(_block_links(group, joined, plain, sigs, size, exact, rows * bands, miss), "blocks")
+
+    more = blocks(outside, member)
+    without = rest.join(with_large, "bucket", "left_anti")
+    crowds = without.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > CROWD)
+    few = without.join(crowds, "bucket", "left_anti")
     left = few.select("bucket", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
     right = few.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
     pairs = left.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _near("n_a", "n_b", exact))
-    groups = components(links.unionByName(links_of(pairs.select("a", "b"))).unionByName(blocked))
+    pairs = pairs.select("a", "b")
+    crowd = stage(without.join(crowds, "bucket", "left_semi").select("doc", "component").distinct(), "crowd")
+    if not crowd.isEmpty():
+        rare, grouped = _crowded_pairs(crowd, plain, size, exact)
+        pairs = pairs.unionByName(rare)
+        more = more.unionByName(blocks(stage(grouped, "grouped"), None))
+    groups = components(links.unionByName(links_of(pairs)).unionByName(more))
     # back from classes to documents
     named = classes.join(groups, classes["rep"] == groups["node"], "left").select(
         F.col("digest").alias("class"), F.coalesce("component", "rep").alias("of_class")
