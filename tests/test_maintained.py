@@ -1,0 +1,110 @@
+"""Maintained views against a full computation after random inserts, updates and deletes."""
+
+import datetime
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.errors import ConfigError
+from tidemark.operators.aggregates import Measure, change_images
+from tidemark.operators.buckets import KeyBuckets
+from tidemark.plans.maintained import MaintainedView
+from tidemark.sources import tables
+
+COLUMNS = "id bigint, g string, h int, i int, d decimal(9,2), x double"
+MEASURES = {
+    "n": Measure("count"), "n_i": Measure("count", "i"), "sum_i": Measure("sum", "i"), "avg_i": Measure("avg", "i"),
+    "sum_d": Measure("sum", "d"), "avg_d": Measure("avg", "d"), "sum_x": Measure("sum", "x"),
+    "min_i": Measure("min", "i"), "max_d": Measure("max", "d"), "min_g": Measure("min", "g"),
+}
+DAY = datetime.timedelta(days=1)
+START = datetime.datetime(2024, 1, 1)
+
+
+def expected(df):
+    return df.groupBy("g", "h").agg(
+        F.count(F.lit(1)).alias("n"), F.count("i").alias("n_i"), F.sum("i").alias("sum_i"), F.avg("i").alias("avg_i"),
+        F.sum("d").alias("sum_d"), F.avg("d").alias("avg_d"), F.sum("x").alias("sum_x"),
+        F.min("i").alias("min_i"), F.max("d").alias("max_d"), F.min("g").alias("min_g"),
+    )
+
+
+def one(rnd, key):
+    pick = lambda v: None if rnd.random() < 0.15 else v
+    return (
+        key, pick(rnd.choice("abcd")), pick(rnd.randrange(3)), pick(rnd.randrange(9)),
+        pick(Decimal(rnd.randrange(1000)) / 100), pick(rnd.randrange(64) / 4),
+    )
+
+
+@pytest.mark.parametrize("layout", [None, KeyBuckets(("g",), 4)])
+def test_equal_to_a_full_computation(spark, rows, layout):
+    rnd = random.Random(11)
+    source, name = f"t.maintained_source_{layout is None}".lower(), f"t.maintained_{layout is None}".lower()
+    now = {k: one(rnd, k) for k in range(60)}
+    frame = lambda: spark.createDataFrame(list(now.values()), COLUMNS)
+    tables.create_table_as(frame(), source, buckets=layout)
+    view = MaintainedView(name, source, ["g", "h"], MEASURES, buckets=4)
+    view.create(spark, START)
+    assert view.read(spark).schema.simpleString() == expected(tables.read_table(spark, source)).schema.simpleString()
+    for step in range(3):
+        before = frame()
+        for k in rnd.sample(sorted(now), 12):
+            if rnd.random() < 0.5:
+                del now[k]
+            else:
+                now[k] = one(rnd, k)
+        if step == 1:  # whole groups go
+            now = {k: r for k, r in now.items() if r[1] != "a"}
+        now |= {k: one(rnd, k) for k in range(100 * (step + 1), 100 * (step + 1) + 8)}
+        feed = change_images(before, frame(), "id").withColumn("_change_timestamp", F.lit(START + step * DAY))
+        tables.create_table_as(frame(), source, buckets=layout)
+        assert view.refresh(spark, feed, START + (step + 1) * DAY)
+        truth = rows(expected(frame()))
+        assert rows(view.read(spark)) == truth
+        # a run that failed before it noted how far it got is run again
+        view._reached(spark, START + step * DAY)
+        assert view.refresh(spark, feed, START + (step + 1) * DAY)
+        assert rows(view.read(spark)) == truth
+
+
+def test_other_buckets_and_the_source_are_left_alone(spark, rows, monkeypatch):
+    data = [(k, f"g{k % 40}", 0, k % 7, None, None) for k in range(400)]
+    tables.create_table_as(spark.createDataFrame(data, COLUMNS), "t.left_source")
+    view = MaintainedView("t.left_view", "t.left_source", ["g"], {"n": Measure("count"), "least": Measure("min", "i"), "s": Measure("sum", "i")}, 8)
+    view.create(spark, START)
+    files = lambda: {r[0] for r in spark.table("t.left_view").select(F.input_file_name()).distinct().collect()}
+    before = files()
+    again = []
+    monkeypatch.setattr(MaintainedView, "_again", lambda self, spark, stale: again.append(1))
+    change = lambda kind, i: [(9000, "g1", 0, i, None, None, kind, START)]
+    full = COLUMNS + ", _change_type string, _change_timestamp timestamp"
+    # an added value, then a removed one above the least, need no row of the source
+    assert view.refresh(spark, spark.createDataFrame(change("INSERT", 5), full), START + DAY)
+    spark.catalog.refreshTable("t.left_view")
+    assert len(before - files()) == 1 and not again
+    later = spark.createDataFrame(change("DELETE", 5), full).withColumn("_change_timestamp", F.lit(START + DAY))
+    assert view.refresh(spark, later, START + 2 * DAY)
+    assert not again
+    assert not view.refresh(spark, later, START + 3 * DAY)
+    plain = spark.createDataFrame(data, COLUMNS).groupBy("g").agg(F.count("*"), F.min("i"), F.sum("i"))
+    assert rows(view.read(spark)) == rows(plain)
+
+
+def test_refusals(spark):
+    tables.create_table_as(spark.createDataFrame([(1, "a", 0, 1, None, None)], COLUMNS), "t.refuse_source")
+    view = MaintainedView("t.refuse_view", "t.refuse_source", ["g"], {"n": Measure("count")})
+    view.create(spark, START)
+    full = COLUMNS + ", _change_type string, _change_timestamp timestamp"
+    row = lambda kind: spark.createDataFrame([(1, "b", 0, 1, None, None, kind, START)], full)
+    with pytest.raises(ConfigError):
+        view.refresh(spark, row("INSERT"), START - DAY)
+    for kind, message in (("UPDATE", "no change type"), ("DELETE", "does not hold")):
+        with pytest.raises(Exception, match=message):
+            view.refresh(spark, row(kind), START + DAY)
+    with pytest.raises(ConfigError):
+        Measure("median", "i")
+    with pytest.raises(ConfigError):
+        Measure("sum")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import ledger
+from tidemark.operators.aggregates import Measure, change_images
+from tidemark.operators.buckets import KeyBuckets
 from tidemark.operators.changes import changed_partitions, snapshot_diff
 from tidemark.operators.catalog import catalog_report
 from tidemark.operators.fanout import fan_out
@@ -22,6 +24,7 @@ from tidemark.plans.incremental import (
     overwrite_table,
     recompute_dirty,
 )
+from tidemark.plans.maintained import MaintainedView
 from tidemark.plans.pooling import Ledger, ensure_affected, pool_ledger
 from tidemark.plans.snapshots import snapshot_table
 from tidemark.queries.overwrite_queries import COLUMNS, DAY, LISTED, LISTED_DAYS, RELOADED, SHIFT, peak_days, reloaded
@@ -606,3 +609,34 @@ def catalog_tables(t):
         F.regexp_extract("table_name", "^listed_([a-z]+)_", 1).alias("table_name"), "row_count", "partition_column"
     )
     return report.distinct()
+
+
+MAINTAINED = """
+SELECT o_custkey, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT) + CASE WHEN o_orderkey % 10 = 5
+THEN 7 ELSE 0 END) AS BIGINT) AS cents, min(o_orderdate) AS first, max(o_totalprice) AS most
+FROM orders WHERE o_orderkey % 10 <> 4 GROUP BY o_custkey
+"""
+
+
+@query("mv_maintained", MAINTAINED)
+def mv_maintained(t):
+    """The view was computed when some orders were missing; the feed adds, changes and removes orders."""
+    name, source = table(t, "mv_maintained"), table(t, "mv_source")
+    orders = t.orders.select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    )
+    digit = F.col("o_orderkey") % 10
+    before = orders.where(digit != 3)
+    after = orders.where(digit != 4).withColumn("cents", F.col("cents") + F.when(digit == 5, 7).otherwise(0))
+    start = datetime.datetime(2024, 1, 1)
+    measures = {
+        "n": Measure("count"), "cents": Measure("sum", "cents"),
+        "first": Measure("min", "o_orderdate"), "most": Measure("max", "o_totalprice"),
+    }
+    view = MaintainedView(name, source, ["o_custkey"], measures)
+    tables.create_table_as(before, source, buckets=KeyBuckets(("o_custkey",), 16))
+    view.create(t.spark, start)
+    feed = change_images(before, after, "o_orderkey").withColumn("_change_timestamp", F.lit(start))
+    tables.create_table_as(after, source, buckets=KeyBuckets(("o_custkey",), 16))
+    view.refresh(t.spark, feed, start + datetime.timedelta(minutes=30))
+    return view.read(t.spark)
