@@ -15,6 +15,7 @@ from tidemark.operators.changes import changed_partitions, snapshot_diff
 from tidemark.operators.catalog import catalog_report
 from tidemark.operators.fanout import fan_out
 from tidemark.operators.partition import IntRange, PartitionSpec, literal
+from tidemark.plans.batches import build_batches
 from tidemark.plans.incremental import (
     BuildConfig,
     build_incremental,
@@ -640,3 +641,26 @@ def mv_maintained(t):
     tables.create_table_as(after, source, buckets=KeyBuckets(("o_custkey",), 16))
     view.refresh(t.spark, feed, start + datetime.timedelta(minutes=30))
     return view.read(t.spark)
+
+
+@query("microbatch_resumed", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def microbatch_resumed(t):
+    """The third job of the first run fails; the second run does what is missing."""
+    name = table(t, "resumed")
+    rows = t.events.select("event_id", "ts", "user_id", "event_type", "value")
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    config = BuildConfig("microbatch", partition=DAY, event_time="ts", batch_size="day", begin=first, lookback=0)
+    now, calls = last + datetime.timedelta(days=1), []
+
+    def fails(spark, target):
+        calls.append(target)
+        if len(calls) == 3:
+            raise ConnectionError("the third job is lost")
+        return rows
+
+    try:
+        build_batches(t.spark, name, fails, config, now, per_job=10)
+    except ConnectionError:
+        pass
+    build_batches(t.spark, name, lambda spark, target: rows, config, now, per_job=10)
+    return tables.read_table(t.spark, name)
