@@ -93,6 +93,69 @@ def test_overlap_join_against_all_pairs(spark, rows, longest):
     assert most <= 2 * math.log2(5002) + 4
 
 
+def hourly(spark):
+    """A table's log by the hour over 30 days, and requests that last up to 20 days."""
+    rng = random.Random(7)
+    begin = datetime.datetime(2024, 1, 1)
+    hours = [begin + datetime.timedelta(hours=h) for h in range(720)]
+    log = [("a", "ok", h, h + datetime.timedelta(hours=1), [f"{h:%m-%d}"]) for h in hours]
+    starts = [begin + datetime.timedelta(minutes=rng.randrange(43200)) for _ in range(60)]
+    asked = [(k, "a", s, s + datetime.timedelta(minutes=rng.randrange(-60, 28800))) for k, s in enumerate(starts)]
+    return log, asked
+
+
+def test_overlap_join_compares_few_rows_in_vain(spark, monkeypatch):
+    log, asked = hourly(spark)
+    sides = []
+    monkeypatch.setattr(changes_module, "broadcast_if_small", lambda df: df)
+    spread = changes._spread
+    monkeypatch.setattr(changes_module, "_spread", lambda *a: sides.append(spread(*a)) or sides[-1])
+    got = changes.overlapping(spark.createDataFrame(log, LOG), spark.createDataFrame(asked, ASK)).count()
+    assert got == sum(1 for a in asked for entry in log if entry[2] < a[3] and entry[3] > a[2])
+    compared = sides[0].join(sides[1], ["full_table_name", "meet"]).count()
+    assert compared <= got + 6 * len(asked)
+
+
+def test_ids_meet_by_stretches_not_by_pairs(spark):
+    log, asked = hourly(spark)
+    left, right = changes._ids_by_stretch(spark.createDataFrame(log, LOG), spark.createDataFrame(asked, ASK))
+    pairs = sum(1 for a in asked for entry in log if entry[2] < a[3] and entry[3] > a[2])
+    assert left.join(right, ["full_table_name", "meet"]).count() < pairs / 8
+
+
+@pytest.mark.parametrize("longest", [1, 40, 900])
+def test_affected_partitions_against_all_pairs(spark, longest):
+    rng = random.Random(longest)
+
+    def window():
+        start = datetime.datetime(1968, 1, 1) + datetime.timedelta(days=rng.randrange(1500), hours=rng.randrange(24))
+        return start, start + datetime.timedelta(days=rng.choice([0, 1, longest]) * rng.random(), hours=rng.randrange(-3, 30))
+
+    ids = lambda: rng.choice([None, [], ["p"], [f"p{rng.randrange(9)}", None, "q"]] if rng.random() < 0.2 else [[f"p{rng.randrange(30)}"]])
+    status = lambda: rng.choice(["ok", "initial", "error"])
+    log = [(rng.choice("ab"), status(), *window(), ids()) for _ in range(200)]
+    log += [("a", "ok", None, None, ["x"]), ("a", "ok", datetime.datetime(1969, 1, 1), None, None), (None, "ok", *window(), None)]
+    asked = [(k % 70, rng.choice("abc"), *window()) for k in range(90)]
+    asked += [(99, "a", None, None), (98, None, *window()), (None, "a", *window()), (97, "a", datetime.datetime(1969, 1, 1), None)]
+    # windows that touch, that are empty, and that run backwards
+    asked += [(200 + k, entry[0], entry[3], entry[3]) for k, entry in enumerate(log[:30])]
+    asked += [(300 + k, entry[0], entry[2] - datetime.timedelta(days=2), entry[2]) for k, entry in enumerate(log[:30])]
+    asked += [(400 + k, entry[0], entry[3], entry[3] + datetime.timedelta(days=400)) for k, entry in enumerate(log[:30])]
+
+    def hits(key):
+        mine = [a for a in asked if key is not None and a[0] == key]
+        return [entry[4] for a in mine for entry in log if entry[1] != "error" and a[1] is not None and a[1] == entry[0]
+                and None not in (a[2], a[3], entry[2], entry[3]) and entry[2] < a[3] and entry[3] > a[2]]
+
+    def expected(key):
+        lists = hits(key)
+        return None if None in lists else sorted({i for found in lists for i in found if i is not None})
+
+    got = changes.affected_partitions(spark.createDataFrame(log, LOG), spark.createDataFrame(asked, ASK)).collect()
+    assert len(got) == len(asked)
+    assert [(r[0], r["partition_ids"]) for r in got if r["partition_ids"] != expected(r[0])] == []
+
+
 def test_changes_of_an_empty_window(spark):
     feed = spark.createDataFrame(
         [("a", "INSERT", at(1), "p")],
